@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-META_COLUMNS = ("_source_folder", "_source_table", "_synced_at", "_row_hash", "_seq")
+META_COLUMNS = ("_source_folder", "_source_table", "_synced_at", "_row_hash", "_source_path", "_seq")
 
 
 def business_columns(df: DataFrame) -> list[str]:

@@ -7,13 +7,11 @@ number at most the largest allowed limit, which is what makes broadcasting them
 
 from __future__ import annotations
 
-from datetime import date
-
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ledgerspark.plans import views
 from ledgerspark.plans.views import ranked
-from ledgerspark.plans.warehouse import Warehouse
+from ledgerspark.plans.warehouse import Day, Warehouse
 from ledgerspark.values import LIMITS, SLOW_MOVING_DAYS
 
 
@@ -25,21 +23,11 @@ def checked_limit(query: str, limit: int | None) -> int:
     return wanted
 
 
-def _between(day: str, start: date | str | None, end: date | str | None) -> Column:
-    """Inclusive bounds, each optional."""
-    inside = F.lit(True)
-    if start is not None:
-        inside = inside & (F.col(day) >= F.lit(str(start)).cast("date"))
-    if end is not None:
-        inside = inside & (F.col(day) <= F.lit(str(end)).cast("date"))
-    return inside
-
-
 def overview(wh: Warehouse, folder: str | None = None) -> DataFrame:
     return views.company_overview(wh.scoped(folder))
 
 
-def today_sales(wh: Warehouse, folder: str | None = None, as_of: date | str | None = None) -> DataFrame:
+def today_sales(wh: Warehouse, folder: str | None = None, as_of: Day = None) -> DataFrame:
     return views.today_sales(wh.scoped(folder), as_of)
 
 
@@ -51,9 +39,9 @@ def monthly_sales(wh: Warehouse, folder: str | None = None, limit: int | None =
 
 
 def sales_summary(
-    wh: Warehouse, folder: str | None = None, start: date | str | None = None, end: date | str | None = None
+    wh: Warehouse, folder: str | None = None, start: Day = None, end: Day = None
 ) -> DataFrame:
-    daily = views.sales_summary(wh.scoped(folder)).filter(_between("invoice_date", start, end))
+    daily = views.sales_summary(wh.scoped(folder), start, end)
     return daily.orderBy(F.col("invoice_date").desc_nulls_first(), "source_folder")
 
 
@@ -91,7 +79,7 @@ def slow_moving(
     wh: Warehouse,
     folder: str | None = None,
     limit: int | None = None,
-    as_of: date | str | None = None,
+    as_of: Day = None,
     days: int = SLOW_MOVING_DAYS,
 ) -> DataFrame:
     return views.slow_moving(wh.scoped(folder), as_of, days).limit(checked_limit("slow_moving", limit))
@@ -103,9 +91,9 @@ def product_detail(wh: Warehouse, item_code: str, folder: str | None = None) ->
 
 
 def cash_flow(
-    wh: Warehouse, folder: str | None = None, start: date | str | None = None, end: date | str | None = None
+    wh: Warehouse, folder: str | None = None, start: Day = None, end: Day = None
 ) -> DataFrame:
-    daily = views.cash_flow(wh.scoped(folder)).filter(_between("voucher_date", start, end))
+    daily = views.cash_flow(wh.scoped(folder), start, end)
     return daily.orderBy(F.col("voucher_date").desc_nulls_first(), "source_folder")
 
 

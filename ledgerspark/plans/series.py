@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerspark.functions.labels import name_or_code, short_label
 from ledgerspark.plans import queries, views
-from ledgerspark.plans.warehouse import Warehouse
+from ledgerspark.plans.warehouse import Day, Warehouse
 from ledgerspark.values import CASH_FLOW_POINTS, PRODUCT_BARS
 
 _KPIS = (
@@ -25,7 +23,7 @@ def _zero(name: str):
     return F.coalesce(F.col(name), F.lit(0))
 
 
-def kpi_totals(wh: Warehouse, folder: str | None = None, as_of: date | str | None = None) -> DataFrame:
+def kpi_totals(wh: Warehouse, folder: str | None = None, as_of: Day = None) -> DataFrame:
     """One row of totals over the folders; customers are added per folder, not distinct.
 
     Both inputs have one row per folder; stacking them lets one aggregate do it.

@@ -2,20 +2,18 @@
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerspark.functions.flags import exact_average, over_limit
-from ledgerspark.plans.warehouse import Warehouse
+from ledgerspark.plans.warehouse import Day, Warehouse, as_day
 from ledgerspark.values import SLOW_MOVING_DAYS
 
 CUSTOMER_KEY = ["source_folder", "customer_key"]
 PRODUCT_KEY = ["source_folder", "product_key"]
 
 
-def _as_of(day: date | str | None) -> Column:
-    return F.current_date() if day is None else F.lit(str(day)).cast("date")
+def _as_of(day: Day) -> Column:
+    return F.current_date() if day is None else as_day(day)
 
 
 def ranked(amount: str, *ties: str) -> list[Column]:
@@ -23,9 +21,9 @@ def ranked(amount: str, *ties: str) -> list[Column]:
     return [F.col(amount).desc_nulls_first(), *[F.col(t).asc_nulls_last() for t in ties]]
 
 
-def sales_summary(wh: Warehouse) -> DataFrame:
+def sales_summary(wh: Warehouse, start: Day = None, end: Day = None) -> DataFrame:
     """Invoices, amount and quantity per folder and day, external customers."""
-    dated = wh.external_sales.filter(F.col("invoice_date").isNotNull())
+    dated = wh.external_sales(start, end).filter(F.col("invoice_date").isNotNull())
     return dated.groupBy("source_folder", "invoice_date").agg(
         F.countDistinct("invoice_no").alias("invoice_count"),
         F.sum("line_amount").alias("total_sales"),
@@ -33,9 +31,9 @@ def sales_summary(wh: Warehouse) -> DataFrame:
     )
 
 
-def today_sales(wh: Warehouse, as_of: date | str | None = None) -> DataFrame:
+def today_sales(wh: Warehouse, as_of: Day = None) -> DataFrame:
     """Invoices and amount per folder on one day, external customers."""
-    today = wh.external_sales.filter(F.col("invoice_date") == _as_of(as_of))
+    today = wh.external_sales(_as_of(as_of), _as_of(as_of))
     return today.groupBy("source_folder").agg(
         F.countDistinct("invoice_no").alias("invoice_count"), F.sum("line_amount").alias("total_sales")
     )
@@ -51,7 +49,7 @@ def monthly_sales(wh: Warehouse) -> DataFrame:
 
 def sales_by_customer(wh: Warehouse) -> DataFrame:
     """Purchases per external customer key, without any customer attribute."""
-    return wh.external_sales.groupBy(*CUSTOMER_KEY).agg(
+    return wh.external_sales().groupBy(*CUSTOMER_KEY).agg(
         F.countDistinct("invoice_no").alias("invoice_count"),
         F.sum("line_amount").alias("total_purchases"),
         F.min("invoice_date").alias("first_purchase_date"),
@@ -107,7 +105,7 @@ def top_products(wh: Warehouse) -> DataFrame:
     return product_ranking(wh, sales_by_product(wh)).orderBy(*ranked("total_revenue", "source_folder", "item_code"))
 
 
-def slow_moving(wh: Warehouse, as_of: date | str | None = None, days: int = SLOW_MOVING_DAYS) -> DataFrame:
+def slow_moving(wh: Warehouse, as_of: Day = None, days: int = SLOW_MOVING_DAYS) -> DataFrame:
     """Products never sold, or last sold more than ``days`` before ``as_of``."""
     known = wh.fact_sales.filter(F.col("product_key").isNotNull())
     last = known.groupBy(*PRODUCT_KEY).agg(F.max("invoice_date").alias("last_sold_date"))
@@ -144,14 +142,15 @@ def outstanding_receivables(wh: Warehouse) -> DataFrame:
     ).orderBy(*ranked("outstanding_amount", "source_folder", "ledger_code"))
 
 
-def cash_flow(wh: Warehouse) -> DataFrame:
+def cash_flow(wh: Warehouse, start: Day = None, end: Day = None) -> DataFrame:
     """Debits, credits and net movement per folder and day.
 
     Net movement counts every flag but D as credit, a missing flag too.
     """
     flag, amount = F.col("debit_credit"), F.col("amount")
     return (
-        wh.fact_finance.filter(F.col("voucher_date").isNotNull())
+        wh.table("fact_finance", "voucher_date", start, end)
+        .filter(F.col("voucher_date").isNotNull())
         .groupBy("source_folder", "voucher_date")
         .agg(
             F.sum(F.when(flag == "D", amount).otherwise(0)).alias("total_debit"),
@@ -185,7 +184,7 @@ def company_overview(wh: Warehouse) -> DataFrame:
     The lines are first reduced to (customer, invoice) pairs, so the two distinct
     counts expand those pairs and not the lines.
     """
-    pairs = wh.external_sales.groupBy(*CUSTOMER_KEY, "invoice_no").agg(F.sum("line_amount").alias("amount"))
+    pairs = wh.external_sales().groupBy(*CUSTOMER_KEY, "invoice_no").agg(F.sum("line_amount").alias("amount"))
     sales = pairs.groupBy("source_folder").agg(
         F.countDistinct("invoice_no").alias("total_invoices"),
         F.sum("amount").alias("total_revenue"),

@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from datetime import date
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerspark.plans import dims, facts
-from ledgerspark.schemas import DIM_LEDGER_GROUP
+from ledgerspark.schemas import DIM_LEDGER_GROUP, MONTH
 from ledgerspark.values import FOLDERS, INTERNAL_LEDGER_CODES
 
-RAW_TABLES = ("MASTER", "ITEM", "SALES1", "SALES2", "TRANS", "BILLADJ")
+Day = date | str | Column | None
 
 
 def checked_folder(folder: str | None, known: Iterable[str] = FOLDERS) -> str | None:
@@ -24,6 +25,25 @@ def checked_folder(folder: str | None, known: Iterable[str] = FOLDERS) -> str |
     return wanted
 
 
+def as_day(day: Day) -> Column:
+    return day if isinstance(day, Column) else F.lit(str(day)).cast("date")
+
+
+def between(table: DataFrame, day: str, start: Day, end: Day) -> DataFrame:
+    """Rows with ``day`` inside the bounds, both inclusive and optional.
+
+    Stored facts are partitioned by month, so the same bounds also prune partitions.
+    """
+    by_month = MONTH in table.columns
+    if start is not None:
+        table = table.filter(F.col(day) >= as_day(start))
+        table = table.filter(F.col(MONTH) >= F.trunc(as_day(start), "MM")) if by_month else table
+    if end is not None:
+        table = table.filter(F.col(day) <= as_day(end))
+        table = table.filter(F.col(MONTH) <= F.trunc(as_day(end), "MM")) if by_month else table
+    return table
+
+
 class Warehouse:
     """Lazy star-schema tables. Nothing runs until a result is read or written."""
 
@@ -45,7 +65,6 @@ class Warehouse:
         codes = tuple(internal_codes)
 
         def build(name: str) -> DataFrame:
-            customers = wh.dim_customer if name.startswith("fact") else None
             match name:
                 case "dim_date":
                     return dims.dim_date(spark)
@@ -56,13 +75,13 @@ class Warehouse:
                 case "dim_ledger_group":
                     return spark.createDataFrame([], DIM_LEDGER_GROUP)
                 case "fact_sales":
-                    return facts.fact_sales(raw("SALES2"), raw("SALES1"), customers, wh.dim_product, match_type)
+                    return facts.fact_sales(raw("SALES2"), raw("SALES1"), wh.dim_customer, wh.dim_product, match_type)
                 case "fact_sales_header":
-                    return facts.fact_sales_header(raw("SALES1"), customers)
+                    return facts.fact_sales_header(raw("SALES1"), wh.dim_customer)
                 case "fact_finance":
-                    return facts.fact_finance(raw("TRANS"), customers)
+                    return facts.fact_finance(raw("TRANS"), wh.dim_customer)
                 case "fact_receivables":
-                    return facts.fact_receivables(raw("BILLADJ"), customers)
+                    return facts.fact_receivables(raw("BILLADJ"), wh.dim_customer)
             raise KeyError(name)
 
         wh = cls(spark, build, folders)
@@ -75,42 +94,47 @@ class Warehouse:
             return self
 
         def cut(name: str) -> DataFrame:
-            table = getattr(self, name)
+            table = self._load(name)
             return table if name == "dim_date" else table.filter(F.col("source_folder") == wanted)
 
         return Warehouse(self.spark, cut, self.folders)
 
+    def table(self, name: str, day: str | None = None, start: Day = None, end: Day = None) -> DataFrame:
+        """A table by name, optionally cut to days."""
+        found = self._load(name)
+        return (between(found, day, start, end) if day else found).drop(MONTH)
+
     @cached_property
     def dim_date(self) -> DataFrame:
-        return self._load("dim_date")
+        return self.table("dim_date")
 
     @cached_property
     def dim_customer(self) -> DataFrame:
-        return self._load("dim_customer")
+        return self.table("dim_customer")
 
     @cached_property
     def dim_product(self) -> DataFrame:
-        return self._load("dim_product")
+        return self.table("dim_product")
 
     @cached_property
     def dim_ledger_group(self) -> DataFrame:
-        return self._load("dim_ledger_group")
+        return self.table("dim_ledger_group")
 
     @cached_property
     def fact_sales(self) -> DataFrame:
-        return self._load("fact_sales")
+        return self.table("fact_sales")
 
     @cached_property
     def fact_sales_header(self) -> DataFrame:
-        return self._load("fact_sales_header")
+        return self.table("fact_sales_header")
 
     @cached_property
     def fact_finance(self) -> DataFrame:
-        return self._load("fact_finance")
+        return self.table("fact_finance")
 
     @cached_property
     def fact_receivables(self) -> DataFrame:
-        return self._load("fact_receivables")
+        return self.table("fact_receivables")
 
     @cached_property
     def internal_keys(self) -> DataFrame:
@@ -118,8 +142,7 @@ class Warehouse:
         internal = self.dim_customer.filter("is_internal_account")
         return internal.select("source_folder", "customer_key")
 
-    @cached_property
-    def external_sales(self) -> DataFrame:
+    def external_sales(self, start: Day = None, end: Day = None) -> DataFrame:
         """Sales lines of known customers that are not internal accounts.
 
         A fact's customer key is NULL unless the dimension has the customer, so no join
@@ -127,5 +150,5 @@ class Warehouse:
         up. Their number is bounded by codes x folders, whatever the size of the data,
         which is why broadcasting them is safe and the lines are not shuffled.
         """
-        known = self.fact_sales.filter(F.col("customer_key").isNotNull())
+        known = self.table("fact_sales", "invoice_date", start, end).filter(F.col("customer_key").isNotNull())
         return known.join(F.broadcast(self.internal_keys), ["source_folder", "customer_key"], "left_anti")

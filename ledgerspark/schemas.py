@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 MONEY = T.DecimalType(18, 2)
 QUANTITY = T.DecimalType(18, 3)
+
+# Partition column of stored facts: first day of the month of the fact's date.
+MONTH = "_month"
 _TEXT, _DATE, _BOOL, _INT, _LONG = (
     T.StringType(),
     T.DateType(),
@@ -158,6 +161,15 @@ WAREHOUSE_TABLES = {
 }
 
 
+# Day column whose month partitions a stored fact.
+FACT_DAYS = {
+    "fact_sales": "invoice_date",
+    "fact_sales_header": "invoice_date",
+    "fact_finance": "voucher_date",
+    "fact_receivables": "voucher_date",
+}
+
+
 def conform(df: DataFrame, schema: T.StructType, columns: dict[str, Column | str] | None = None) -> DataFrame:
     """Project ``df`` to exactly ``schema``; ``columns`` says where renamed ones come from.
 
