@@ -59,11 +59,13 @@ def load_file(store: Store, file: Row, log_id: str, started, dedup: bool = True)
         rows = rows.observe(out_seen, F.count(F.lit(1)).alias("rows"), F.count(blank).alias("blank"))
         write_table(rows, target)
         # The recorded count comes from the written files. Observed metrics cost no second
-        # pass but may count a re-run task twice, so they only feed the messages.
-        kept = store.spark.read.parquet(target).count()
-        duplicates = max(0, in_seen.get["rows"] - out_seen.get["rows"])
-        if kept and out_seen.get["blank"] >= kept:
-            log.warning("%s/%s: every row is NULL in all columns", folder, table)
+        # pass but may count a re-run task twice, so they only feed the messages; for an
+        # empty file they are planned away together with the rest of the work.
+        kept, duplicates = store.spark.read.parquet(target).count(), 0
+        if kept:
+            duplicates = max(0, in_seen.get["rows"] - out_seen.get["rows"])
+            if out_seen.get["blank"] >= kept:
+                log.warning("%s/%s: every row is NULL in all columns", folder, table)
         store.append(
             "file_state", [(folder, table, file.path, file.file_hash, now(), kept, target)], FILE_STATE
         )

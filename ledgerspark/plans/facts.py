@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerspark.functions.flags import rounded_int
+from ledgerspark.functions.flags import natural_key, rounded_int
 from ledgerspark.operators.dedup import keep_first
 from ledgerspark.schemas import (
     FACT_FINANCE,
@@ -22,11 +22,22 @@ from ledgerspark.schemas import (
 
 
 def _keyed(raw: DataFrame, dim: DataFrame, raw_code: str, dim_code: str, dim_key: str, out: str) -> DataFrame:
-    """Add the dimension key of ``raw_code`` as ``out``, NULL where the dimension lacks it."""
+    """Add the dimension key of ``raw_code`` as ``out``, NULL where the dimension lacks it.
+
+    Comparing the key as well as its two parts is redundant for the result. It matters
+    when the dimension is still an aggregate by those parts: the aggregate's partitioning
+    then no longer fits the join, which puts a shuffle right below each side, and only
+    such a join can have a hot key split. The parts alone tell the planner that a row
+    matches once, so that a lookup nobody reads is removed.
+    """
     lookup = dim.select(
         F.col("source_folder").alias("_dim_folder"), F.col(dim_code).alias("_dim_code"), F.col(dim_key).alias(out)
     )
-    matches = (F.col("_source_folder") == F.col("_dim_folder")) & (F.col(raw_code) == F.col("_dim_code"))
+    matches = (
+        (F.col("_source_folder") == F.col("_dim_folder"))
+        & (F.col(raw_code) == F.col("_dim_code"))
+        & (natural_key("_source_folder", raw_code) == F.col(out))
+    )
     return raw.join(lookup, matches, "left").drop("_dim_folder", "_dim_code")
 
 
