@@ -12,10 +12,11 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerspark.jobs.load import LoadResult, load_sources
-from ledgerspark.jobs.rebuild import build_dimensions, build_facts
+from ledgerspark.jobs.rebuild import build_facts, write_dimensions
 from ledgerspark.jobs.store import Store, new_run
 from ledgerspark.plans import views
-from ledgerspark.values import FOLDERS
+from ledgerspark.plans.warehouse import Warehouse
+from ledgerspark.values import FOLDERS, INTERNAL_LEDGER_CODES
 
 log = logging.getLogger(__name__)
 
@@ -33,6 +34,7 @@ def run_nightly(
     sources: Mapping[str, str],
     mode: str = "incremental",
     folders: tuple[str, ...] = FOLDERS,
+    internal_codes: tuple[str, ...] = INTERNAL_LEDGER_CODES,
     match_type: bool = False,
 ) -> DataFrame:
     """Run the stages in order; one row per stage with status and detail.
@@ -50,11 +52,11 @@ def run_nightly(
         return f"synced {counts['success']}, skipped {counts['skipped']}, rows {sum(r.rows for r in results)}"
 
     def dimensions() -> str:
-        build_dimensions(store, version, folders)
+        write_dimensions(store, version, Warehouse.from_raw(spark, store.raw, folders, internal_codes))
         return version
 
     def facts() -> str:
-        build_facts(store, version, folders, match_type=match_type)
+        build_facts(store, version, store.raw, match_type)
         return version
 
     def reports() -> str:

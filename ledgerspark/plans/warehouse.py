@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from datetime import date
-from functools import cached_property
+from functools import cache, cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -50,7 +50,7 @@ class Warehouse:
     def __init__(self, spark: SparkSession, load: Callable[[str], DataFrame], folders: Iterable[str] = FOLDERS):
         self.spark = spark
         self.folders = tuple(folders)
-        self._load = load
+        self._load = cache(load)
 
     @classmethod
     def from_raw(

@@ -30,6 +30,8 @@ def local_session(cores: str | int = 8, app: str = "ledgerspark") -> SparkSessio
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -15,7 +15,7 @@ from dataclasses import dataclass, replace
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ledgerspark.functions.coerce import coerce
@@ -186,6 +186,37 @@ def scan_records(spark: SparkSession, paths: Sequence[str], split_bytes: int = S
 
 # ---- records to columns ----------------------------------------------------------
 
+# Fields stored as numbers and not as text, by type code and length.
+_BINARY = {("I", 4), ("+", 4), ("Y", 8), ("T", 8)}
+# Fixed value: Julian day number of 1970-01-01.
+_EPOCH_DAY = 2440588
+
+
+def _little_endian(raw: Column, first: int, size: int) -> Column:
+    """Signed integer of ``size`` bytes from byte ``first`` (counted from 1)."""
+    digits = F.hex(F.concat(*[F.substring(raw, i, 1) for i in range(first + size - 1, first - 1, -1)]))
+    unsigned = F.conv(digits, 16, 10).cast("decimal(20,0)")
+    bound = F.lit(str(1 << (8 * size - 1))).cast("decimal(20,0)")
+    return F.when(unsigned >= bound, unsigned - 2 * bound).otherwise(unsigned)
+
+
+def _binary_value(raw: Column, field: Field) -> Column:
+    """Integers, currency in ten-thousandths, and a Julian day with milliseconds."""
+    if field.code == "Y":
+        return (_little_endian(raw, 1, 8) / 10000).cast("decimal(19,4)")
+    if field.code == "T":
+        day, milliseconds = _little_endian(raw, 1, 4).cast("int"), _little_endian(raw, 5, 4).cast("bigint")
+        date = F.date_from_unix_date(day - _EPOCH_DAY).cast("timestamp_ntz")
+        return F.when(day > 0, date + F.make_dt_interval(secs=milliseconds / 1000))
+    return _little_endian(raw, 1, 4).cast("int" if field.code == "I" else "bigint")
+
+
+def _value(field: Field) -> Column:
+    raw = F.substring("record", field.offset + 1, field.length)
+    if (field.code, field.length) in _BINARY:
+        return _binary_value(raw, field)
+    return coerce(decode_cp1252(raw), field.code, field.length, field.decimals)
+
 
 def decode(records: DataFrame, fields: Sequence[Field]) -> DataFrame:
     """Typed columns of the live records, after all columns but ``record``.
@@ -198,11 +229,8 @@ def decode(records: DataFrame, fields: Sequence[Field]) -> DataFrame:
     if twice:
         raise ValueError(f"field names collide after normalization: {twice}")
     live = records.filter(F.expr("substring(record, 1, 1) <> X'2A'"))
-    columns = [
-        coerce(decode_cp1252(F.substring("record", f.offset + 1, f.length)), f.code, f.length, f.decimals).alias(f.column)
-        for f in fields
-    ]
-    return live.select(*[c for c in records.columns if c != "record"], *columns)
+    kept = [c for c in records.columns if c != "record"]
+    return live.select(*kept, *[_value(f).alias(f.column) for f in fields])
 
 
 def read_xbase(spark: SparkSession, paths: Sequence[str], split_bytes: int = SPLIT_BYTES) -> DataFrame:

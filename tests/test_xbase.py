@@ -1,6 +1,7 @@
 """xBase files: bytes in, typed rows out."""
 
-from datetime import date
+import struct
+from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
@@ -72,6 +73,20 @@ def test_colliding_names_and_empty_headers_are_errors(spark, tmp_path):
         xbase.read_xbase(spark, [str(tmp_path / "E.DBF")])
 
 
+def test_numbers_stored_as_bytes(spark, tmp_path):
+    fields = [("N", "I", 4, 0), ("AUTO", "+", 4, 0), ("PRICE", "Y", 8, 4), ("AT", "T", 8, 0), ("TEXT", "I", 6, 0)]
+    julian = 2440588 + (date(2025, 1, 31) - date(1970, 1, 1)).days
+    records = [
+        (" ", struct.pack("<i", -7), struct.pack("<i", 9), struct.pack("<q", -123456), struct.pack("<II", julian, 45_296_250), "  12"),
+        (" ", struct.pack("<i", 2**31 - 1), struct.pack("<i", 0), struct.pack("<q", 2**62), struct.pack("<II", 0, 0), "x"),
+    ]
+    got = rows(xbase.read_xbase(spark, [write(tmp_path / "T.DBF", fields, records)]), "n", "auto", "price", "at", "text")
+    assert got == [
+        (-7, 9, Decimal("-12.3456"), datetime(2025, 1, 31, 12, 34, 56, 250000), 12),
+        (2**31 - 1, 0, Decimal(2**62) / 10000, None, None),
+    ]
+
+
 def test_no_records(spark, tmp_path):
     assert xbase.read_xbase(spark, [write(tmp_path / "T.DBF", FIELDS, [])]).count() == 0
 

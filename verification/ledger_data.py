@@ -6,6 +6,8 @@ never by leaving rows out; FIXTURES.md lists the rules.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerspark.plans.warehouse import Warehouse
@@ -41,6 +43,7 @@ class LedgerData:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    @cache
     def __call__(self, name: str) -> DataFrame:
         return getattr(self, name.lower())().withColumn("_source_table", F.lit(name))
 

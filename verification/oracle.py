@@ -192,6 +192,31 @@ rawcount AS (
   UNION ALL SELECT folder, 'SALES2', count(*) FROM sales2 GROUP BY folder
   UNION ALL SELECT folder, 'TRANS', count(*) FROM trans GROUP BY folder
   UNION ALL SELECT folder, 'BILLADJ', count(*) FROM billadj GROUP BY folder
+),
+fields AS (
+  SELECT unnest(string_split(names, ' ')) AS field_name, tbl, kind FROM (VALUES
+    ('MASTER', 'text', 'CODECBG DESCCBG GROUPCDBG STATECODE PLACE_CDBG MOBILENO APGSTTBG'),
+    ('MASTER', 'money', 'OPBALCBG BALANCEBG CRELIMITBG'),
+    ('ITEM', 'text', 'ITEMCODE DESC ITEMGROUP UOM HSNCODE VALUATION IS_SERVICE'),
+    ('ITEM', 'money', 'ITEMRATE OPBALVAL'),
+    ('ITEM', 'quantity', 'OPBALQTY'),
+    ('SALES1', 'text', 'INVTYPEBG CUSCODEBG TRANSPORTG'),
+    ('SALES1', 'number', 'INVNOEBG'),
+    ('SALES1', 'day', 'INVDATEBG'),
+    ('SALES1', 'money', 'BILLAMTG TAXAMTNG ROUNDOFFG TOTALIONG'),
+    ('SALES1', 'days', 'DUEDAYSG'),
+    ('SALES2', 'text', 'INVTYPE CUSCODE ITEMCODE REPCODE BATCHNO'),
+    ('SALES2', 'number', 'INVNO'),
+    ('SALES2', 'quantity', 'QTY'),
+    ('SALES2', 'money', 'ITEMRATE DISCOUNT DISAMT AMOUNT'),
+    ('TRANS', 'text', 'CODEE NARATION DRCRATE REPCODE'),
+    ('TRANS', 'number', 'VOUNOE'),
+    ('TRANS', 'day', 'VOUDATE'),
+    ('TRANS', 'money', 'VOU_AMT'),
+    ('BILLADJ', 'text', 'CUSCODE'),
+    ('BILLADJ', 'number', 'VOUNO INVNO'),
+    ('BILLADJ', 'day', 'VOUDATE'),
+    ('BILLADJ', 'money', 'VOU_AMT BILLADJ BILLAMT')) AS t(tbl, kind, names)
 )
 """
 
@@ -465,19 +490,18 @@ SELECT field_name, string_agg(folder || '/' || r.tbl, ', ' ORDER BY folder || '/
        CASE field_name WHEN 'INVNO' THEN 'SALES1.INVNO  = SALES2.INVNO   (Header ↔ Lines)'
                        WHEN 'ITEMCODE' THEN 'SALES2.ITEMCODE  = ITEM.ITEMCODE  (Lines ↔ Product)'
                        ELSE '— Analyse manually' END AS join_hint
-FROM rawcount r JOIN (VALUES
-  ('CODECBG','MASTER'),('DESCCBG','MASTER'),('GROUPCDBG','MASTER'),('STATECODE','MASTER'),('PLACE_CDBG','MASTER'),
-  ('MOBILENO','MASTER'),('OPBALCBG','MASTER'),('BALANCEBG','MASTER'),('CRELIMITBG','MASTER'),('APGSTTBG','MASTER'),
-  ('ITEMCODE','ITEM'),('DESC','ITEM'),('ITEMGROUP','ITEM'),('UOM','ITEM'),('HSNCODE','ITEM'),('VALUATION','ITEM'),
-  ('ITEMRATE','ITEM'),('OPBALQTY','ITEM'),('OPBALVAL','ITEM'),('IS_SERVICE','ITEM'),
-  ('INVNOEBG','SALES1'),('INVDATEBG','SALES1'),('INVTYPEBG','SALES1'),('CUSCODEBG','SALES1'),('BILLAMTG','SALES1'),
-  ('TAXAMTNG','SALES1'),('ROUNDOFFG','SALES1'),('TOTALIONG','SALES1'),('TRANSPORTG','SALES1'),('DUEDAYSG','SALES1'),
-  ('INVNO','SALES2'),('INVTYPE','SALES2'),('CUSCODE','SALES2'),('ITEMCODE','SALES2'),('REPCODE','SALES2'),('QTY','SALES2'),
-  ('ITEMRATE','SALES2'),('DISCOUNT','SALES2'),('DISAMT','SALES2'),('AMOUNT','SALES2'),('BATCHNO','SALES2'),
-  ('VOUNOE','TRANS'),('VOUDATE','TRANS'),('CODEE','TRANS'),('NARATION','TRANS'),('DRCRATE','TRANS'),('VOU_AMT','TRANS'),('REPCODE','TRANS'),
-  ('VOUNO','BILLADJ'),('VOUDATE','BILLADJ'),('CUSCODE','BILLADJ'),('VOU_AMT','BILLADJ'),('BILLADJ','BILLADJ'),('BILLAMT','BILLADJ'),('INVNO','BILLADJ')
-) AS f(field_name, tbl) ON r.tbl = f.tbl
+FROM rawcount r JOIN fields f ON r.tbl = f.tbl
 GROUP BY field_name HAVING count(*) > 1""",
+    "field_dictionary": """
+SELECT r.folder AS source_folder, r.tbl AS table_name, f.field_name,
+       CASE kind WHEN 'text' THEN 'C' WHEN 'day' THEN 'D' ELSE 'N' END AS type,
+       CASE kind WHEN 'text' THEN 'Character' WHEN 'day' THEN 'Date' ELSE 'Numeric' END AS type_label,
+       CASE kind WHEN 'text' THEN 0 WHEN 'day' THEN 8 WHEN 'days' THEN 10 ELSE 18 END AS length,
+       CASE kind WHEN 'money' THEN 2 WHEN 'quantity' THEN 3 WHEN 'days' THEN 1 ELSE 0 END AS decimals,
+       CASE f.field_name WHEN 'INVNO' THEN 'Invoice Number' WHEN 'ITEMCODE' THEN 'Item Code' WHEN 'QTY' THEN 'Quantity'
+                         WHEN 'AMOUNT' THEN 'Line Amount' WHEN 'UOM' THEN 'Unit of Measure' ELSE '' END AS meaning,
+       (SELECT count(*) FROM fields g JOIN rawcount q ON q.tbl = g.tbl WHERE g.field_name = f.field_name) > 1 AS is_join_key
+FROM rawcount r JOIN fields f ON r.tbl = f.tbl""",
     "sample_rows": """
 SELECT folder AS source_folder, row_no, CAST(no AS VARCHAR) AS vounoe, strftime(day, '%Y-%m-%d') AS voudate, code AS codee,
        narration AS naration, coalesce(flag, '') AS drcrate, CAST(amount AS VARCHAR) AS vou_amt, rep AS repcode

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -14,6 +15,7 @@ from ledgerspark.functions.text import clean_text
 from ledgerspark.jobs.discover import dictionary_json
 from ledgerspark.operators import changes, dedup, evolve, lineage
 from ledgerspark.plans import dims, profile, quality, queries, series, views
+from ledgerspark.plans.warehouse import Warehouse
 from ledgerspark.schemas import FACT_SALES, FILE_STATE, SYNC_LOG, conform
 from ledgerspark.sources import files, tables, xbase
 from verification.ledger_data import AS_OF, LedgerData
@@ -400,11 +402,18 @@ OVER_WAREHOUSE = {
 }
 
 
+@lru_cache(maxsize=4)
+def _opened(spark: SparkSession, sf_dir: str) -> tuple[LedgerData, Warehouse]:
+    """Derived tables and warehouse of a data set: lazy plans, built once per session."""
+    data = LedgerData(spark, sf_dir)
+    return data, data.warehouse()
+
+
 def queries_by_name() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def over_data(build):
-        return lambda spark, sf_dir: comparable(build(LedgerData(spark, sf_dir)))
+        return lambda spark, sf_dir: comparable(build(_opened(spark, sf_dir)[0]))
 
     def over_warehouse(build):
-        return lambda spark, sf_dir: comparable(build(LedgerData(spark, sf_dir).warehouse()))
+        return lambda spark, sf_dir: comparable(build(_opened(spark, sf_dir)[1]))
 
     return {k: over_data(b) for k, b in OVER_DATA.items()} | {k: over_warehouse(b) for k, b in OVER_WAREHOUSE.items()}
