@@ -7,8 +7,9 @@ import uuid
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F, types as T
 
 from ledgerspark.jobs.store import Store, new_run, now
 from ledgerspark.operators.changes import changed_files
@@ -36,24 +37,32 @@ class LoadResult:
 LOAD_RESULT = "source_folder string, table_name string, status string, rows bigint, duplicates bigint, message string"
 
 
-def prepare(records: DataFrame, folder: str, table: str, previous, dedup: bool = True) -> DataFrame:
+def prepare(
+    records: DataFrame, folder: str, table: str, previous: T.StructType | None, dedup: bool = True
+) -> DataFrame:
     """Decoded records as rows of a raw table: repeats dropped, columns evolved, lineage added."""
     columns = business_columns(records)
     rows = exact_dedup(records, columns, "_seq") if dedup else records.select(*columns, "_seq")
     if previous is not None:
         known = [f for f in previous.fields if f.name not in META_COLUMNS]
-        rows = evolve(rows, type(previous)([*known, previous["_seq"]]))
+        rows = evolve(rows, T.StructType([*known, previous["_seq"]]))
     return with_lineage(rows, folder, table)
 
 
-def load_file(store: Store, file: Row, log_id: str, started, dedup: bool = True) -> LoadResult:
-    """Load one file completely or not at all; the result is logged either way."""
+def load_file(
+    store: Store, file: Row, log_id: str, started: datetime, previous: str | None, dedup: bool = True
+) -> LoadResult:
+    """Load one file completely or not at all; the result is logged either way.
+
+    ``previous`` is the directory of the slice's current version, if it has one.
+    """
     folder, table = file.source_folder, file.table_name
     try:
         target = store.path("raw", table, folder, new_run())
         in_seen, out_seen = Observation(), Observation()
         records = read_xbase(store.spark, [file.path]).observe(in_seen, F.count(F.lit(1)).alias("rows"))
-        rows = prepare(records, folder, table, store.slice_schema(folder, table), dedup)
+        known = store.spark.read.parquet(previous).schema if previous else None
+        rows = prepare(records, folder, table, known, dedup)
         values = business_columns(rows)
         blank = F.when(F.coalesce(*[F.when(F.col(c).isNotNull(), True) for c in values]).isNull(), 1)
         rows = rows.observe(out_seen, F.count(F.lit(1)).alias("rows"), F.count(blank).alias("blank"))
@@ -100,7 +109,8 @@ def load_sources(
     if not listed:
         return []
     schema = "source_folder string, table_name string, path string, length bigint, modified timestamp, file_hash string"
-    todo = changed_files(spark.createDataFrame(listed, schema), store.file_state(), mode).collect()
+    state = store.file_state()
+    todo = changed_files(spark.createDataFrame(listed, schema), state, mode).collect()
     pending = {(f.source_folder, f.table_name) for f in todo}
     skipped = [
         LoadResult(f.source_folder, f.table_name, "skipped")
@@ -109,14 +119,20 @@ def load_sources(
     ]
     if not todo:
         return skipped
+    current = {(s.source_folder, s.table_name): s.data_path for s in state.collect()}
     started = now()
     ids = [uuid.uuid4().hex for _ in todo]
     running = [
         (i, f.source_folder, f.table_name, started, None, 0, "running", None, f.file_hash) for i, f in zip(ids, todo)
     ]
     store.append("sync_log", running, SYNC_LOG)
+
+    def load_one(log_id: str, file: Row) -> LoadResult:
+        previous = current.get((file.source_folder, file.table_name))
+        return load_file(store, file, log_id, started, previous, dedup)
+
     with ThreadPoolExecutor(max_workers=at_once) as pool:
-        done = list(pool.map(lambda job: load_file(store, job[1], job[0], started, dedup), zip(ids, todo)))
+        done = list(pool.map(load_one, ids, todo))
     return done + skipped
 
 
