@@ -31,11 +31,15 @@ def spark_type(code: str, length: int = 18, decimals: int = 0) -> T.DataType:
 
 
 def coerce(text: Column, code: str, length: int = 18, decimals: int = 0) -> Column:
-    kind = spark_type(code, length, decimals)
-    value = F.nullif(strip(text), F.lit(""))
-    match kind:
+    is_text = isinstance(spark_type(code, length, decimals), T.StringType)
+    return typed(clean_text(text) if is_text else F.nullif(strip(text), F.lit("")), code, length, decimals)
+
+
+def typed(value: Column, code: str, length: int = 18, decimals: int = 0) -> Column:
+    """Like :func:`coerce` for text that is already clean, stripped and NULL if empty."""
+    match kind := spark_type(code, length, decimals):
         case T.StringType():
-            return clean_text(text)
+            return value
         case T.DateType():
             return F.when(value.rlike(r"^\d{8}$"), F.try_to_date(value, "yyyyMMdd"))
         case T.BooleanType():

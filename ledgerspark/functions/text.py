@@ -9,12 +9,12 @@ from pyspark.sql import Column, functions as F
 # Characters dropped from text (NUL, controls but tab/LF/CR, DEL, U+FFFD).
 UNWANTED_CHARS = r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F\x{FFFD}]"
 
-_OUTER_SPACE = r"(?U)^\s+|\s+$"
+_WHITE_SPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 
 def strip(col: Column) -> Column:
     """Trim every kind of white space, not only blanks."""
-    return F.regexp_replace(col, _OUTER_SPACE, "")
+    return F.trim(col, F.lit(_WHITE_SPACE))
 
 
 def clean_text(col: Column | str) -> Column:

@@ -16,6 +16,7 @@ from ledgerspark.jobs.rebuild import build_facts, write_dimensions
 from ledgerspark.jobs.store import Store, new_run
 from ledgerspark.plans import views
 from ledgerspark.plans.warehouse import Warehouse
+from ledgerspark.session import recommended
 from ledgerspark.values import FOLDERS, INTERNAL_LEDGER_CODES
 
 log = logging.getLogger(__name__)
@@ -101,7 +102,7 @@ def main(args: list[str] | None = None) -> int:
     parser.add_argument("--mode", choices=["incremental", "full"], default="incremental")
     given = parser.parse_args(args)
     sources = dict(pair.split("=", 1) for pair in given.folder)
-    spark = SparkSession.builder.appName("ledger nightly").getOrCreate()
+    spark = recommended(SparkSession.builder.appName("ledger nightly")).getOrCreate()
     outcome = run_nightly(spark, given.root, sources, given.mode, tuple(sources))
     outcome.show(truncate=False)
     return 2 if outcome.filter("status = 'failed'").count() else 0

@@ -1,8 +1,9 @@
 """xBase (DBF) tables as a Spark batch source.
 
-The source itself only cuts a file into its fixed-width records: ``(path, rec_no,
-record)``. A file is split by record ranges, so one large file is read by many tasks.
-Turning records into typed columns is left to native expressions (:func:`decode`).
+The source itself only cuts a file into its fixed-width records: ``(path, rec_no, record,
+plain)``. A file is split by record ranges, so one large file is read by many tasks.
+Turning records into typed columns is left to native expressions (:func:`decode`);
+``plain`` tells them that a record is printable ASCII throughout and needs no cleaning.
 """
 
 from __future__ import annotations
@@ -15,14 +16,14 @@ from dataclasses import dataclass, replace
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from ledgerspark.functions.coerce import coerce
-from ledgerspark.functions.text import decode_cp1252, field_name
+from ledgerspark.functions.coerce import spark_type, typed
+from ledgerspark.functions.text import clean_text, decode_cp1252, field_name, strip
 from ledgerspark.operators.changes import union_folders
 
-RECORD_SCHEMA = "path string, rec_no bigint, record binary"
+RECORD_SCHEMA = "path string, rec_no bigint, record binary, plain boolean"
 SPLIT_BYTES = 64 * 1024 * 1024
 BATCH_BYTES = 4 * 1024 * 1024
 
@@ -138,6 +139,11 @@ class XbaseDataSource(DataSource):
         return XbaseReader(paths, int(self.options.get("splitBytes", SPLIT_BYTES)))
 
 
+def _printable(block: bytes, rows: int, width: int) -> np.ndarray:
+    codes = np.frombuffer(block, np.uint8).reshape(rows, width)
+    return (codes.min(axis=1) >= 0x20) & (codes.max(axis=1) < 0x7F)
+
+
 class XbaseReader(DataSourceReader):
     def __init__(self, paths: list[str], split_bytes: int):
         self.paths, self.split_bytes = paths, split_bytes
@@ -173,8 +179,9 @@ class XbaseReader(DataSourceReader):
                         pa.repeat(pa.scalar(partition.path), rows),
                         pa.array(np.arange(first, first + rows, dtype=np.int64)),
                         pa.BinaryArray.from_buffers(pa.binary(), rows, [None, ends.buffers()[1], pa.py_buffer(block)]),
+                        pa.array(_printable(block, rows, width)),
                     ],
-                    names=["path", "rec_no", "record"],
+                    names=["path", "rec_no", "record", "plain"],
                 )
 
 
@@ -215,21 +222,25 @@ def _value(field: Field) -> Column:
     raw = F.substring("record", field.offset + 1, field.length)
     if (field.code, field.length) in _BINARY:
         return _binary_value(raw, field)
-    return coerce(decode_cp1252(raw), field.code, field.length, field.decimals)
+    special = decode_cp1252(raw)
+    special = clean_text(special) if isinstance(spark_type(field.code), T.StringType) else strip(special)
+    value = F.nullif(F.when(F.col("plain"), F.trim(raw.cast("string"))).otherwise(special), F.lit(""))
+    return typed(value, field.code, field.length, field.decimals)
 
 
 def decode(records: DataFrame, fields: Sequence[Field]) -> DataFrame:
-    """Typed columns of the live records, after all columns but ``record``.
+    """Typed columns of the live records, after all columns but ``record`` and ``plain``.
 
     Every field is a byte slice run through native functions, so the projection stays
-    inside generated code and unused fields are pruned.
+    inside generated code and unused fields are pruned. Only a record with accents or
+    control characters pays for decoding and cleaning.
     """
     names = [f.column for f in fields]
     twice = sorted({n for n in names if names.count(n) > 1})
     if twice:
         raise ValueError(f"field names collide after normalization: {twice}")
     live = records.filter(F.expr("substring(record, 1, 1) <> X'2A'"))
-    kept = [c for c in records.columns if c != "record"]
+    kept = [c for c in records.columns if c not in ("record", "plain")]
     return live.select(*kept, *[_value(f).alias(f.column) for f in fields])
 
 

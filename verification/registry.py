@@ -70,7 +70,7 @@ def _dbf_scan(d: LedgerData) -> DataFrame:
         F.rpad(F.concat("o_orderpriority", F.lit(" \x80é")), 24, " "),
         F.when(status == "F", "T").when(status == "P", "?").otherwise(" "),
     )
-    records = d.table("orders").select(F.encode(text, "ISO-8859-1").alias("record"))
+    records = d.table("orders").select(F.encode(text, "ISO-8859-1").alias("record"), F.lit(False).alias("plain"))
     return xbase.decode(records, fields)
 
 
