@@ -8,7 +8,7 @@ from tables Spark already holds.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ledgerspark.operators.changes import union_folders
 from ledgerspark.operators.lineage import business_columns
@@ -140,11 +140,9 @@ def field_dictionary(catalog: DataFrame) -> DataFrame:
 def sample_rows(raw: DataFrame, rows: int = SAMPLE_ROWS, fields: int = SAMPLE_FIELDS) -> DataFrame:
     """First rows per folder in source order, as text, NULL as empty.
 
-    ``rows`` smallest positions per folder come from a bounded aggregate, not a sort of
-    the folder: each task keeps only its own smallest before the shuffle.
+    The rank filter becomes a group limit below the shuffle: each task passes on only
+    its own first rows of a folder, whatever the folder's size.
     """
-    from pyspark.sql import Window
-
     order = Window.partitionBy("_source_folder").orderBy("_seq")
     shown = business_columns(raw)[:fields]
     first = raw.withColumn("row_no", F.row_number().over(order)).filter(F.col("row_no") <= rows)

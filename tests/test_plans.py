@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ledgerspark.jobs.rebuild import DIMENSIONS, FACTS
 from ledgerspark.operators.dedup import exact_dedup, keep_first
-from ledgerspark.plans import facts, queries, views
+from ledgerspark.plans import facts, profile, queries, views
 from ledgerspark.sources.tables import replace_partitions, write_table
 from verification.ledger_data import AS_OF, LedgerData
 from verification.registry import queries_by_name
@@ -121,3 +121,8 @@ def test_partitions_are_replaced_one_by_one(spark, tmp_path):
 def test_slow_moving_aggregates_sales_before_the_join(spark, data, tmp_path, no_broadcast):
     text = plan(views.slow_moving(stored(spark, data, tmp_path), AS_OF))
     assert text.index("Join") < text.index("HashAggregate")
+
+
+def test_samples_are_limited_before_the_shuffle(spark, data):
+    text = plan(profile.sample_rows(data.trans()))
+    assert text.index("Exchange") < text.rindex("WindowGroupLimit") and "Partial" in text
