@@ -6,19 +6,43 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerspark.llm import simhash
+from ledgerspark.llm import bpe, html_text, licenses, quality, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary_file(name: str = "word_bpe_49k.json") -> str:
+    """Place of a public vocabulary; it is installed beside Python, not in this repository."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.classes(_table(spark, sf_dir, "documents"))
 
 
+def op3_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encoded(_table(spark, sf_dir, "documents"), vocabulary_file())
+
+
+def op6_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.licensed(_table(spark, sf_dir, "documents"))
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    return quality.judged(documents, quality.weights(documents, quality.trusted_ids(_table(spark, sf_dir, "labels"))))
+
+
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extracted(_table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_simhash_near_dedup,)}
+    return {f.__name__: f for f in (op2_simhash_near_dedup, op3_bpe_encoding, op6_license_scans, op8_quality_rules, op10_html_extraction)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -11,12 +11,14 @@ and no link is lost.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -133,3 +135,7 @@ def keep_one(documents: DataFrame) -> DataFrame:
     first = near_duplicates(marks, mark, "at")
     kept = first.select(F.col("first.row").alias(rid)).distinct()
     return held.join(kept, rid, "left_semi").drop(rid)
+
+
+# Workers then need no copy of this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
