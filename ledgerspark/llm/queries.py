@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerspark.llm import bpe, html_text, licenses, quality, simhash
+from ledgerspark.llm import bpe, classifier, html_text, leaks, licenses, quality, simhash, url_data, url_lists
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,10 +28,23 @@ def op3_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded(_table(spark, sf_dir, "documents"), vocabulary_file())
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classifier.scored(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    return url_lists.evaluated(url_data.captures(pages), url_data.entries(pages))
+
+
 def op6_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.licensed(_table(spark, sf_dir, "documents"))
 
 
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     return quality.judged(documents, quality.weights(documents, quality.trusted_ids(_table(spark, sf_dir, "labels"))))
@@ -42,8 +55,20 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_simhash_near_dedup, op3_bpe_encoding, op6_license_scans, op8_quality_rules, op10_html_extraction)}
+    return {
+        f.__name__: f
+        for f in (
+            op2_simhash_near_dedup,
+            op3_bpe_encoding,
+            op4_quality_classifier,
+            op5_url_filters,
+            op6_license_scans,
+            op7_benchmark_decontamination,
+            op8_quality_rules,
+            op10_html_extraction,
+        )
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_url_filters": url_data.ORACLE}
