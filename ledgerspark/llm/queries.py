@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerspark.llm import bpe, classifier, html_text, leaks, licenses, quality, simhash, url_data, url_lists
+from ledgerspark.llm import bpe, classifier, html_text, leaks, licenses, line_dedup, pii, quality, simhash, url_data, url_lists
+
+# The key of the registered query only; a real run passes a secret of its own.
+SURROGATE_KEY = b"registered query"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +23,10 @@ def vocabulary_file(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.summary(_table(spark, sf_dir, "documents"))
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.classes(_table(spark, sf_dir, "documents"))
 
@@ -50,6 +57,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(documents, quality.weights(documents, quality.trusted_ids(_table(spark, sf_dir, "labels"))))
 
 
+def op9_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymised(_table(spark, sf_dir, "documents"), SURROGATE_KEY)
+
+
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extracted(_table(spark, sf_dir, "pages"))
 
@@ -58,6 +69,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
         for f in (
+            op1_line_dedup,
             op2_simhash_near_dedup,
             op3_bpe_encoding,
             op4_quality_classifier,
@@ -65,6 +77,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op6_license_scans,
             op7_benchmark_decontamination,
             op8_quality_rules,
+            op9_pii_surrogates,
             op10_html_extraction,
         )
     }
