@@ -110,3 +110,26 @@ def clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = matches(held.select(F.col(rid).alias("row"), "text"), benchmark)
     leaked = store(found.select(F.col("row").alias(rid)).distinct(), "leaked")
     return held.join(leaked, rid, "left_anti").drop(rid)
+
+
+def oracle() -> str:
+    """``contaminated`` over ``documents`` and ``benchmark`` in SQL: windows are compared as
+    texts, not by hash. For benchmarks without items of fewer words than a window."""
+    split = "list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\p{L}\\p{N}]+'), lambda w: w <> '')"
+    keys = ", ".join(f"[{k}, " + ", ".join(f"w[a + {i + 1}]" for i, bit in enumerate(m) if bit == "1") + "]" for k, m in enumerate(MASKS))
+    keys = keys.replace("[0, ", "['0', ").replace("[1, ", "['1', ").replace("[2, ", "['2', ")
+    windows = f"unnest(flatten([[{{'at': a, 'key': array_to_string(k, ' ')}} FOR k IN [{keys}]] FOR a IN range(len(w) - {SPAN - 1})]))"
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS no, doc_id, {split} AS w FROM documents),
+items AS (SELECT row_number() OVER () AS no, item_id, {split} AS w FROM benchmark),
+doc_windows AS (SELECT no, u.at AS at, u.key AS key FROM (SELECT no, {windows} AS u FROM docs WHERE len(w) >= {SPAN})),
+item_windows AS (SELECT no, u.at AS place, u.key AS key FROM (SELECT no, {windows} AS u FROM items WHERE len(w) >= {SPAN})),
+hits AS (SELECT DISTINCT d.no, i.no AS item, d.at, i.place FROM doc_windows d JOIN item_windows i USING (key)),
+spans AS (
+  SELECT doc_id, item_id, h.at - h.place AS shift, greatest(h.place - {AROUND}, h.place - h.at, 0) AS b,
+         least(h.place + {SPAN + AROUND}, len(i.w), h.place - h.at + len(d.w)) AS e, d.w AS dw, i.w AS iw
+  FROM hits h JOIN docs d ON d.no = h.no JOIN items i ON i.no = h.item),
+counted AS (SELECT doc_id, item_id, shift, len([1 FOR k IN range(b, e) IF iw[k + 1] = dw[k + shift + 1]]) AS matched, len(iw) AS size FROM spans)
+SELECT doc_id, item_id, CAST(max(matched) AS BIGINT) AS n_matched, CAST(min(shift) AS BIGINT) AS first_word
+FROM counted WHERE matched >= least({ENOUGH}, ceil(size * {SHARE})) GROUP BY doc_id, item_id
+"""

@@ -178,5 +178,32 @@ def licensed(documents: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLA
     )
 
 
+def oracle(templates: Sequence[tuple[str, str]] = TEMPLATES, containment: float = CONTAINMENT) -> str:
+    """``licensed`` over ``documents`` in SQL: every block against every template."""
+    split = "regexp_extract_all(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    rows = []
+    for no, (label, text) in enumerate(templates):
+        own = sorted({w.decode() for w in words(text)})
+        rows += [f"({no}, '{label}', {len(own)}, {need(len(own), containment)}, '{w}')" for w in own]
+    places = []
+    for phrase, label in PHRASES:
+        same = " AND ".join(f"w[k + {i + 1}] = '{word}'" for i, word in enumerate(phrase.split()))
+        places.append(f"[{{'at': k, 'label': '{label}'}} FOR k IN range(len(w)) IF {same}]")
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS no, doc_id, coalesce(text, '') AS text, {split.format("coalesce(text, '')")} AS w FROM documents),
+places AS (SELECT no, doc_id, len(w) AS n_words, flatten([{", ".join(places)}]) AS p FROM docs),
+templates (template, label, size, need, word) AS (VALUES {", ".join(rows)}),
+blocks AS (SELECT no, block, unnest(list_distinct({split.format("line")})) AS word
+           FROM (SELECT no, unnest(range(len(lines))) AS block, unnest(lines) AS line FROM (SELECT no, string_split(text, chr(10)) AS lines FROM docs))),
+common AS (SELECT no, block, template, label, size, count(*) AS n FROM blocks JOIN templates USING (word) GROUP BY ALL HAVING count(*) >= any_value(need)),
+found AS (SELECT no, max(n / size) AS best, list(DISTINCT label) AS more FROM common GROUP BY no)
+SELECT doc_id, n_words, len(p) AS n_base, list_min([x.at FOR x IN p]) AS first_word, list_max([x.at FOR x IN p]) AS last_word,
+       array_to_string(list_sort(list_distinct([x.label FOR x IN p])), ',') AS base_labels,
+       array_to_string(list_sort(list_distinct(list_concat([x.label FOR x IN p], coalesce(more, [])))), ',') AS labels,
+       CASE WHEN len(p) > 0 THEN 1.0::DOUBLE ELSE coalesce(best, 0.0::DOUBLE) END AS score
+FROM places LEFT JOIN found USING (no)
+"""
+
+
 # Workers then need no copy of this package on their path.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

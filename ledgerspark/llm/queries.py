@@ -84,4 +84,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_url_filters": url_data.ORACLE}
+    return {"op5_url_filters": url_data.ORACLE, "op6_license_scans": licenses.oracle(), "op7_benchmark_decontamination": leaks.oracle()}
