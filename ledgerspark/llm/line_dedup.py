@@ -11,12 +11,13 @@ hash ends in zero bits: one bit, and one more at every doubling. Such a sample h
 expected similarity. Lines up to a quarter above a step are signed for both of its sides, so
 partners of different length still meet.
 
-In a band's bucket every line is compared with the smallest key (exact Jaccard similarity
-of whole shingle sets, ``SIMILAR`` or more), the links are joined to components, and then
-each line that did not end up with the smallest key is compared with all lines of the
-bucket outside its component. So components are those of comparing all pairs, while a
-bucket of many copies costs one comparison a line. The texts of lines in shared buckets are
-picked by a broadcast of their keys if they are at most ``MOST_KEYS``, else by a shuffle.
+In a band's bucket every line is compared with its lead, the line of most copies (exact
+Jaccard similarity of whole shingle sets, ``SIMILAR`` or more), the links are joined to
+components, and then each line that did not end up with the lead is compared with all lines
+of the bucket outside its component. So components are those of comparing all pairs, while
+a bucket of many copies and edits of a line costs one comparison a line. Shared buckets, and
+the texts of their lines, are picked by broadcasts if they are at most ``MOST_KEYS``, else
+by shuffles.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerspark.llm.shared import components, store
+from ledgerspark.llm.shared import components, let, store
 
 SHINGLE = 8
 BANDS = 10
@@ -33,6 +34,7 @@ SIMILAR = 0.8
 WHOLE = 64
 MOST_KEYS = 1_000_000
 _MOST_BITS = 20
+_MOST_WEIGHT = (1 << 21) - 1
 _SPACES = " \t\x0b\x0c\r"
 _NO_ID = -(1 << 63)
 
@@ -47,7 +49,8 @@ def _lines(documents: DataFrame) -> DataFrame:
 
 
 def signatures(lines: DataFrame) -> DataFrame:
-    """``key`` and ``bands`` of the signatures of each different line (``key``, ``line``)."""
+    """``key``, ``bands`` and ``weight`` of the signatures of each different line (``key``,
+    ``line``). The weight is the number of signed shingles, so it grows with the copies."""
     step = F.greatest(F.lit(0), F.least(F.lit(_MOST_BITS), F.floor(F.log2(F.length("line") / (WHOLE // 2))).cast("int")))
     near = F.length("line") < F.call_function("shiftleft", F.lit(WHOLE // 2 * 5 // 4), step)
     steps = F.when((step > 0) & near, F.array(step, step - 1)).otherwise(F.array(step))
@@ -57,9 +60,9 @@ def signatures(lines: DataFrame) -> DataFrame:
     hashed = placed.select("key", "step", "zero", F.xxhash64(F.substring("units", F.col("start"), F.lit(2 * SHINGLE))).alias("h"))
     kept = hashed.where(F.col("h").bitwiseAND(F.col("zero")) == 0).select("key", "step", F.shiftright("h", 32).cast("int").alias("h"))
     smallest = [F.min(F.col("h").bitwiseXOR(F.lit(mask))).alias(f"m{i}") for i, mask in enumerate(_masks())]
-    signed = kept.groupBy("key", "step").agg(*smallest)
+    signed = kept.groupBy("key", "step").agg(*smallest, F.count("*").alias("rows"))
     bands = [F.xxhash64("step", F.lit(b), *(f"m{b * ROWS + r}" for r in range(ROWS))) for b in range(BANDS)]
-    return signed.select("key", F.array(*bands).alias("bands"))
+    return signed.select("key", F.least("rows", F.lit(_MOST_WEIGHT)).cast("int").alias("weight"), F.array(*bands).alias("bands"))
 
 
 def _masks() -> list[int]:
@@ -68,29 +71,41 @@ def _masks() -> list[int]:
 
 
 def _shingles(line: str) -> Column:
+    """Shingles of a line, repeats included."""
     grams = F.regexp_extract_all(line, F.lit(f"(?s)(?=(.{{{SHINGLE}}}))"), F.lit(1))
-    return F.array_distinct(F.when(F.length(line) >= SHINGLE, grams).otherwise(F.array(F.col(line))))
+    return F.when(F.length(line) >= SHINGLE, grams).otherwise(F.array(F.col(line)))
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (``a``, ``b``) of keys whose lines are similar enough. ``texts``: ``key``, ``line``."""
-    sides = pairs.join(texts.select(F.col("key").alias("a"), F.col("line").alias("line_a")), "a")
+    """The pairs (``a``, ``b``) of keys whose lines are similar enough. ``texts``: ``key``,
+    ``line`` and ``size``, the number of different shingles, which alone rules out pairs of
+    too different size."""
+    sizes = texts.select("key", "size")
+    likely = pairs.join(sizes.select(F.col("key").alias("a"), F.col("size").alias("size_a")), "a")
+    likely = likely.join(sizes.select(F.col("key").alias("b"), F.col("size").alias("size_b")), "b")
+    likely = likely.where(F.least("size_a", "size_b") >= SIMILAR * F.greatest("size_a", "size_b"))
+    sides = likely.join(texts.select(F.col("key").alias("a"), F.col("line").alias("line_a")), "a")
     sides = sides.join(texts.select(F.col("key").alias("b"), F.col("line").alias("line_b")), "b")
-    sets = sides.select("a", "b", _shingles("line_a").alias("x"), _shingles("line_b").alias("y"))
-    common = sets.select("a", "b", (F.size("x") + F.size("y")).alias("both"), F.size(F.array_intersect("x", "y")).alias("common"))
-    return common.where(F.col("common") >= SIMILAR * (F.col("both") - F.col("common"))).select("a", "b")
+    common = F.size(F.array_intersect(_shingles("line_a"), _shingles("line_b")))
+    return sides.where(let(common, lambda n: n >= SIMILAR * (F.col("size_a") + F.col("size_b") - n))).select("a", "b")
+
+
+def _small(table: DataFrame) -> DataFrame:
+    """A stored table of numbers, to be broadcast if it is at most ``MOST_KEYS`` rows."""
+    return F.broadcast(table) if table.count() <= MOST_KEYS else table
 
 
 def line_links(lines: DataFrame) -> DataFrame:
     """``node`` and ``component`` of the keys that are similar to another, from all lines
     (``key``, ``line``; repeats allowed)."""
     signed = store(signatures(lines), "signatures")
-    entries = signed.select("key", F.explode("bands").alias("bucket"))
-    leads = store(entries.groupBy("bucket").agg(F.min("key").alias("lead"), F.max("key").alias("last")).where("lead <> last").select("bucket", "lead"), "leads")
-    shared = store(entries.join(leads, "bucket").distinct(), "shared")
+    entries = signed.select("key", "weight", F.explode("bands").alias("bucket"))
+    rank = F.shiftleft(F.col("weight").cast("long"), 42).bitwiseOR(F.col("key").bitwiseAND((1 << 42) - 1))
+    found = entries.groupBy("bucket").agg(F.max_by("key", rank).alias("lead"), F.min("key").alias("least"), F.max("key").alias("most"))
+    leads = store(found.where("least <> most").select("bucket", "lead"), "leads")
+    shared = store(entries.select("bucket", "key").join(_small(leads), "bucket").distinct(), "shared")
     keys = store(shared.select("key").distinct(), "keys")
-    few = keys.count() <= MOST_KEYS
-    texts = store(lines.select("key", "line").join(F.broadcast(keys) if few else keys, "key", "left_semi").distinct(), "texts")
+    texts = store(lines.select("key", "line").join(_small(keys), "key", "left_semi").distinct().withColumn("size", F.size(F.array_distinct(_shingles("line")))), "texts")
     first = store(verified(shared.where("key <> lead").select(F.col("lead").alias("a"), F.col("key").alias("b")).distinct(), texts), "links")
     found = components(first, "a", "b")
     named = found.select(F.col("node").alias("key"), "component")
