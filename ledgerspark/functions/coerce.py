@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F, types as T
 
 from ledgerspark.functions.text import clean_text, strip
-from ledgerspark.values import LOGICAL_TRUE
+from ledgerspark.values import LOGICAL_FALSE, LOGICAL_TRUE
 
 
 def spark_type(code: str, length: int = 18, decimals: int = 0) -> T.DataType:
     """Column type for an xBase type code; decimals keep the header's scale."""
     match code:
+        case "B" if length == 8:
+            return T.DoubleType()
         case "N" | "F" | "B":
             precision = min(38, max(18, length))
             return T.DecimalType(precision, min(decimals, precision))
@@ -43,6 +45,9 @@ def typed(value: Column, code: str, length: int = 18, decimals: int = 0) -> Colu
         case T.DateType():
             return F.when(value.rlike(r"^\d{8}$"), F.try_to_date(value, "yyyyMMdd"))
         case T.BooleanType():
-            return F.upper(value).isin(*LOGICAL_TRUE)
+            letter = F.upper(value)
+            return F.when(letter.isin(*LOGICAL_TRUE), True).when(letter.isin(*LOGICAL_FALSE), False)
+        case T.DecimalType():  # a comma counts as the point; asterisks mark an overflow
+            return F.translate(value, ",", ".").try_cast(kind)
         case _:
             return value.try_cast(kind)

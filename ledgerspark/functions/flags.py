@@ -46,10 +46,9 @@ def rounded_int(number: Column) -> Column:
 def exact_average(total: Column, count: Column) -> Column:
     """``total / count`` to two decimals, halves away from zero; NULL for a zero count.
 
-    Whole cents are divided as integers: decimal division would round twice, once to
-    the scale Spark picks and once to two places.
+    The quotient is cut to whole cents after half a cent is added: decimal division would
+    round twice, once to the scale Spark picks and once to two places.
     """
-    cents = (total * 100).cast("decimal(38,0)")
     doubled = (2 * F.nullif(count, F.lit(0))).cast("decimal(20,0)")
-    magnitude = F.call_function("div", 2 * F.abs(cents) + count, doubled).cast("decimal(20,0)")
-    return (F.when(cents < 0, -magnitude).otherwise(magnitude) / 100).cast("decimal(22,2)")
+    magnitude = F.call_function("div", 200 * F.abs(total) + count, doubled).cast("decimal(20,0)")
+    return (F.when(total < 0, -magnitude).otherwise(magnitude) / 100).cast("decimal(22,2)")

@@ -81,10 +81,10 @@ def load_file(
         result = LoadResult(folder, table, "success", kept, duplicates)
     except Exception as problem:  # one bad file must not stop the others
         log.exception("%s/%s failed", folder, table)
-        result = LoadResult(folder, table, "error", message=str(problem)[:2000])
+        result = LoadResult(folder, table, "error", message=str(problem))
     store.append(
         "sync_log",
-        [(log_id, folder, table, started, now(), result.rows, result.status, result.message, file.file_hash)],
+        [(log_id, folder, table, started, now(), result.rows, result.status, result.message, file.file_hash, result.duplicates)],
         SYNC_LOG,
     )
     return result
@@ -123,7 +123,7 @@ def load_sources(
     started = now()
     ids = [uuid.uuid4().hex for _ in todo]
     running = [
-        (i, f.source_folder, f.table_name, started, None, 0, "running", None, f.file_hash) for i, f in zip(ids, todo)
+        (i, f.source_folder, f.table_name, started, None, 0, "running", None, f.file_hash, None) for i, f in zip(ids, todo)
     ]
     store.append("sync_log", running, SYNC_LOG)
 

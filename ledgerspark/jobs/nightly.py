@@ -1,6 +1,6 @@
 """Load, rebuild, check, publish: the stages of a nightly run, stopping at the first failure.
 
-    spark-submit -m ledgerspark.jobs.nightly --root /lake/ledger --folder ZF2526=/data/ZF2526
+    spark-submit bin/nightly.py --root /lake/ledger --folder ZF2526=/data/ZF2526
 """
 
 from __future__ import annotations
@@ -12,11 +12,11 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerspark.jobs.load import LoadResult, load_sources
-from ledgerspark.jobs.rebuild import build_facts, write_dimensions
+from ledgerspark.jobs.rebuild import build_facts, write_dimensions, write_rejects
 from ledgerspark.jobs.store import Store, new_run
 from ledgerspark.plans import views
 from ledgerspark.plans.warehouse import Warehouse
-from ledgerspark.session import recommended
+from ledgerspark.session import recommended, ship_package
 from ledgerspark.values import FOLDERS, INTERNAL_LEDGER_CODES
 
 log = logging.getLogger(__name__)
@@ -37,6 +37,7 @@ def run_nightly(
     folders: tuple[str, ...] = FOLDERS,
     internal_codes: tuple[str, ...] = INTERNAL_LEDGER_CODES,
     match_type: bool = False,
+    dedup: bool = True,
 ) -> DataFrame:
     """Run the stages in order; one row per stage with status and detail.
 
@@ -46,15 +47,17 @@ def run_nightly(
     store, version = Store(spark, root), new_run()
 
     def load() -> str:
-        results = load_sources(spark, root, sources, mode)
+        results = load_sources(spark, root, sources, mode, dedup=dedup)
         if any(r.status == "error" for r in results):
             raise LoadFailed(results)
         counts = {s: sum(r.status == s for r in results) for s in ("success", "skipped")}
-        return f"synced {counts['success']}, skipped {counts['skipped']}, rows {sum(r.rows for r in results)}"
+        repeats = sum(r.duplicates for r in results)
+        return f"synced {counts['success']}, skipped {counts['skipped']}, rows {sum(r.rows for r in results)}, repeats left out {repeats}"
 
     def dimensions() -> str:
         write_dimensions(store, version, Warehouse.from_raw(spark, store.raw, folders, internal_codes))
-        return version
+        rejected = write_rejects(store, version, store.raw)
+        return f"{version}, rows without a code: " + ", ".join(f"{name} {n}" for name, n in rejected.items())
 
     def facts() -> str:
         build_facts(store, version, store.raw, match_type)
@@ -76,7 +79,7 @@ def run_nightly(
             done.append((name, "ok", stage()))
         except Exception as problem:
             log.exception("stage %s failed", name)
-            done.append((name, "failed", str(problem)[:2000]))
+            done.append((name, "failed", str(problem)))
             failed = True
     return spark.createDataFrame(done, "stage string, status string, detail string")
 
@@ -100,10 +103,16 @@ def main(args: list[str] | None = None) -> int:
     parser.add_argument("--root", required=True, help="directory for raw tables, warehouse and load records")
     parser.add_argument("--folder", action="append", required=True, metavar="CODE=PATH")
     parser.add_argument("--mode", choices=["incremental", "full"], default="incremental")
+    parser.add_argument("--internal-code", action="append", metavar="CODE", help="ledger code of an internal account; replaces the built-in ones")
+    parser.add_argument("--match-type", action="store_true", help="lines meet headers of their own type only")
+    parser.add_argument("--keep-repeats", action="store_true", help="load records that repeat another one, too")
     given = parser.parse_args(args)
-    sources = dict(pair.split("=", 1) for pair in given.folder)
+    pairs = (pair.split("=", 1) for pair in given.folder)
+    sources = {code.upper(): path for code, path in pairs}
     spark = recommended(SparkSession.builder.appName("ledger nightly")).getOrCreate()
-    outcome = run_nightly(spark, given.root, sources, given.mode, tuple(sources))
+    ship_package(spark)
+    codes = tuple(given.internal_code or INTERNAL_LEDGER_CODES)
+    outcome = run_nightly(spark, given.root, sources, given.mode, tuple(sources), codes, given.match_type, not given.keep_repeats)
     outcome.show(truncate=False)
     return 2 if outcome.filter("status = 'failed'").count() else 0
 

@@ -1,6 +1,6 @@
 """Removing repeats without ever gathering a group in one place.
 
-Both operators are aggregates, so every map task first shrinks its own share of a
+What is aggregated is narrow and hashed, so every map task first shrinks its own share of a
 group to one row; a key or a set of copies that holds a third of the table reaches the
 reducer as one row per map task.
 """
@@ -8,27 +8,32 @@ reducer as one row per map task.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import DataFrame, functions as F
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: str, distinct_nulls: bool = False) -> DataFrame:
-    """First row per key by ``order``; columns keep their order, ``order`` included.
+    """First row per key by ``order``, which is not NULL and unique within a key.
 
-    With ``distinct_nulls`` a row with a NULL key column never equals another one, as
-    in a SQL unique key: such rows get their own group through ``order``, which must
-    be unique among them. They then spread over the reducers as well.
+    Only keys and positions are aggregated. The keys found more than once, with their first
+    position, are joined back to the rows, so full rows are never sorted to find the first
+    one and a row without a repeated key passes as it is. With ``distinct_nulls`` a row
+    with a NULL key column never equals another one, as in a SQL unique key.
     """
-    names = df.columns
-    group = [F.col(k) for k in keys]
-    if distinct_nulls:
-        incomplete = reduce(or_, (F.col(k).isNull() for k in keys))
-        group.append(F.when(incomplete, F.col(order)).alias("_alone"))
-    rest = [c for c in names if c not in keys]
-    first = df.groupBy(*group).agg(F.min_by(F.struct(*rest), F.col(order)).alias("_first"))
-    return first.select(*[F.col(c) if c in keys else F.col(f"_first.{c}") for c in names])
+    names = [f"_key{i}" for i in range(len(keys))]
+    found = df.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)])
+    repeated = found.agg(F.min(order).alias("_first"), F.count("*").alias("_copies")).filter("_copies > 1")
+    same = [F.col(k) == F.col(n) if distinct_nulls else F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)]
+    marked = df.join(repeated.drop("_copies"), same, "left")
+    return marked.filter(F.col("_first").isNull() | (F.col(order) == F.col("_first"))).select(*df.columns)
+
+
+def first_of_key(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """Like :func:`keep_first` for master tables that facts look up: one aggregate, from
+    which the planner knows that a key is unique and drops lookups that nobody reads."""
+    rest = [c for c in df.columns if c not in keys]
+    first = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.col(order)).alias("_first"))
+    return first.select(*[F.col(c) if c in keys else F.col(f"_first.{c}") for c in df.columns])
 
 
 def exact_dedup(df: DataFrame, columns: Sequence[str], order: str | None = None) -> DataFrame:

@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerspark.functions.flags import financial_year, is_internal, is_service, natural_key, padded_name
-from ledgerspark.operators.dedup import keep_first
+from ledgerspark.operators.dedup import first_of_key, keep_first
 from ledgerspark.schemas import DIM_CUSTOMER, DIM_DATE, DIM_LEDGER_GROUP, DIM_PRODUCT, conform
 from ledgerspark.values import CALENDAR_END, CALENDAR_START, INTERNAL_LEDGER_CODES
 
@@ -38,7 +38,7 @@ def calendar(span: DataFrame) -> DataFrame:
 
 def dim_customer(master: DataFrame, internal_codes: Iterable[str] = INTERNAL_LEDGER_CODES) -> DataFrame:
     """One row per (folder, ledger code), the first in source order."""
-    first = keep_first(master.filter(F.col("codecbg").isNotNull()), ["_source_folder", "codecbg"], "_seq")
+    first = first_of_key(master.filter(F.col("codecbg").isNotNull()), ["_source_folder", "codecbg"], "_seq")
     return conform(
         first,
         DIM_CUSTOMER,
@@ -63,7 +63,7 @@ def dim_customer(master: DataFrame, internal_codes: Iterable[str] = INTERNAL_LED
 
 def dim_product(item: DataFrame) -> DataFrame:
     """One row per (folder, item code), the first in source order."""
-    first = keep_first(item.filter(F.col("itemcode").isNotNull()), ["_source_folder", "itemcode"], "_seq")
+    first = first_of_key(item.filter(F.col("itemcode").isNotNull()), ["_source_folder", "itemcode"], "_seq")
     return conform(
         first,
         DIM_PRODUCT,

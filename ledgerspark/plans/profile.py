@@ -16,7 +16,6 @@ from ledgerspark.values import (
     FIELD_MEANINGS,
     FIELD_TYPE_LABELS,
     JOIN_HINTS,
-    SAMPLE_FIELDS,
     SAMPLE_ROWS,
     TABLE_PURPOSES,
     UNKNOWN_JOIN,
@@ -137,8 +136,9 @@ def field_dictionary(catalog: DataFrame) -> DataFrame:
     )
 
 
-def sample_rows(raw: DataFrame, rows: int = SAMPLE_ROWS, fields: int = SAMPLE_FIELDS) -> DataFrame:
-    """First rows per folder in source order, as text, NULL as empty.
+def sample_rows(raw: DataFrame, rows: int = SAMPLE_ROWS, fields: int | None = None) -> DataFrame:
+    """First rows per folder in source order, as text, NULL as empty; all fields unless
+    ``fields`` asks for the first few.
 
     The rank filter becomes a group limit below the shuffle: each task passes on only
     its own first rows of a folder, whatever the folder's size.

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ledgerspark.operators.changes import union_folders
 from ledgerspark.operators.lineage import business_columns
+from ledgerspark.plans.queries import checked_limit
 from ledgerspark.plans.warehouse import Warehouse
 
 
@@ -62,12 +63,12 @@ def raw_load_counts(raw: DataFrame) -> DataFrame:
     )
 
 
-def sync_history(log: DataFrame, rows: int = 50) -> DataFrame:
+def sync_history(log: DataFrame, rows: int | None = None) -> DataFrame:
     """Latest load attempts. The log is append-only: an attempt's last entry counts."""
     order = F.struct(F.col("ended_at").isNotNull(), "ended_at")
     last = log.groupBy("log_id").agg(F.max_by(F.struct(*log.columns), order).alias("_row")).select("_row.*")
     newest = [F.col("started_at").desc_nulls_first(), F.col("source_folder"), F.col("table_name")]
-    return last.orderBy(*newest).limit(rows)
+    return last.orderBy(*newest).limit(checked_limit("sync_history", rows))
 
 
 def file_freshness(state: DataFrame) -> DataFrame:

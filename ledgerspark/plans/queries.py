@@ -102,18 +102,22 @@ def transactions(
 ) -> DataFrame:
     """Newest vouchers with their ledger's name.
 
-    A ledger filter reads the voucher's own key, which is set only for known ledgers.
+    A ledger filter compares the voucher's own key, which is set only for known ledgers,
+    with constants of the warehouse's folders, so it reaches the scan.
     """
     rows, scope = checked_limit("transactions", limit), wh.scoped(folder)
     vouchers = scope.fact_finance
     if ledger_code:
-        wanted = F.concat(F.col("source_folder"), F.lit(f"|{ledger_code}"))
-        vouchers = vouchers.filter(F.col("ledger_key") == wanted)
+        vouchers = vouchers.filter(F.col("ledger_key").isin([f"{f}|{ledger_code}" for f in scope.folders]))
     ties = [c for c in vouchers.columns if c != "voucher_date"]
     newest = [F.col("voucher_date").desc_nulls_first(), *[F.col(c).asc_nulls_last() for c in ties]]
     names = scope.dim_customer.select("source_folder", F.col("customer_key").alias("ledger_key"), "customer_name")
     latest = vouchers.orderBy(*newest).limit(rows)
-    return latest.join(names, ["source_folder", "ledger_key"], "left").orderBy(*newest).limit(rows)
+    # The dimension is cut to the picked rows' ledgers before it meets them: both sides that
+    # are broadcast have at most ``rows`` rows.
+    key = ["source_folder", "ledger_key"]
+    wanted = names.join(F.broadcast(latest.select(*key)), key, "left_semi")
+    return latest.join(F.broadcast(wanted), key, "left").orderBy(*newest).limit(rows)
 
 
 def inventory_items(

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ledgerspark.functions.labels import name_or_code, short_label
 from ledgerspark.plans import queries, views
 from ledgerspark.plans.warehouse import Day, Warehouse
-from ledgerspark.values import CASH_FLOW_POINTS, PRODUCT_BARS
+from ledgerspark.values import PRODUCT_BARS
 
 _KPIS = (
     "total_revenue",
@@ -49,10 +49,10 @@ def monthly_trend(wh: Warehouse, folder: str | None = None, limit: int | None =
     ).orderBy("month", F.col("source_folder").desc())
 
 
-def cash_flow_series(wh: Warehouse, folder: str | None = None, points: int = CASH_FLOW_POINTS) -> DataFrame:
+def cash_flow_series(wh: Warehouse, folder: str | None = None, points: int | None = None) -> DataFrame:
     """The latest (folder, day) points, oldest first."""
     daily = views.cash_flow(wh.scoped(folder))
-    latest = daily.orderBy(F.col("voucher_date").desc_nulls_first(), "source_folder").limit(points)
+    latest = daily.orderBy(F.col("voucher_date").desc_nulls_first(), "source_folder").limit(queries.checked_limit("cash_flow_series", points))
     return latest.select(
         "source_folder", "voucher_date", _zero("total_debit").alias("debit"), _zero("total_credit").alias("credit")
     ).orderBy("voucher_date", F.col("source_folder").desc())

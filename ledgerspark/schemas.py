@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+# Narrowest types of amounts and quantities; a raw table with more digits keeps them.
 MONEY = T.DecimalType(18, 2)
 QUANTITY = T.DecimalType(18, 3)
 
@@ -137,6 +138,7 @@ SYNC_LOG = _schema(
     ("status", _TEXT),
     ("error_msg", _TEXT),
     ("file_hash", _TEXT),
+    ("duplicates_skipped", _LONG),
 )
 
 FILE_STATE = _schema(
@@ -171,17 +173,27 @@ FACT_DAYS = {
 
 
 def conform(df: DataFrame, schema: T.StructType, columns: dict[str, Column | str] | None = None) -> DataFrame:
-    """Project ``df`` to exactly ``schema``; ``columns`` says where renamed ones come from.
+    """Project ``df`` to ``schema``; ``columns`` says where renamed ones come from.
 
     A column that neither mapping nor input provides becomes NULL, since raw tables
-    carry only the fields their file header declares.
+    carry only the fields their file header declares. The decimal types of ``schema`` are
+    the narrowest: a source with more digits on either side of the point keeps them.
     """
     columns = columns or {}
     present = set(df.columns)
-    out = []
+    sources = []
     for field in schema.fields:
         source = columns.get(field.name, field.name)
         if isinstance(source, str):
             source = F.col(source) if source in present else F.lit(None)
-        out.append(source.cast(field.dataType).alias(field.name))
-    return df.select(*out)
+        sources.append(source.alias(field.name))
+    found = df.select(*sources)
+    return found.select(*[F.col(f.name).cast(_lossless(f.dataType, found.schema[f.name].dataType)).alias(f.name) for f in schema.fields])
+
+
+def _lossless(wanted: T.DataType, given: T.DataType) -> T.DataType:
+    if not (isinstance(wanted, T.DecimalType) and isinstance(given, T.DecimalType)):
+        return wanted
+    scale = max(wanted.scale, given.scale)
+    whole = max(wanted.precision - wanted.scale, given.precision - given.scale)
+    return T.DecimalType(min(38, whole + scale), scale)

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 # Every hot invoice, customer or item is split at run time by the skew-join settings,
@@ -26,6 +30,14 @@ def recommended(builder: SparkSession.Builder) -> SparkSession.Builder:
     return builder
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, which need it to read xBase files, unless it is
+    installed there anyway."""
+    package = Path(__file__).resolve().parent
+    archive = f"{tempfile.mkdtemp()}/{package.name}"  # the driver serves it as long as it runs
+    spark.sparkContext.addPyFile(shutil.make_archive(archive, "zip", package.parent, package.name))
+
+
 def local_session(cores: str | int = 8, app: str = "ledgerspark") -> SparkSession:
     """Session for tests and the benchmark: one machine, few shuffle partitions."""
     spark = (

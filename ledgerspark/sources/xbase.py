@@ -9,6 +9,7 @@ Turning records into typed columns is left to native expressions (:func:`decode`
 from __future__ import annotations
 
 import json
+import logging
 import struct
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, replace
@@ -23,6 +24,8 @@ from ledgerspark.functions.coerce import spark_type, typed
 from ledgerspark.functions.text import clean_text, decode_cp1252, field_name, strip
 from ledgerspark.operators.changes import union_folders
 
+log = logging.getLogger(__name__)
+
 RECORD_SCHEMA = "path string, rec_no bigint, record binary, plain boolean"
 SPLIT_BYTES = 64 * 1024 * 1024
 BATCH_BYTES = 4 * 1024 * 1024
@@ -65,7 +68,7 @@ class Header:
     fields: tuple[Field, ...] = ()
 
     def records_in(self, file_size: int) -> int:
-        """Whole records behind the header; a short last one does not count."""
+        """Whole records that fit behind the header; a short last one does not count."""
         return max(0, file_size - self.header_size) // self.record_size if self.record_size else 0
 
 
@@ -144,6 +147,29 @@ def _printable(block: bytes, rows: int, width: int) -> np.ndarray:
     return (codes.min(axis=1) >= 0x20) & (codes.max(axis=1) < 0x7F)
 
 
+def live_records(system: fs.FileSystem, inner: str, header: Header) -> int:
+    """Records before the end mark 0x1A, or all that the file holds.
+
+    The mark is looked for where the header's count says the records end. Only if it is not
+    there, which is logged, are the flags read one after another.
+    """
+    held = header.records_in(system.get_file_info(inner).size or 0)
+    if header.record_count == held or not held:
+        return held
+    width, at = header.record_size, header.header_size
+    with system.open_input_file(inner) as f:
+        if header.record_count < held and f.read_at(1, at + header.record_count * width) == b"\x1a":
+            return header.record_count
+        log.warning("%s: the header says %d records, the file holds %d", inner, header.record_count, held)
+        step = max(1, BATCH_BYTES // width)
+        for first in range(0, held, step):
+            rows = min(step, held - first)
+            flags = np.frombuffer(f.read_at(rows * width, at + first * width), np.uint8)[::width]
+            if (ends := np.flatnonzero(flags == 0x1A)).size:
+                return first + int(ends[0])
+    return held
+
+
 class XbaseReader(DataSourceReader):
     def __init__(self, paths: list[str], split_bytes: int):
         self.paths, self.split_bytes = paths, split_bytes
@@ -153,7 +179,7 @@ class XbaseReader(DataSourceReader):
         for path in self.paths:
             header = read_header(path)
             system, inner = open_location(path)
-            records = header.records_in(system.get_file_info(inner).size or 0)
+            records = live_records(system, inner, header)
             step = max(1, self.split_bytes // max(1, header.record_size))
             for first in range(0, records, step):
                 count = min(step, records - first)
@@ -194,7 +220,7 @@ def scan_records(spark: SparkSession, paths: Sequence[str], split_bytes: int = S
 # ---- records to columns ----------------------------------------------------------
 
 # Fields stored as numbers and not as text, by type code and length.
-_BINARY = {("I", 4), ("+", 4), ("Y", 8), ("T", 8)}
+_BINARY = {("I", 4), ("+", 4), ("Y", 8), ("T", 8), ("B", 8)}
 # Fixed value: Julian day number of 1970-01-01.
 _EPOCH_DAY = 2440588
 
@@ -208,7 +234,9 @@ def _little_endian(raw: Column, first: int, size: int) -> Column:
 
 
 def _binary_value(raw: Column, field: Field) -> Column:
-    """Integers, currency in ten-thousandths, and a Julian day with milliseconds."""
+    """Integers, currency in ten-thousandths, doubles, and a Julian day with milliseconds."""
+    if field.code == "B":
+        return _double(raw)
     if field.code == "Y":
         return (_little_endian(raw, 1, 8) / 10000).cast("decimal(19,4)")
     if field.code == "T":
@@ -218,6 +246,18 @@ def _binary_value(raw: Column, field: Field) -> Column:
     return _little_endian(raw, 1, 4).cast("int" if field.code == "I" else "bigint")
 
 
+def _double(raw: Column) -> Column:
+    """IEEE double of eight little-endian bytes, put together exactly from its parts; NULL
+    for infinities and what is not a number."""
+    top = F.conv(F.hex(F.concat(F.substring(raw, 8, 1), F.substring(raw, 7, 1))), 16, 10).cast("int")
+    exponent = F.shiftright(top, 4).bitwiseAND(0x7FF)
+    low = F.conv(F.hex(F.concat(*[F.substring(raw, i, 1) for i in range(6, 0, -1)])), 16, 10).cast("bigint")
+    fraction = F.shiftleft(top.bitwiseAND(0xF).cast("bigint"), 48).bitwiseOR(low)
+    whole = F.when(exponent == 0, fraction).otherwise(fraction + (1 << 52)).cast("double")
+    size = whole * F.pow(F.lit(2.0), (F.greatest(exponent, F.lit(1)) - 1075).cast("double"))
+    return F.when(exponent < 0x7FF, F.when(top.bitwiseAND(0x8000) != 0, -size).otherwise(size))
+
+
 def _value(field: Field) -> Column:
     raw = F.substring("record", field.offset + 1, field.length)
     if (field.code, field.length) in _BINARY:
@@ -229,7 +269,8 @@ def _value(field: Field) -> Column:
 
 
 def decode(records: DataFrame, fields: Sequence[Field]) -> DataFrame:
-    """Typed columns of the live records, after all columns but ``record`` and ``plain``.
+    """Typed columns of the live records (those with a blank flag), after all columns but
+    ``record`` and ``plain``.
 
     Every field is a byte slice run through native functions, so the projection stays
     inside generated code and unused fields are pruned. Only a record with accents or
@@ -239,7 +280,7 @@ def decode(records: DataFrame, fields: Sequence[Field]) -> DataFrame:
     twice = sorted({n for n in names if names.count(n) > 1})
     if twice:
         raise ValueError(f"field names collide after normalization: {twice}")
-    live = records.filter(F.expr("substring(record, 1, 1) <> X'2A'"))
+    live = records.filter(F.expr("substring(record, 1, 1) = X'20'"))
     kept = [c for c in records.columns if c not in ("record", "plain")]
     return live.select(*kept, *[_value(f).alias(f.column) for f in fields])
 

@@ -12,8 +12,9 @@ SKIPPED_TABLES = ("CRTEMP", "DBTEMP", "TBTEMP", "TEMP", "TEMP1", "PART", "ORDLIS
 # Texts read as "yes" in the service column of the item master.
 SERVICE_YES = ("Y", "T", "1", "TRUE")
 
-# Texts read as true in a logical xBase field.
+# Texts read as true and as false in a logical xBase field; others are unknown.
 LOGICAL_TRUE = ("T", "Y", "1")
+LOGICAL_FALSE = ("F", "N", "0")
 
 # Span of the calendar dimension.
 CALENDAR_START = "2020-01-01"
@@ -32,10 +33,11 @@ LIMITS = {
     "slow_moving": (50, 1, 500),
     "transactions": (100, 1, 1000),
     "inventory_items": (100, 1, 1000),
+    "cash_flow_series": (30, 1, 1000),
+    "sync_history": (50, 1, 1000),
 }
 
-# Rows of the cash-flow chart, bars and label width of the product chart.
-CASH_FLOW_POINTS = 30
+# Bars and label width of the product chart.
 PRODUCT_BARS = 10
 PRODUCT_LABEL_CHARS = 18
 
@@ -108,4 +110,3 @@ UNKNOWN_JOIN = "— Analyse manually"
 
 # Sample size of the data dictionary.
 SAMPLE_ROWS = 5
-SAMPLE_FIELDS = 50

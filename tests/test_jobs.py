@@ -1,6 +1,10 @@
 """Incremental loads, rebuilds and the nightly run on small xBase files."""
 
+import os
+import subprocess
+import sys
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 
@@ -131,3 +135,53 @@ def test_folder_and_month_prune_stored_partitions(spark, places):
     assert f"= {A}" in filters and "_month" in filters
     raw = Store(spark, root).raw("SALES2").filter(f"_source_folder = '{A}'")
     assert raw._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 1
+
+
+def test_numbers_are_stored_as_they_are(spark, places):
+    root, sources, base = places
+    wide = [(n, c, 16, 4) if n in ("AMOUNT", "ITEMRATE") else (n, c, w, d) for n, c, w, d in SALES2]
+    one = list(line())
+    one[7], one[10] = "1.2345", "10.005"
+    write(base / A / "SALES2.DBF", wide, [tuple(one)])
+    assert {s.status for s in nightly.run_nightly(spark, root, sources).collect()} == {"ok"}
+    wh = Store(spark, root).warehouse()
+    stored = wh.fact_sales.filter(f"source_folder = '{A}'").first()
+    assert (stored.rate, stored.line_amount) == (Decimal("1.2345"), Decimal("10.005"))
+    checked = quality.revenue_reconciles(Store(spark, root).raw("SALES2"), wh).collect()
+    assert {r.difference for r in checked} == {0}
+
+
+def test_rows_without_a_code_are_written_as_rejects(spark, places):
+    root, sources, base = places
+    write(base / A / "ITEM.DBF", ITEM, [(" ", "", "Nameless", "hw", "PCS", "7318", "FIFO", "15.00", "5.000", "75.00", "F")])
+    stages = {s.stage: s.detail for s in nightly.run_nightly(spark, root, sources).collect()}
+    assert "dim_customer 0" in stages["dimensions"] and "dim_product 1" in stages["dimensions"]
+    version = stages["facts"]
+    rejected = spark.read.parquet(f"{root}/warehouse/{version}/dim_product_rejects").collect()
+    assert [(r._source_folder, r.desc) for r in rejected] == [(A, "Nameless")]
+
+
+def test_repeats_can_be_kept(spark, places):
+    root, sources, _ = places
+    kept = nightly.run_nightly(spark, root, sources, dedup=False).collect()[0].detail
+    assert kept.endswith("repeats left out 0") and Store(spark, root).raw("SALES2").count() == 8
+
+
+def test_dropped_repeats_are_logged(spark, places):
+    root, sources, _ = places
+    load.load_sources(spark, root, sources, only_table="SALES2")
+    log = Store(spark, root).sync_log().filter("status = 'success'").collect()
+    assert [r.duplicates_skipped for r in log] == [1, 1]
+
+
+def test_the_start_script_works_from_anywhere(places, tmp_path):
+    root, sources, base = places
+    script = Path(__file__).parents[1] / "bin" / "nightly.py"
+    command = [sys.executable, str(script), "--root", root, "--match-type", "--internal-code", "26"]
+    command += [x for f, p in sources.items() for x in ("--folder", f"{f.lower()}={p}")]
+    environment = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    run = lambda: subprocess.run(command, cwd=tmp_path, env=environment, capture_output=True, text=True, timeout=600)
+    done = run()
+    assert done.returncode == 0, done.stderr[-3000:]
+    (base / B / "TRANS.DBF").write_bytes(b"broken")
+    assert run().returncode == 2

@@ -197,6 +197,12 @@ def test_average_rounds_half_away_from_zero(spark, total, count, expected):
     assert value == money(expected)
 
 
+def test_average_of_more_than_two_decimals(spark):
+    for total, count, expected in (("0.0149", 1, "0.01"), ("0.0150", 1, "0.02"), ("-10.005", 1, "-10.01"), ("1.2345", 2, "0.62")):
+        value = one(spark, flags.exact_average(F.lit(money(total)).cast("decimal(30,4)"), F.lit(count).cast("bigint")))
+        assert value == money(expected)
+
+
 def test_average_does_not_round_twice(spark):
     # 0.00499999999999... must not become 0.005 and then 0.01
     value = one(spark, flags.exact_average(F.lit(Decimal("49999999999.99")).cast("decimal(28,2)"), F.lit(10_000_000_000_000).cast("bigint")))
@@ -281,9 +287,9 @@ def test_clean_text(spark, raw, clean):
 @pytest.mark.parametrize(
     "text,code,expected",
     [
-        (" 12.50 ", "N", Decimal("12.50")), ("1e2", "F", Decimal("100.00")), ("NaN", "N", None), ("1,5", "N", None), ("", "N", None),
+        (" 12.50 ", "N", Decimal("12.50")), ("1e2", "F", Decimal("100.00")), ("NaN", "N", None), ("1,5", "N", Decimal("1.50")), ("***", "N", None), ("", "N", None),
         ("12", "I", 12), ("1.5", "I", None), ("20250131", "D", day("2025-01-31")), ("20251301", "D", None), ("2025-01-31", "D", None),
-        ("t", "L", True), ("Y", "L", True), ("1", "L", True), ("F", "L", False), ("?", "L", False), (" ", "L", None),
+        ("t", "L", True), ("Y", "L", True), ("1", "L", True), ("F", "L", False), ("?", "L", None), ("n", "L", False), (" ", "L", None),
         ("9000000000", "+", 9000000000), ("12.34567", "Y", Decimal("12.3457")), (" x ", "C", "x"), (None, "N", None),
     ],
 )

@@ -20,7 +20,7 @@ RECORDS = [
 ]
 ROWS = [
     ("a1", Decimal("12.50"), Decimal("1.250"), date(2025, 1, 31), True),
-    ("€éx", None, None, None, False),
+    ("€éx", None, None, None, None),
     (None, None, Decimal("2.000"), None, None),
 ]
 
@@ -50,6 +50,31 @@ def test_short_last_record_ends_the_scan(spark, tmp_path):
     assert rows(xbase.read_xbase(spark, [path]), "code") == [("a1",)]
 
 
+@pytest.mark.parametrize("split", [20, 100, 10**6])
+def test_the_end_mark_ends_the_scan(spark, tmp_path, split):
+    many = [(" ", f"c{i}", str(i), "", "20250131", "T") for i in range(40)]
+    left_over = b"\x1a" + dbf(FIELDS, many)[-200:]
+    path = write(tmp_path / "T.DBF", FIELDS, many, tail=left_over)
+    assert rows(xbase.read_xbase(spark, [path], split_bytes=split), "code") == [(f"c{i}",) for i in range(40)]
+    blob = (tmp_path / "T.DBF").read_bytes()
+    for count in (0, 7, 1000):  # a header that counts wrong
+        (tmp_path / "T.DBF").write_bytes(blob[:4] + struct.pack("<I", count) + blob[8:])
+        assert xbase.read_xbase(spark, [path], split_bytes=split).count() == 40
+
+
+def test_only_a_blank_flag_is_live(spark, tmp_path):
+    path = write(tmp_path / "T.DBF", [("A", "C", 1, 0)], [(" ", "a"), ("*", "b"), ("x", "c"), ("\0", "d"), (" ", "e")])
+    assert rows(xbase.read_xbase(spark, [path]), "a") == [("a",), ("e",)]
+
+
+def test_doubles_and_comma_decimals(spark, tmp_path):
+    values = [0.0, -0.0, 1.5, -2.75, 1e300, 5e-324, 2.2250738585072014e-308, -1.7976931348623157e308, 0.1, 123456789.123]
+    records = [(" ", struct.pack("<d", v), "1,5") for v in [*values, float("inf"), float("nan")]]
+    got = rows(xbase.read_xbase(spark, [write(tmp_path / "T.DBF", [("D", "B", 8, 0), ("N", "N", 5, 2)], records)]), "d", "n")
+    assert [r[0] for r in got] == [*values, None, None]
+    assert {r[1] for r in got} == {Decimal("1.50")}
+
+
 def test_layouts_that_differ_are_united_by_name(spark, tmp_path):
     a = write(tmp_path / "A" / "T.DBF", FIELDS, RECORDS[:1])
     b = write(tmp_path / "B" / "T.DBF", [("AMT", "N", 12, 3), ("NEW", "C", 4, 0)], [(" ", "7.125", "n")])

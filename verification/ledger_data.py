@@ -84,7 +84,7 @@ class LedgerData:
             F.substring("p_type", 1, 3).alias("uom"),
             (size + 1000).cast("string").alias("hsncode"),
             F.col("p_type").alias("valuation"),
-            price.alias("itemrate"),
+            (price + F.lit("0.0025").cast("decimal(5,4)")).cast("decimal(18,4)").alias("itemrate"),
             size.cast("decimal(18,3)").alias("opbalqty"),
             _money(price * size).alias("opbalval"),
             service.alias("is_service"),
@@ -135,7 +135,7 @@ class LedgerData:
                 F.when(part % 97 == 0, part + 1).otherwise(part).cast("string").alias("itemcode"),
                 F.col("l_suppkey").cast("string").alias("repcode"),
                 F.col("l_quantity").cast("decimal(18,3)").alias("qty"),
-                _money(part % 900 + 100).alias("itemrate"),
+                (_money(part % 900 + 100) + (part % 10000).cast("decimal(6,0)") * F.lit("0.0001").cast("decimal(5,4)")).cast("decimal(18,4)").alias("itemrate"),
                 _money("l_discount").alias("discount"),
                 _money("l_linenumber").alias("disamt"),
                 _money("l_extendedprice").alias("amount"),

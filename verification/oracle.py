@@ -29,7 +29,7 @@ item AS (
          CASE WHEN p_partkey % 89 = 88 THEN 'G' ELSE '' END || CAST(p_partkey AS VARCHAR) AS code,
          p_name AS descr, p_brand AS grp, substr(p_type, 1, 3) AS uom,
          CAST(p_size + 1000 AS VARCHAR) AS hsn, p_type AS valuation,
-         CAST(p_retailprice AS DECIMAL(18,2)) AS rate,
+         CAST(p_retailprice AS DECIMAL(18,2)) + 0.0025 AS rate,
          p_size AS qty,
          CAST(p_retailprice AS DECIMAL(18,2)) * p_size AS val,
          CASE p_size % 5 WHEN 0 THEN 'y' WHEN 1 THEN 'TRUE' WHEN 3 THEN 'N' WHEN 4 THEN 'F' END AS service
@@ -60,7 +60,7 @@ sales2 AS (
   SELECT folder, l_orderkey AS no, 'SI' AS type, cust,
          CAST(l_partkey + CASE WHEN l_partkey % 97 = 0 THEN 1 ELSE 0 END AS VARCHAR) AS item,
          CAST(l_suppkey AS VARCHAR) AS rep, CAST(l_quantity AS DECIMAL(18,3)) AS qty,
-         100 + l_partkey % 900 AS rate, CAST(l_discount AS DECIMAL(18,2)) AS disc, l_linenumber AS disamt,
+         100 + l_partkey % 900 + 0.0001 * (l_partkey % 10000) AS rate, CAST(l_discount AS DECIMAL(18,2)) AS disc, l_linenumber AS disamt,
          CAST(l_extendedprice AS DECIMAL(18,2)) AS amount, l_returnflag || l_linestatus AS batch, l_orderkey
   FROM lineitem JOIN ord ON o_orderkey = l_orderkey
 ),
@@ -198,7 +198,8 @@ fields AS (
     ('MASTER', 'text', 'CODECBG DESCCBG GROUPCDBG STATECODE PLACE_CDBG MOBILENO APGSTTBG'),
     ('MASTER', 'money', 'OPBALCBG BALANCEBG CRELIMITBG'),
     ('ITEM', 'text', 'ITEMCODE DESC ITEMGROUP UOM HSNCODE VALUATION IS_SERVICE'),
-    ('ITEM', 'money', 'ITEMRATE OPBALVAL'),
+    ('ITEM', 'money', 'OPBALVAL'),
+    ('ITEM', 'rate', 'ITEMRATE'),
     ('ITEM', 'quantity', 'OPBALQTY'),
     ('SALES1', 'text', 'INVTYPEBG CUSCODEBG TRANSPORTG'),
     ('SALES1', 'number', 'INVNOEBG'),
@@ -208,7 +209,8 @@ fields AS (
     ('SALES2', 'text', 'INVTYPE CUSCODE ITEMCODE REPCODE BATCHNO'),
     ('SALES2', 'number', 'INVNO'),
     ('SALES2', 'quantity', 'QTY'),
-    ('SALES2', 'money', 'ITEMRATE DISCOUNT DISAMT AMOUNT'),
+    ('SALES2', 'money', 'DISCOUNT DISAMT AMOUNT'),
+    ('SALES2', 'rate', 'ITEMRATE'),
     ('TRANS', 'text', 'CODEE NARATION DRCRATE REPCODE'),
     ('TRANS', 'number', 'VOUNOE'),
     ('TRANS', 'day', 'VOUDATE'),
@@ -320,6 +322,7 @@ SELECT CAST(d AS DATE) AS date_key, year(d) AS year, quarter(d) AS quarter, mont
        CASE WHEN month(d) > 3 THEN 'FY' || year(d) || '-' || right(CAST(year(d) + 1 AS VARCHAR), 2)
             ELSE 'FY' || (year(d) - 1) || '-' || right(CAST(year(d) AS VARCHAR), 2) END AS financial_year
 FROM (SELECT unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS d FROM ord)""",
+    "dim_customer_rejects": "SELECT folder AS source_folder, seq AS _seq, name AS desccbg, mobile AS mobileno FROM master WHERE seq % 10 = 4",
     "dim_ledger_group": """
 SELECT folder || '|' || grp AS group_key, folder AS source_folder, grp AS group_code,
        arg_min(valuation || ' ' || descr, seq) AS group_name, arg_min(uom, seq) AS main_group_code
@@ -369,18 +372,19 @@ SELECT o_orderkey AS id,
        CASE WHEN o_orderkey % 11 = 4 THEN NULL WHEN o_orderkey % 13 = 6 THEN NULL ELSE CAST(total AS DOUBLE) END AS number,
        CASE WHEN o_orderkey % 17 = 9 THEN NULL ELSE day END AS day,
        CASE WHEN o_orderkey % 19 = 2 THEN NULL ELSE o_orderkey % 100000 END AS whole,
-       CASE o_orderstatus WHEN 'F' THEN TRUE WHEN 'P' THEN FALSE END AS flag
+       CASE o_orderstatus WHEN 'F' THEN TRUE WHEN 'O' THEN FALSE END AS flag
 FROM ord""",
     "dbf_scan": """
 SELECT o_orderkey AS invno, CASE WHEN o_orderkey % 97 = 13 THEN NULL ELSE day END AS invdate,
        CASE WHEN o_orderkey % 89 = 7 THEN NULL ELSE CAST(total AS DOUBLE) END AS total,
-       o_orderpriority || ' €é' AS label,
-       CASE o_orderstatus WHEN 'F' THEN TRUE WHEN 'P' THEN FALSE END AS paid
-FROM ord WHERE o_orderkey % 37 <> 5""",
+       o_orderpriority || CASE WHEN o_orderkey % 2 = 1 THEN ' €é' ELSE '' END AS label,
+       CASE o_orderstatus WHEN 'F' THEN TRUE WHEN 'O' THEN FALSE END AS paid
+FROM ord WHERE o_orderkey % 37 NOT IN (5, 6)""",
     "exact_dedup": """
 SELECT DISTINCT folder AS source_folder, CAST(no AS VARCHAR) AS invno, cust AS cuscode, item AS itemcode, rep AS repcode,
        CAST(qty AS DOUBLE) AS qty, CAST(rate AS DOUBLE) AS itemrate, CAST(disc AS DOUBLE) AS discount,
-       CAST(disamt AS DOUBLE) AS disamt, CAST(amount AS DOUBLE) AS amount, batch AS batchno
+       CAST(disamt AS DOUBLE) AS disamt, CAST(amount AS DOUBLE) AS amount, batch AS batchno, type AS invtype,
+       CAST(no * 8 + disamt AS BIGINT) AS _seq
 FROM sales2""",
     "duplicate_counts": """
 SELECT source_folder, CAST(sum(n) AS BIGINT) AS rows_read, count(*) AS rows_kept, CAST(sum(n) - count(*) AS BIGINT) AS duplicates_skipped
@@ -389,8 +393,10 @@ FROM (SELECT folder AS source_folder, sum(CASE WHEN l_orderkey % 70 = 1 THEN 2 E
 GROUP BY source_folder""",
     "row_hash": """
 SELECT folder AS source_folder, code AS codecbg, seq AS _seq,
-       substr(md5('{"codecbg":"' || code || '","desccbg":"' || name || '","groupcdbg":"' || grp || '","place_cdbg":"' || place
-         || '","statecode":' || CASE WHEN state = '24' THEN 'null' ELSE '"' || state || '"' END || '}'), 1, 16) AS row_hash
+       substr(md5('{"apgsttbg":"' || gst || '","balancebg":' || CAST(CAST(balance AS DECIMAL(18,2)) AS VARCHAR)
+         || ',"codecbg":"' || code || '","crelimitbg":' || coalesce(CAST(CAST(climit AS DECIMAL(18,2)) AS VARCHAR), 'null')
+         || ',"desccbg":"' || name || '","groupcdbg":"' || grp || '","mobileno":"' || mobile
+         || '","opbalcbg":' || CAST(CAST(opening AS DECIMAL(18,2)) AS VARCHAR) || ',"place_cdbg":"' || place || '","statecode":' || CASE WHEN state = '24' THEN 'null' ELSE '"' || state || '"' END || '}'), 1, 16) AS row_hash
 FROM master""",
     "lineage_columns": """
 SELECT folder AS _source_folder, 'SALES1' AS _source_table, count(*) AS rows,
@@ -463,18 +469,19 @@ FULL JOIN (SELECT source_folder, count(*) AS fact_lines, sum(line_amount) AS fac
     "check_orphan_customers": "SELECT count(*) - count(customer_key) AS orphan_lines FROM fact_sales",
     "check_orphan_products": "SELECT count(*) - count(product_key) AS orphan_lines FROM fact_sales",
     "row_counts": """
-SELECT 'dim_customer' AS table_name, count(*) AS rows FROM dim_customer
+SELECT 'dim_date' AS table_name, date_diff('day', DATE '2020-01-01', DATE '2030-12-31') + 1 AS rows
+UNION ALL SELECT 'dim_customer', count(*) FROM dim_customer
 UNION ALL SELECT 'dim_product', count(*) FROM dim_product
 UNION ALL SELECT 'fact_sales', count(*) FROM fact_sales
 UNION ALL SELECT 'fact_sales_header', count(*) FROM fact_sales_header
 UNION ALL SELECT 'fact_finance', count(*) FROM fact_finance
 UNION ALL SELECT 'fact_receivables', count(*) FROM fact_receivables""",
-    "raw_load_counts": "SELECT folder AS _source_folder, tbl AS _source_table, n AS row_count FROM rawcount WHERE tbl IN ('SALES1', 'BILLADJ')",
+    "raw_load_counts": "SELECT folder AS _source_folder, tbl AS _source_table, n AS row_count FROM rawcount",
     "latest_invoice_date": "SELECT max(invoice_date) AS latest_invoice_date FROM fact_sales",
     "all_null_check": """
 SELECT folder AS _source_folder, 'TRANS' AS _source_table, count(*) AS rows,
-       count(*) FILTER (WHERE flag IS NULL) AS all_null_rows,
-       count(*) FILTER (WHERE flag IS NULL) / count(*) AS all_null_share
+       count(*) FILTER (WHERE no % 10 = 3) AS all_null_rows,
+       count(*) FILTER (WHERE no % 10 = 3) / count(*) AS all_null_share
 FROM trans GROUP BY folder""",
     "table_summary": """
 SELECT folder AS source_folder, tbl AS table_name, n AS record_count,
@@ -497,7 +504,7 @@ SELECT r.folder AS source_folder, r.tbl AS table_name, f.field_name,
        CASE kind WHEN 'text' THEN 'C' WHEN 'day' THEN 'D' ELSE 'N' END AS type,
        CASE kind WHEN 'text' THEN 'Character' WHEN 'day' THEN 'Date' ELSE 'Numeric' END AS type_label,
        CASE kind WHEN 'text' THEN 0 WHEN 'day' THEN 8 WHEN 'days' THEN 10 ELSE 18 END AS length,
-       CASE kind WHEN 'money' THEN 2 WHEN 'quantity' THEN 3 WHEN 'days' THEN 1 ELSE 0 END AS decimals,
+       CASE kind WHEN 'money' THEN 2 WHEN 'rate' THEN 4 WHEN 'quantity' THEN 3 WHEN 'days' THEN 1 ELSE 0 END AS decimals,
        CASE f.field_name WHEN 'INVNO' THEN 'Invoice Number' WHEN 'ITEMCODE' THEN 'Item Code' WHEN 'QTY' THEN 'Quantity'
                          WHEN 'AMOUNT' THEN 'Line Amount' WHEN 'UOM' THEN 'Unit of Measure' ELSE '' END AS meaning,
        (SELECT count(*) FROM fields g JOIN rawcount q ON q.tbl = g.tbl WHERE g.field_name = f.field_name) > 1 AS is_join_key

@@ -17,8 +17,8 @@ from ledgerspark.operators import changes, dedup, evolve, lineage
 from ledgerspark.plans import dims, profile, quality, queries, series, views
 from ledgerspark.plans.warehouse import Warehouse
 from ledgerspark.schemas import FACT_SALES, FILE_STATE, SYNC_LOG, conform
-from ledgerspark.sources import files, tables, xbase
-from verification.ledger_data import AS_OF, LedgerData
+from ledgerspark.sources import tables, xbase
+from verification.ledger_data import AS_OF, COPY_STEP, LedgerData
 
 RAW_NAMES = ("MASTER", "ITEM", "SALES1", "SALES2", "TRANS", "BILLADJ")
 
@@ -61,16 +61,16 @@ def _dbf_scan(d: LedgerData) -> DataFrame:
     )
     day = F.date_format(F.col("o_orderdate").cast("date"), "yyyyMMdd")
     total = F.col("o_totalprice").cast("decimal(18,2)").cast("string")
-    status = F.col("o_orderstatus")
+    status, odd = F.col("o_orderstatus"), key % 2 == 1
     text = F.concat(
-        F.when(key % 37 == 5, "*").otherwise(" "),
+        F.when(key % 37 == 5, "*").when(key % 37 == 6, "x").otherwise(" "),
         F.lpad(key.cast("string"), 18, " "),
         F.when(key % 97 == 13, "20251301").otherwise(day),
-        F.lpad(F.when(key % 89 == 7, "").otherwise(total), 14, " "),
-        F.rpad(F.concat("o_orderpriority", F.lit(" \x80é")), 24, " "),
-        F.when(status == "F", "T").when(status == "P", "?").otherwise(" "),
+        F.lpad(F.when(key % 89 == 7, "**").when(key % 3 == 1, F.translate(total, ".", ",")).otherwise(total), 14, " "),
+        F.rpad(F.concat("o_orderpriority", F.when(odd, " \x80é").otherwise("")), 24, " "),
+        F.when(status == "F", "T").when(status == "P", "?").otherwise("f"),
     )
-    records = d.table("orders").select(F.encode(text, "ISO-8859-1").alias("record"), F.lit(False).alias("plain"))
+    records = d.table("orders").select(F.encode(text, "ISO-8859-1").alias("record"), (~odd).alias("plain"))
     return xbase.decode(records, fields)
 
 
@@ -80,7 +80,7 @@ def _coerce_types(d: LedgerData) -> DataFrame:
     number = F.when(key % 11 == 4, "abc").when(key % 13 == 6, "   ").otherwise(total)
     day = F.when(key % 17 == 9, "20251301").otherwise(F.date_format(F.col("o_orderdate").cast("date"), "yyyyMMdd"))
     whole = F.when(key % 19 == 2, "12x").otherwise((key % 100000).cast("string"))
-    flag = F.when(status == "F", "t").when(status == "P", "?").otherwise("")
+    flag = F.when(status == "F", "t").when(status == "P", "?").otherwise("n")
     return d.table("orders").select(
         key.alias("id"),
         typed.coerce(number, "N", 18, 2).alias("number"),
@@ -92,24 +92,24 @@ def _coerce_types(d: LedgerData) -> DataFrame:
 
 def _repeated_lines(d: LedgerData) -> DataFrame:
     again = F.when(F.col("invno") % 70 == 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    return d.sales2().withColumn("copy", F.explode(again)).drop("copy")
+    seq = F.col("invno") * 8 + F.col("disamt") + F.col("copy") * COPY_STEP
+    return d.sales2().withColumn("copy", F.explode(again)).withColumn("_seq", seq.cast("bigint")).drop("copy")
 
 
 def _exact_dedup(d: LedgerData) -> DataFrame:
     lines = _repeated_lines(d)
-    unique = dedup.exact_dedup(lines, lines.columns)
-    return unique.withColumn("invno", F.col("invno").cast("string")).withColumnRenamed("_source_folder", "source_folder").drop("invtype")
+    unique = dedup.exact_dedup(lines, [c for c in lines.columns if c != "_seq"], "_seq")
+    return unique.withColumn("invno", F.col("invno").cast("string")).withColumnRenamed("_source_folder", "source_folder")
 
 
 def _duplicate_counts(d: LedgerData) -> DataFrame:
-    lines = _repeated_lines(d).withColumnRenamed("_source_folder", "source_folder")
+    lines = _repeated_lines(d).withColumnRenamed("_source_folder", "source_folder").drop("_seq")
     return dedup.duplicate_counts(lines, lines.columns, ["source_folder"])
 
 
 def _row_hash(d: LedgerData) -> DataFrame:
-    names = ["codecbg", "desccbg", "groupcdbg", "statecode", "place_cdbg"]
     rows = d.master().withColumn("statecode", F.when(F.col("statecode") != "24", F.col("statecode")))
-    return rows.select(F.col("_source_folder").alias("source_folder"), "codecbg", "_seq", lineage.row_hash(names).alias("row_hash"))
+    return rows.select(F.col("_source_folder").alias("source_folder"), "codecbg", "_seq", lineage.row_hash(lineage.business_columns(rows)).alias("row_hash"))
 
 
 def _lineage_columns(d: LedgerData) -> DataFrame:
@@ -208,8 +208,9 @@ def _union_folders(d: LedgerData) -> DataFrame:
 
 def _read_write_table(d: LedgerData) -> DataFrame:
     path = shared_dir(d.spark)
-    tables.write_table(d.warehouse().fact_sales, path, ["source_folder"])
-    return tables.read_table(d.spark, path, FACT_SALES).select(*FACT_SALES.fieldNames())
+    written = d.warehouse().fact_sales
+    tables.write_table(written, path, ["source_folder"])
+    return tables.read_table(d.spark, path, written.schema).select(*FACT_SALES.fieldNames())
 
 
 # ---- scalar functions over the derived tables --------------------------------------
@@ -290,28 +291,27 @@ def _catalog(d: LedgerData) -> DataFrame:
 
 
 def _all_null_check(d: LedgerData) -> DataFrame:
-    return quality.all_null_check(d("TRANS").select("_source_folder", "_source_table", "drcrate"))
+    rows, empty = d("TRANS"), F.col("_seq") % 10 == 3
+    values = {c: F.when(~empty, F.col(c)) for c in lineage.business_columns(rows)}
+    return quality.all_null_check(rows.withColumns(values))
 
 
 def _raw_load_counts(d: LedgerData) -> DataFrame:
     rows = [
-        lineage.with_lineage(d(name).select("_source_folder", "_seq"), F.col("_source_folder"), name)
-        for name in ("SALES1", "BILLADJ")
+        lineage.with_lineage(d(name), F.col("_source_folder"), name).select("_source_folder", "_source_table", "_row_hash", "_synced_at")
+        for name in RAW_NAMES
     ]
     return quality.raw_load_counts(changes.union_folders(rows)).drop("last_sync")
 
 
-def _listed(d: LedgerData) -> DataFrame:
-    return files.list_sources(d.spark, {"GIVEN": d.sf_dir}, skip=(), glob="*.parquet")
-
-
-FACT_AND_DIM_TABLES = tuple(t for t in quality.COUNTED if t != "dim_date")
+def _rejects(d: LedgerData) -> DataFrame:
+    """Customers of whom some lose their code by recoding."""
+    master = d.master().withColumn("codecbg", F.when(F.col("_seq") % 10 != 4, F.col("codecbg")))
+    return dims.rejects(master, "codecbg").select(F.col("_source_folder").alias("source_folder"), "_seq", "desccbg", "mobileno")
 
 OVER_DATA: dict[str, Callable[[LedgerData], DataFrame]] = {
     # sources and load
     "dbf_scan": _dbf_scan,
-    "list_sources": lambda d: _listed(d).drop("modified"),
-    "file_fingerprint": lambda d: files.fingerprints(_listed(d)).select("table_name", "length", "file_hash"),
     "changed_files": _changed_files,
     "file_state_upsert": _file_state_upsert,
     "replace_slice": _replace_slice,
@@ -334,6 +334,7 @@ OVER_DATA: dict[str, Callable[[LedgerData], DataFrame]] = {
     "display_labels_vouchers": _display_labels_vouchers,
     # dimensions
     "dim_date": _dim_date,
+    "dim_customer_rejects": _rejects,
     "dim_ledger_group": _dim_ledger_group,
     # profile
     "table_summary": lambda d: profile.table_summary(_catalog(d)).drop("file_size_kb", "last_modified"),
@@ -397,7 +398,7 @@ OVER_WAREHOUSE = {
     # checks
     "check_orphan_customers": quality.orphan_customers,
     "check_orphan_products": quality.orphan_products,
-    "row_counts": lambda w: quality.row_counts(w, FACT_AND_DIM_TABLES),
+    "row_counts": lambda w: quality.row_counts(w),
     "latest_invoice_date": quality.latest_invoice_date,
 }
 
