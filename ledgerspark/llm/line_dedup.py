@@ -16,9 +16,10 @@ whole shingle sets, ``SIMILAR`` or more). A larger one is worked off in rounds:
 most copies in each of ``LEADS`` parts lead, all others are compared with them, those that
 are similar leave, and the rest choose the next leads, until fewer than one in ``STOP``
 comparisons of a round is a link. So a crowd of copies and edits costs a few comparisons a
-line and bucket, not a square; a line of a crowd meets up to 40 leads a round in its ten
-buckets. What this misses of an exact pairing is measured in the README. Buckets, and the texts of their lines, are picked by
-broadcasts if they are at most ``MOST_KEYS``, else by shuffles.
+line and bucket, not a square. Then every crowded bucket whose lines are not one component
+yet is worked off to the end: an exact join on prefixes of the shingles, rarest first
+(``similar.py``), pairs its lines across components. Buckets, and the texts of their lines,
+are picked by broadcasts if they are at most ``MOST_KEYS``, else by shuffles.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerspark.llm.shared import components, let, store
+from ledgerspark.llm.similar import across, rarest_first
 
 SHINGLE = 8
 BANDS = 10
@@ -116,7 +118,7 @@ def line_links(lines: DataFrame) -> DataFrame:
     pairs = one.join(one.select("bucket", F.col("key").alias("b")), "bucket").where("key < b").select(F.col("key").alias("a"), "b").distinct()
     links = store(verified(pairs, texts), "links")
 
-    crowded = store(shared.join(buckets.where(F.col("members") > CROWD).select("bucket"), "bucket"), "crowded")
+    crowds = crowded = store(shared.join(buckets.where(F.col("members") > CROWD).select("bucket"), "bucket"), "crowded")
     compared, linked = 0, 0
     while linked * STOP >= compared and not crowded.isEmpty():
         part = F.pmod(F.xxhash64("key", F.lit(compared)), F.lit(LEADS))
@@ -129,7 +131,21 @@ def line_links(lines: DataFrame) -> DataFrame:
         met = leads.select("bucket", F.col("lead").alias("key"))
         left = led.join(more.select(F.col("a").alias("lead"), F.col("b").alias("key")), ["lead", "key"], "left_semi").select("bucket", "key")
         crowded = store(crowded.join(met.union(left).distinct(), ["bucket", "key"], "left_anti"), "crowded")
-    return components(links, "a", "b")
+    found = components(links, "a", "b")
+    more = verified(_unfinished_pairs(crowds.select("bucket", "key"), found, texts), texts)
+    return components(links.union(store(more, "last")), "a", "b")
+
+
+def _unfinished_pairs(crowds: DataFrame, found: DataFrame, texts: DataFrame) -> DataFrame:
+    """Candidates (``a``, ``b``) for all similar lines of different components in the crowded
+    buckets (``bucket``, ``key``) that hold more than one."""
+    grouped = crowds.join(found.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
+    grouped = store(grouped, "grouped")
+    mixed = grouped.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most").select("bucket")
+    left = store(grouped.join(mixed, "bucket").select("key", "component").distinct(), "left")
+    grams = F.explode(F.array_distinct(_shingles("line"))).alias("gram")
+    hashes = texts.join(left, "key").select("key", "component", grams).select("key", "component", F.xxhash64("gram").alias("h"))
+    return across(rarest_first(hashes))
 
 
 def _rank() -> Column:

@@ -53,3 +53,13 @@ def test_repeated_rows_and_clashing_names(spark):
     out = line_dedup.deduplicated(df)
     assert out.columns == df.columns
     assert sorted(map(tuple, out.collect())) == [(1, "same line here\nown", 5, 18, "k")] * 2 + [(2, "other\n", 6, 6, "l")]
+
+
+def test_every_pair_of_a_crowd_is_found(spark):
+    """Lines that are similar to one partner only (0.82) and nearly similar to all others (0.79)."""
+    rng = random.Random(8)
+    base = "a template of fifty one signs, the same everywhere:"
+    tail = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(5))
+    docs = [(i, base + chr(0x4E00 + i // 2) + tail()) for i in range(4000)]
+    gone = {i for i, _, dropped in drops(spark, docs) if dropped}
+    assert gone == {i for i in range(4000) if i % 2}
