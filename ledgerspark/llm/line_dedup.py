@@ -6,10 +6,7 @@ lines meet by a 64-bit hash, their key. For different ones, the shingles of ``SH
 characters of a line (UTF-16 units; the whole line if shorter) are hashed, and under each of
 ``BANDS`` x ``ROWS`` masks the smallest hash is the signature. Lines that agree in all rows
 of a band are candidates: at a similarity of 0.8 a pair is missed about once in 1,000.
-A line of ``WHOLE`` characters or more is signed by a share of its shingles, those whose
-hash ends in zero bits: one bit, and one more at every doubling. Such a sample has the same
-expected similarity. Lines up to a quarter above a step are signed for both of its sides, so
-partners of different length still meet.
+All shingles are signed, so a long or repetitive line is signed like any other of its set.
 
 In a bucket of at most ``CROWD`` lines all pairs are compared (exact Jaccard similarity of
 whole shingle sets, ``SIMILAR`` or more). A larger one is worked off in rounds: the lines of
@@ -34,12 +31,10 @@ SHINGLE = 8
 BANDS = 10
 ROWS = 3
 SIMILAR = 0.8
-WHOLE = 64
 CROWD = 16
 LEADS = 4
-STOP = 1000
+STOP = 20
 MOST_KEYS = 1_000_000
-_MOST_BITS = 20
 _MOST_WEIGHT = (1 << 21) - 1
 _SPACES = " \t\x0b\x0c\r"
 _NO_ID = -(1 << 63)
@@ -57,17 +52,13 @@ def _lines(documents: DataFrame) -> DataFrame:
 def signatures(lines: DataFrame) -> DataFrame:
     """``key``, ``bands`` and ``weight`` of the signatures of each different line (``key``,
     ``line``). The weight is the number of signed shingles, so it grows with the copies."""
-    step = F.greatest(F.lit(0), F.least(F.lit(_MOST_BITS), F.floor(F.log2(F.length("line") / (WHOLE // 2))).cast("int")))
-    near = F.length("line") < F.call_function("shiftleft", F.lit(WHOLE // 2 * 5 // 4), step)
-    steps = F.when((step > 0) & near, F.array(step, step - 1)).otherwise(F.array(step))
-    units = lines.select("key", F.encode("line", "UTF-16BE").alias("units"), F.explode(steps).alias("step"))
+    units = lines.select("key", F.encode("line", "UTF-16BE").alias("units"))
     starts = F.sequence(F.lit(1), F.greatest(F.octet_length("units") - 2 * SHINGLE + 1, F.lit(1)), F.lit(2))
-    placed = units.select("key", "units", "step", (F.call_function("shiftleft", F.lit(1), F.col("step")) - 1).alias("zero"), F.explode(starts).alias("start"))
-    hashed = placed.select("key", "step", "zero", F.xxhash64(F.substring("units", F.col("start"), F.lit(2 * SHINGLE))).alias("h"))
-    kept = hashed.where(F.col("h").bitwiseAND(F.col("zero")) == 0).select("key", "step", F.shiftright("h", 32).cast("int").alias("h"))
+    placed = units.select("key", "units", F.explode(starts).alias("start"))
+    hashed = placed.select("key", F.shiftright(F.xxhash64(F.substring("units", F.col("start"), F.lit(2 * SHINGLE))), 32).cast("int").alias("h"))
     smallest = [F.min(F.col("h").bitwiseXOR(F.lit(mask))).alias(f"m{i}") for i, mask in enumerate(_masks())]
-    signed = kept.groupBy("key", "step").agg(*smallest, F.count("*").alias("rows"))
-    bands = [F.xxhash64("step", F.lit(b), *(f"m{b * ROWS + r}" for r in range(ROWS))) for b in range(BANDS)]
+    signed = hashed.groupBy("key").agg(*smallest, F.count("*").alias("rows"))
+    bands = [F.xxhash64(F.lit(b), *(f"m{b * ROWS + r}" for r in range(ROWS))) for b in range(BANDS)]
     return signed.select("key", F.least("rows", F.lit(_MOST_WEIGHT)).cast("int").alias("weight"), F.array(*bands).alias("bands"))
 
 

@@ -63,3 +63,12 @@ def test_every_pair_of_a_crowd_is_found(spark):
     docs = [(i, base + chr(0x4E00 + i // 2) + tail()) for i in range(4000)]
     gone = {i for i, _, dropped in drops(spark, docs) if dropped}
     assert gone == {i for i in range(4000) if i % 2}
+
+
+def test_repetitive_lines_of_any_length_meet(spark):
+    rng = random.Random(9)
+    docs = [(0, "=" * 40), (1, "=" * 400), (2, "=" * 100)]
+    for i in range(3, 21, 2):
+        phrase = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(49)) + "."
+        docs += [(i, phrase * 12), (i + 1, phrase * 200)]
+    assert {i for i, _, dropped in drops(spark, docs) if dropped} == {1, 2, *range(4, 21, 2)}
