@@ -1,7 +1,7 @@
 """Personal data: detection, and keyed surrogates of the same type and format.
 
 Mentions of one entity have one canonical form (lower-case address, digits of a number, name
-without case), and its surrogate is computed from a secret key, the type and that form
+without case, word by word, with the gender that all its titles say), and its surrogate is computed from a secret key, the type and that form
 alone, so the same entity gets the same surrogate in every document. A surrogate keeps the
 format of each mention: punctuation, letter case, script, number of digits, country prefix,
 check digits, the first label of a key, and for names the gender that their title says.
@@ -50,22 +50,26 @@ _ALPHABETS = {
 
 _GENDER = {t: g for g, titles in TITLES.items() for t in titles}
 _TITLE = "|".join(sorted(_GENDER, key=len, reverse=True))
-_NAME_WORD = r"[^\W\d_a-zà-ÿа-яα-ω][^\W\d_]*(?:['’-][^\W\d_]+)*"
+_NAME_WORD = r"[^\W\d_a-zß-ÿа-яёα-ω][^\W\d_]*(?:['’-](?!s\b)[^\W\d_]+)*"
+_INITIAL = r"[^\W\d_a-zß-ÿа-яёα-ω]\.(?:-?[^\W\d_a-zß-ÿа-яёα-ω]\.)*"
+_PARTICLES = "van von der den de la le du di da del della dos das do ter ten zu zum zur y e i af av bin ibn el al".split()
+_NAME = rf"(?:(?:{'|'.join(_PARTICLES)}) ){{0,3}}(?:{_INITIAL}|{_NAME_WORD})"
 # One alternative per type; the first that fits at a place wins.
 _ENTITY = re.compile(
     r"(?P<email>(?<![\w.+%-])[\w.+%-]{1,64}@(?:[^\W_](?:[\w-]{0,61}[^\W_])?\.){1,8}[^\W\d_]{2,24}(?![\w-]))"
     r"|(?P<iban>\b[A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,3})?\b)"
     r"|(?P<awskey>\b(?:AKIA|ASIA)[A-Z0-9]{16}\b)"
-    r"|(?P<secret>(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key)\b[\"']?\s{0,3}[=:]\s{0,3}[\"']?)(?P<value>[^\s\"'<>,;]{6,200}))"
+    r"|(?P<secret>(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key)\b[\"']?\s{0,3}[=:]\s{0,3})(?:\"(?P<quoted>[^\"]{6,})\"|'(?P<single>[^']{6,})'|[\"']?(?P<value>[^\s\"'<>,;]{6,})))"
     r"|(?P<hex>(?<![0-9A-Za-z])(?=[a-f]{0,40}[0-9])[0-9a-f]{32,64}(?![0-9A-Za-z]))"
     r"|(?P<ipv4>(?<![\w.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![\w]|\.[0-9]))"
     r"|(?P<card>(?<![\w.-])[0-9](?:[ -]?[0-9]){12,18}(?![\w]|[.-][0-9]))"
     r"|(?P<ssn>(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-]))"
     r"|(?P<phone>(?<![\w+.-])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-][0-9]{2,4}){1,4}(?![\w]|[.-][0-9])"
     r"|(?<![\w+.-])(?:\+[0-9]{1,3} ?)?\([0-9]{1,4}\)[ .-]?[0-9]{4,10}(?![\w]|[.-][0-9])|(?<![\w+])\+[0-9]{8,15}(?![\w]))"
-    rf"|(?P<name>\b(?P<title>{_TITLE})\.? (?P<full>{_NAME_WORD}(?: {_NAME_WORD}){{0,2}}))"
+    rf"|(?P<name>\b(?P<title>{_TITLE})\.? (?P<full>{_NAME}(?: {_NAME})*))"
 )
-_KINDS = tuple(k for k in _ENTITY.groupindex if k not in ("value", "title", "full"))
+_WORD = re.compile(r"(?<![\w@.+%/-])[^\W\d_]+(?:['’-](?!s\b)[^\W\d_]+)*(?![\w@])")
+_KINDS = tuple(k for k in _ENTITY.groupindex if k not in ("value", "quoted", "single", "title", "full"))
 _TRIGGER = re.compile("[0-9@=:]")
 _TITLES = tuple(_GENDER)
 
@@ -88,9 +92,8 @@ def script(text: str) -> str:
     return "LATIN"
 
 
-def mentions(text: str) -> Iterator[tuple[str, int, int, str]]:
-    """Type, span and canonical form of each mention, in order. Phone-like digit groups need
-    9 digits or more (or an area in brackets), card numbers a valid check digit."""
+def _titled(text: str) -> Iterator[tuple[str, int, int, str, str | None]]:
+    """Type, span, canonical form and title of each mention that stands for itself, in order."""
     offset = 0
     for line in text.split("\n"):
         if _TRIGGER.search(line) or any(map(line.__contains__, _TITLES)):
@@ -98,7 +101,8 @@ def mentions(text: str) -> Iterator[tuple[str, int, int, str]]:
                 kind, (begin, end) = next(k for k in _KINDS if m[k] is not None), m.span()
                 found = m[0]
                 if kind == "secret":
-                    (begin, end), found = m.span("value"), m["value"]
+                    part = next(k for k in ("quoted", "single", "value") if m[k] is not None)
+                    (begin, end), found = m.span(part), m[part]
                 elif kind == "name":
                     (begin, end), found = m.span("full"), m["full"]
                 digits = re.sub(r"\D", "", found)
@@ -109,15 +113,50 @@ def mentions(text: str) -> Iterator[tuple[str, int, int, str]]:
                 if kind == "iban" and _iban_check(found[:2], found[4:].replace(" ", "")) != found[2:4]:
                     kind = ""
                 if kind:
-                    yield kind, offset + begin, offset + end, canonical(kind, found, m["title"])
+                    yield kind, offset + begin, offset + end, canonical(kind, found), m["title"]
         offset += len(line) + 1
 
 
-def canonical(kind: str, found: str, title: str | None = None) -> str:
+def _found(text: str) -> list[tuple[str, int, int, str, str | None]]:
+    """Titled mentions, and the untitled repeats of words of their names (capitalised; no
+    particles, initials or single letters), in order of their places."""
+    own = list(_titled(text))
+    known = {w for kind, b, e, _, _ in own if kind == "name" for w in name_words(text[b:e]) if len(w) > 1 and w[-1] != "." and w not in _PARTICLES}
+    if not known:
+        return own
+    out, at = [], 0
+    for mention in [*own, None]:
+        begin, end = mention[1:3] if mention else (len(text), len(text))
+        runs: list[list[int]] = []
+        for m in _WORD.finditer(text, at, begin):
+            if m[0].lower() in known and not m[0][0].islower():
+                if runs and text[runs[-1][1] : m.start()] == " ":
+                    runs[-1][1] = m.end()
+                else:
+                    runs.append([m.start(), m.end()])
+        out += [("name", x, y, canonical("name", text[x:y]), None) for x, y in runs]
+        out += [mention] if mention else []
+        at = end
+    return out
+
+
+def name_words(full: str) -> list[str]:
+    """Words of a name, lower-cased."""
+    return full.lower().split(" ")
+
+
+def mentions(text: str) -> Iterator[tuple[str, int, int, str]]:
+    """Type, span and canonical form of each mention, in order. Phone-like digit groups need
+    9 digits or more (or an area in brackets), card numbers a valid check digit. Names are
+    found behind titles; their words are then found in the whole text."""
+    return (m[:4] for m in _found(text))
+
+
+def canonical(kind: str, found: str) -> str:
     if kind in ("card", "phone", "ssn"):
         return re.sub(r"\D", "", found)
     if kind == "name":
-        return f"{_GENDER[title]}:{script(found)}:{found.lower()}"
+        return f"{script(found)}:{found.lower()}"
     return found.replace(" ", "") if kind == "iban" else found.lower() if kind in ("email", "ipv4") else found
 
 
@@ -180,11 +219,15 @@ class Surrogates:
             return form[:4] + "".join("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"[draw(32)] for _ in form[4:])
         if kind == "hex":
             return "".join("0123456789abcdef"[draw(16)] for _ in form)
-        if kind == "name":
-            gender, kind_of, full = form.split(":", 2)
-            *given, family = full.split(" ")
+        if kind == "given":
+            gender, kind_of, word = form.split(":", 2)
+            if word[-1] == ".":
+                return f"{kind_of}:{self._shaped(word, draw)}"
             names = GIVEN.get((kind_of, gender)) or [n for g in "fm" for n in GIVEN.get((kind_of, g), [])]
-            return f"{gender}:{kind_of}:" + " ".join([*(names[draw(len(names))].lower() for _ in given), self._shaped(family, draw)])
+            return f"{kind_of}:{names[draw(len(names))].lower()}"
+        if kind == "family":
+            kind_of, word = form.split(":", 1)
+            return f"{kind_of}:{self._shaped(word, draw)}"
         return self._shaped(form, draw)
 
     @staticmethod
@@ -198,32 +241,89 @@ class Surrogates:
             return "".join(c if c == " " else next(signs) for c in found)
         if kind == "email":
             return "".join(s.upper() if c.isupper() else s for s, c in zip(surrogate, found))
-        if kind == "name":
-            parts = surrogate.split(":", 2)[2].split(" ")
-            return " ".join(p.upper() if f.isupper() and len(f) > 1 else p[:1].upper() + p[1:] for p, f in zip(parts, found.split(" ")))
+        if kind in ("given", "family"):
+            word = surrogate.split(":", 1)[1]
+            return word.upper() if found.isupper() and len(found) > 1 else re.sub(r"(?<![^\W\d_])[^\W\d_]", lambda m: m[0].upper(), word)
         return surrogate
 
-    def rewritten(self, text: str, attempts: dict[tuple[str, str], int]) -> tuple[str, list[str]]:
-        """The text with surrogates, and the type of each mention."""
+    def rewritten(self, text: str, attempts: dict[tuple[str, str], int], genders: dict[str, str] | None = None) -> tuple[str, list[str]]:
+        """The text with surrogates, and the type of each mention. ``genders``: of given names
+        that other texts say more about."""
         out, at, kinds = [], 0, []
-        for kind, begin, end, form in mentions(text):
-            out += [text[at:begin], self.render(kind, self.form(kind, form, attempts.get((kind, form), 0)), text[begin:end])]
+        found = _found(text)
+        roles = _roles(text, found)
+        said = _genders(roles) | (genders or {})
+        for no, (kind, begin, end, form, _) in enumerate(found):
+            out.append(text[at:begin])
+            if kind == "name":
+                words = []
+                for word, role, own, _ in roles[no]:
+                    own = f"{said[own]}:{own}" if role == "given" else own
+                    words.append(self.render(role, self.form(role, own, attempts.get((role, own), 0)), word) if role else word)
+                out.append(" ".join(words))
+            else:
+                out.append(self.render(kind, self.form(kind, form, attempts.get((kind, form), 0)), text[begin:end]))
             at = end
             kinds.append(kind)
         return "".join([*out, text[at:]]), kinds
 
 
+def _roles(text: str, found: list[tuple[str, int, int, str, str | None]]) -> dict[int, list[tuple[str, str, str, str]]]:
+    """Per number of a name mention, its words: text, ``given`` or ``family`` (empty for a
+    particle), canonical form, gender that the title says. The last word behind a title is
+    the family name; a repeated word is one if it is one anywhere in the text."""
+    out, family = {}, set()
+    for titled in (True, False):
+        for no, (kind, begin, end, _, title) in enumerate(found):
+            if kind != "name" or (title is not None) != titled:
+                continue
+            words = text[begin:end].split(" ")
+            out[no] = []
+            for i, word in enumerate(words):
+                low = word.lower()
+                last = i == len(words) - 1 if titled else low in family
+                role = "family" if last and low[-1] != "." else "" if low in _PARTICLES else "given"
+                if role == "family":
+                    family.add(low)
+                out[no].append((word, role, f"{script(word)}:{low}", _GENDER.get(title, "n")))
+    return out
+
+
+def _merged(genders: set[str]) -> str:
+    """One gender that titles say, or ``n`` if they say none or both."""
+    said = genders - {"n"}
+    return said.pop() if len(said) == 1 else "n"
+
+
+def _genders(roles: dict[int, list[tuple[str, str, str, str]]]) -> dict[str, str]:
+    found: dict[str, set[str]] = {}
+    for words in roles.values():
+        for _, role, form, gender in words:
+            if role == "given":
+                found.setdefault(form, set()).add(gender)
+    return {form: _merged(said) for form, said in found.items()}
+
+
+def entities(text: str) -> set[tuple[str, str, str]]:
+    """``kind``, ``form`` and ``gender`` of what gets a surrogate: names word by word."""
+    found = _found(text)
+    roles = _roles(text, found)
+    said = _genders(roles)
+    out = {(kind, form, "") for kind, _, _, form, _ in found if kind != "name"}
+    return out | {(role, form, said[form] if role == "given" else "") for words in roles.values() for _, role, form, _ in words if role}
+
+
 def found_entities(documents: DataFrame) -> DataFrame:
-    """``text_key`` (hash of the text), ``kind`` and ``form`` of the entities of each text."""
+    """``text_key`` (hash of the text), ``kind``, ``form`` and ``gender`` of the entities of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(key.as_py(), k, f) for key, text in zip(batch.column(0), batch.column(1)) for k, f in {(k, f) for k, _, _, f in mentions(text.as_py() or "")}]
-            columns = list(zip(*rows)) or [()] * 3
-            arrays = [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.string(), pa.string()))]
-            yield pa.RecordBatch.from_arrays(arrays, names=["text_key", "kind", "form"])
+            rows = [(key.as_py(), *x) for key, text in zip(batch.column(0), batch.column(1)) for x in entities(text.as_py() or "")]
+            columns = list(zip(*rows)) or [()] * 4
+            arrays = [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.string(), pa.string(), pa.string()))]
+            yield pa.RecordBatch.from_arrays(arrays, names=["text_key", "kind", "form", "gender"])
 
-    return documents.select(F.xxhash64("text"), "text").mapInArrow(run, "text_key long, kind string, form string")
+    return documents.select(F.xxhash64("text"), "text").mapInArrow(run, "text_key long, kind string, form string, gender string")
 
 
 def attempts(entities: DataFrame, key: bytes) -> DataFrame:
@@ -243,7 +343,8 @@ def attempts(entities: DataFrame, key: bytes) -> DataFrame:
     def claims(pending: DataFrame) -> DataFrame:
         return store(pending.select("kind", "form", "attempt").mapInArrow(run, "kind string, form string, attempt int, made string"), "claims")
 
-    taken = entities.select("kind", F.col("form").alias("made"))
+    bare = F.when(F.col("kind") == "given", F.regexp_replace("form", "^[fmn]:", "")).otherwise(F.col("form"))
+    taken = entities.select("kind", bare.alias("made"))
     claimed, settled = claims(entities.withColumn("attempt", F.lit(0))), None
     while True:
         first = claimed.groupBy("kind", "made").agg(F.min("form").alias("form"), F.count("*").alias("n"))
@@ -267,17 +368,23 @@ def pseudonymised(documents: DataFrame, key: bytes) -> DataFrame:
     """
     surrogates = Surrogates(key)
     found = store(found_entities(documents), "entities")
-    moved = attempts(store(found.select("kind", "form").distinct(), "distinct"), key)
-    marks = found.join(moved, ["kind", "form"]).distinct()
-    by_text = store(marks.groupBy("text_key").agg(F.collect_set(F.struct("kind", "form", "attempt")).alias("moved")), "by_text")
+    said = F.array_remove(F.array_remove(F.collect_set("gender"), "n"), "")
+    merged = found.groupBy("kind", "form").agg(said.alias("said"))
+    merged = merged.withColumn("said", F.when(F.col("kind") != "given", "").when(F.size("said") == 1, F.get("said", F.lit(0))).otherwise("n"))
+    merged = store(merged.withColumn("named", F.when(F.col("kind") == "given", F.concat_ws(":", "said", "form")).otherwise(F.col("form"))), "merged")
+    moved = attempts(merged.select("kind", F.col("named").alias("form")), key).withColumnRenamed("form", "named")
+    changed = merged.join(moved, ["kind", "named"], "left").withColumn("attempt", F.coalesce("attempt", F.lit(0)))
+    marks = found.join(changed, ["kind", "form"]).where("attempt > 0 OR gender <> said").distinct()
+    by_text = marks.groupBy("text_key").agg(F.collect_set(F.struct("kind", "form", "named", "said", "attempt")).alias("moved"))
+    by_text = store(by_text, "by_text")
     rows = documents.select("doc_id", "text", F.xxhash64("text").alias("text_key")).join(by_text, "text_key", "left").select("doc_id", "text", "moved")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, counts, kinds = [], [], []
             for text, moved in zip(batch.column(1), batch.column(2)):
-                text = text.as_py()
-                new, found = surrogates.rewritten(text or "", {(x["kind"], x["form"]): x["attempt"] for x in moved.as_py() or ()})
+                text, moved = text.as_py(), moved.as_py() or ()
+                new, found = surrogates.rewritten(text or "", {(x["kind"], x["named"]): x["attempt"] for x in moved}, {x["form"]: x["said"] for x in moved if x["kind"] == "given"})
                 texts.append(None if text is None else new)
                 counts.append(len(found))
                 kinds.append(",".join(sorted(set(found))))

@@ -101,3 +101,28 @@ def test_odd_rows(spark):
     new = one("a@b.example.com")
     assert rows == sorted([(1, None, 0, ""), (2, "", 0, ""), (None, new, 1, "email"), (3, new, 1, "email"), (3, new, 1, "email"), (4, "x " * 200_000 + new, 1, "email")], key=str)
     assert pii.pseudonymised(df.limit(0), KEY).count() == 0
+
+
+JWT = "eyJ" + "hbGciOiJIUzI1NiJ9." * 33
+
+
+@pytest.mark.parametrize(
+    "text, gone",
+    [
+        (f"token={JWT}", [JWT[200:]]),
+        ('password: "two words, and more"', ["two", "more"]),
+        ("Señora María José García Márquez", ["María", "José", "García", "Márquez"]),
+        ("Mr. J. Smith and Dr. K. Miller, Mr J.R.R. Token", ["Smith", "Miller", "J.R.R", "Token"]),
+        ("Herr Ludwig van Beethoven", ["Ludwig", "Beethoven"]),
+        ("Dr. Jane Miller came.\nJane Miller said: Miller's dog and Jane", ["Jane", "Miller"]),
+    ],
+)
+def test_nothing_of_an_entity_stays(text, gone):
+    new = one(text)
+    assert not [x for x in gone if x in new]
+
+
+def test_repeats_have_the_surrogate_of_the_titled_name():
+    new = one("Dr. Jane Miller came; Jane Miller left, Miller too, but a miller stays")
+    m = re.fullmatch(r"Dr\. (\w+) (\w+) came; (\w+) (\w+) left, (\w+) too, but a miller stays", new)
+    assert m and m[1] == m[3] and m[2] == m[4]
