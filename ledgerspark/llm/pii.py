@@ -196,22 +196,25 @@ class Surrogates:
         return "".join(out)
 
     def form(self, kind: str, form: str, attempt: int = 0) -> str:
-        """Surrogate of a canonical form, itself canonical and of the same shape."""
+        """Surrogate of a canonical form, itself canonical and of the same shape. It grows from
+        the third attempt on (given names from the second), so a full space of short ones
+        never keeps an entity from settling."""
         draw = self._stream(kind, form, attempt)
+        more = max(0, attempt - 1)
         if kind == "email":
             name, _, host = form.rpartition("@")
             labels = host.split(".")
-            return self._shaped(name, draw) + "@" + ".".join([*(self._shaped(x, draw) for x in labels[:-1]), labels[-1]])
+            return self._shaped(name + "x" * more, draw) + "@" + ".".join([*(self._shaped(x, draw) for x in labels[:-1]), labels[-1]])
         if kind == "card":
             body = form[0] + self._shaped(form[1:-1], draw)
             return body + str(_luhn(body))
         if kind == "phone":
             kept = max(0, len(form) - 10)
-            return form[:kept] + str(2 + draw(8)) + self._shaped(form[kept + 1 :], draw)
+            return form[:kept] + str(2 + draw(8)) + self._shaped(form[kept + 1 :] + "0" * more, draw)
         if kind == "ipv4":
             return ".".join(str(1 + draw(254)) for _ in range(4))
         if kind == "ssn":
-            return f"{1 + draw(665):03d}{1 + draw(99):02d}{1 + draw(9999):04d}"
+            return f"{1 + draw(665):03d}{1 + draw(99):02d}{1 + draw(9999):04d}" + self._shaped("0" * more, draw)
         if kind == "iban":
             rest = self._shaped(form[4:], draw)
             return form[:2] + _iban_check(form[:2], rest) + rest
@@ -222,25 +225,27 @@ class Surrogates:
         if kind == "given":
             gender, kind_of, word = form.split(":", 2)
             if word[-1] == ".":
-                return f"{kind_of}:{self._shaped(word, draw)}"
+                return f"{kind_of}:{self._shaped(word + 'x.' * attempt, draw)}"
             names = GIVEN.get((kind_of, gender)) or [n for g in "fm" for n in GIVEN.get((kind_of, g), [])]
-            return f"{kind_of}:{names[draw(len(names))].lower()}"
+            return f"{kind_of}:" + "-".join(names[draw(len(names))].lower() for _ in range(1 + attempt))
         if kind == "family":
             kind_of, word = form.split(":", 1)
-            return f"{kind_of}:{self._shaped(word, draw)}"
-        return self._shaped(form, draw)
+            return f"{kind_of}:{self._shaped(word + _ALPHABETS[kind_of][0] * more, draw)}"
+        return self._shaped(form + "x" * more, draw) if kind == "secret" else self._shaped(form, draw)
 
     @staticmethod
     def render(kind: str, surrogate: str, found: str) -> str:
         """A surrogate in the format of a mention."""
         if kind in ("card", "phone", "ssn"):
             digits = iter(surrogate)
-            return "".join(next(digits) if c.isdigit() else c for c in found)
+            return "".join([*(next(digits) if c.isdigit() else c for c in found), *digits])
         if kind == "iban":
             signs = iter(surrogate)
             return "".join(c if c == " " else next(signs) for c in found)
         if kind == "email":
-            return "".join(s.upper() if c.isupper() else s for s, c in zip(surrogate, found))
+            at, old = surrogate.rpartition("@")[0], found.rpartition("@")[0]
+            cased = lambda new, like: "".join(s.upper() if c.isupper() else s for s, c in zip(new, like.ljust(len(new))))
+            return cased(at, old) + cased(surrogate[len(at) :], found[len(old) :])
         if kind in ("given", "family"):
             word = surrogate.split(":", 1)[1]
             return word.upper() if found.isupper() and len(found) > 1 else re.sub(r"(?<![^\W\d_])[^\W\d_]", lambda m: m[0].upper(), word)

@@ -126,3 +126,21 @@ def test_repeats_have_the_surrogate_of_the_titled_name():
     new = one("Dr. Jane Miller came; Jane Miller left, Miller too, but a miller stays")
     m = re.fullmatch(r"Dr\. (\w+) (\w+) came; (\w+) (\w+) left, (\w+) too, but a miller stays", new)
     assert m and m[1] == m[3] and m[2] == m[4]
+
+
+def test_short_names_all_settle(spark):
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    docs = [(i, f"Mr. {a}. Smith, Mr {a} and (1) {i:04d}") for i, a in enumerate(letters)]
+    docs += [(100, "Dr Jane Miller"), (101, "Mrs Jane Miller"), (102, "Mr Miller"), (103, "Mr John Miller")]
+    rows = {r["doc_id"]: r["text"] for r in pii.pseudonymised(spark.createDataFrame(docs, "doc_id long, text string"), KEY).collect()}
+    assert len(rows) == len(docs)
+    assert len({rows[i].split(" and ")[0] for i in range(26)}) == 26
+    assert len({rows[i].split(", Mr ")[1].split(" and ")[0] for i in range(26)}) == 26
+    assert rows[100][3:] == rows[101][4:] and rows[102].split(" ")[-1] == rows[103].split(" ")[-1] == rows[100].split(" ")[-1]
+
+
+def test_surrogates_grow_with_the_attempt():
+    for kind, form in (("family", "LATIN:a"), ("given", "m:LATIN:a."), ("given", "f:GREEK:ά"), ("email", "a@b.de"), ("phone", "12345"), ("secret", "111111")):
+        assert len({S.form(kind, form, n) for n in range(12)}) == 12
+        assert len(S.form(kind, form, 9)) > len(S.form(kind, form, 0))
+    assert S.render("phone", "234567", "(1) 2345") == "(2) 34567" and S.render("email", "xyz@b.de", "A@C.de") == "Xyz@B.de"
