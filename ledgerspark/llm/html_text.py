@@ -1,14 +1,16 @@
 """Main text of web pages by composite text density.
 
-A page becomes a tree of elements. Elements that are never article text (by tag, or by a
-word of their id, class or role) are left out first, with all they contain. Every other
+A page becomes a tree of elements. Elements that are never article text are left out first,
+with all they contain: by tag, or by a word of their id, class or role if they do not hold
+most of the page's text outside links, or stand beside an article or main. Every other
 node has characters C, tags T, link characters LC and link tags LT below it, and the
 density C/T * log_b(C/LC * T/LT) with the base b = ln(C/(C-LC) * LC + LC_body/C_body * C + e),
 so links lower it. A node's density sum is that of its children, its own text counting as a
 child. The subtree with the largest sum is the article, or the article or main element
-around it. Without such an element, its neighbours on the way to the body join it if they
-are headings, paragraphs or the like that are not mostly links, or if their density meets
-the threshold: the smallest density on the path to the body.
+around it, or what holds all articles if there are several. Without such an element, its
+neighbours on the way to the body join it if they are bare text, headings, paragraphs, lists
+or the like that are not mostly links, or if their density meets the threshold: the smallest
+density on the path to the body.
 """
 
 from __future__ import annotations
@@ -38,7 +40,7 @@ BLOCK_TAGS = frozenset(
     "address article blockquote body br center dd details div dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 hr html li main ol p pre "
     "section summary table tbody td tfoot th thead tr ul caption".split()
 )
-_TEXT_TAGS = frozenset("h1 h2 h3 h4 h5 h6 p blockquote pre figure table".split())
+_TEXT_TAGS = frozenset("h1 h2 h3 h4 h5 h6 p blockquote pre figure table ul ol dl section".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # Elements that end an open paragraph, and elements that end an open one of their kind.
 _ENDS_PARAGRAPH = BLOCK_TAGS - {"br", "body", "html", "caption", "tbody", "td", "tfoot", "th", "thead", "tr"} | {"nav", "header", "footer", "aside", "form", "menu"}
@@ -64,12 +66,13 @@ class Node:
         self.chars = self.tags = self.link_chars = self.link_tags = 0
 
 
-def _unwanted(tag: str, attributes: str) -> bool:
+def _unwanted(tag: str, attributes: str) -> str:
+    """A mark: ``!`` for an element to drop by its tag, ``?`` for one by its words."""
     if tag in DROPPED_TAGS:
-        return True
+        return "!"
     if not attributes or tag in ("body", "html", "article", "main"):
-        return False
-    return any(part.lower() in DROPPED_WORDS for value in _NAMED.findall(attributes) for part in _PART.findall(value))
+        return ""
+    return "?" if any(part.lower() in DROPPED_WORDS for value in _NAMED.findall(attributes) for part in _PART.findall(value)) else ""
 
 
 def parse(page: str) -> Node:
@@ -89,7 +92,7 @@ def parse(page: str) -> Node:
                 node = _closed(node, _ENDS_OWN_KIND[tag])
             if tag in ("html", "body") and root.items and any(isinstance(x, Node) and x.tag == tag for x in root.items):
                 continue
-            new = Node(tag + "!" if _unwanted(tag, m[3]) else tag, node)
+            new = Node(tag + _unwanted(tag, m[3]), node)
             node.items.append(new)
             if tag in _RAW:
                 lowered = page.lower() if lowered is None or len(lowered) != len(page) else lowered
@@ -103,7 +106,7 @@ def parse(page: str) -> Node:
                 node = new
         elif m[1]:
             tag, up = m[1].lower(), node
-            while up and up.tag.rstrip("!") != tag:
+            while up and up.tag.rstrip("!?") != tag:
                 up = up.parent
             if up:
                 node = up.parent
@@ -115,8 +118,8 @@ def parse(page: str) -> Node:
 def _closed(node: Node, kinds: set[str]) -> Node:
     """The node to go on in after an open element of ``kinds`` in the same scope is ended."""
     up = node
-    while up and up.tag.rstrip("!") not in kinds:
-        if up.tag.rstrip("!") in _SCOPES:
+    while up and up.tag.rstrip("!?") not in kinds:
+        if up.tag.rstrip("!?") in _SCOPES:
             return node
         up = up.parent
     return up.parent if up else node
@@ -124,9 +127,26 @@ def _closed(node: Node, kinds: set[str]) -> Node:
 
 def _ordered(root: Node) -> list[Node]:
     """All wanted nodes, parents first."""
+    nodes = _below(root, "!")
+    if not any(x.tag[-1] == "?" for x in nodes):
+        return nodes
+    plain: dict[int, int] = {}
+    for node in reversed(nodes):
+        own = sum(len("".join(x.split())) if isinstance(x, str) else plain[id(x)] for x in node.items)
+        plain[id(node)] = 0 if node.tag.rstrip("?") == "a" else own
+    articles = [_path(x) for x in nodes if x.tag in ("article", "main") and plain[id(x)]]
+    for node in nodes:
+        if node.tag[-1] == "?" and 2 * plain[id(node)] > plain[id(root)]:
+            own = _path(node)
+            if all(node in path or path[0] in own for path in articles):
+                node.tag = node.tag[:-1]
+    return _below(root, "?")
+
+
+def _below(root: Node, mark: str) -> list[Node]:
     found = [root]
     for node in found:
-        node.items = [x for x in node.items if not isinstance(x, Node) or not x.tag.endswith("!")]
+        node.items = [x for x in node.items if not isinstance(x, Node) or x.tag[-1] != mark]
         found += [x for x in node.items if isinstance(x, Node)]
     return found
 
@@ -189,26 +209,60 @@ def _blocks(nodes: list[Node]) -> list[str]:
     return blocks
 
 
-def _chosen(root: Node) -> list[Node]:
-    """The subtrees that make up the article, in page order."""
-    best = root.best
-    path = [best]
+def _path(node: Node) -> list[Node]:
+    path = [node]
     while path[-1].parent:
         path.append(path[-1].parent)
+    return path
+
+
+def _chosen(root: Node, nodes: list[Node]) -> list[Node]:
+    """The subtrees that make up the article, in page order."""
+    best = root.best
+    path = _path(best)
     for node in path:
         if node.tag in ("article", "main"):
-            return [node]
+            return [_around(node, nodes)]
     threshold = min(node.density for node in path if node.tag not in ("html", "#root")) if best.tag not in ("html", "#root") else 0.0
     before: list[Node] = []
     after: list[Node] = []
     for below, up in zip(path, path[1:]):
-        children = [x for x in up.items if isinstance(x, Node)]
-        at = children.index(below)
-        before = [x for x in children[:at] if _belongs(x, threshold)] + before
-        after += [x for x in children[at + 1 :] if _belongs(x, threshold)]
+        at = up.items.index(below)
+        before = _beside(up.items[:at], threshold) + before
+        after += _beside(up.items[at + 1 :], threshold)
     return [*before, best, *after]
 
 
+def _around(node: Node, nodes: list[Node]) -> Node:
+    """``node``, or the smallest node around it and all articles that are not mostly links."""
+    if node.tag == "main":
+        return node
+    common = _path(node)
+    for other in nodes:
+        if other.tag == "article" and other.chars and 2 * other.link_chars <= other.chars:
+            around = {id(x) for x in _path(other)}
+            common = [x for x in common if id(x) in around]
+    return common[0]
+
+
+def _beside(items: list[Node | str], threshold: float) -> list[Node]:
+    """Neighbours that belong to the article; bare text and inline elements in a row are one."""
+    out: list[Node] = []
+    run: Node | None = None
+    for item in items:
+        if isinstance(item, Node) and item.tag in BLOCK_TAGS:
+            run = None
+            if _belongs(item, threshold):
+                out.append(item)
+            continue
+        if run is None:
+            out.append(run := Node("#text", None))
+        run.items.append(item)
+        run.chars += len("".join(item.split())) if isinstance(item, str) else item.chars
+        run.link_chars += 0 if isinstance(item, str) else item.link_chars
+    return [x for x in out if x.tag != "#text" or x.chars and 2 * x.link_chars <= x.chars]
+
+
 def _belongs(node: Node, threshold: float) -> bool:
     text_like = node.tag in _TEXT_TAGS and 2 * node.link_chars <= node.chars
     return node.chars > 0 and (node.density >= threshold or text_like)
@@ -217,8 +271,8 @@ def _belongs(node: Node, threshold: float) -> bool:
 def main_text(page: str | None) -> str:
     """Main text of a page, one block a line; empty for null, empty or text-free pages."""
     root = parse(page or "")
-    measure(root)
-    return "\n".join(_blocks(_chosen(root))) if root.chars else ""
+    nodes = measure(root)
+    return "\n".join(_blocks(_chosen(root, nodes))) if root.chars else ""
 
 
 def extracted(pages: DataFrame) -> DataFrame:

@@ -57,6 +57,23 @@ def test_page(page):
     assert html_text.main_text(page) == CASES[page]
 
 
+ITEMS = "".join(f"<li>Item {i} of a list, which has about forty signs" for i in range(10))
+BODY = f"<div><p>{PROSE}</p><p>{PROSE}</p><p>{PROSE}</p></div>"
+WHOLE = {
+    f"<body>Bare {PROSE}<br>{BODY}</body>": 4,
+    f"<body>Bare <b>bold</b> {PROSE}<br>{BODY}</body>": 4,
+    f"<body>{BODY}<ul>{ITEMS}</ul></body>": 13,
+    f"<body>{BODY}<section><div>{PROSE}</div></section></body>": 4,
+    f"<body><div class='no-sidebar'>{BODY}</div></body>": 3,
+    f"<body><h1>News</h1><article><p>{PROSE}</p></article><article><p>{PROSE}</p><p>{PROSE}</p></article></body>": 4,
+}
+
+
+@pytest.mark.parametrize("page", WHOLE)
+def test_all_text_of_pages_without_one_article(page):
+    assert len(html_text.main_text(page).split("\n")) == WHOLE[page]
+
+
 def test_deep_and_long_pages_end():
     deep = "<div>" * 20_000 + "text" + "</div>" * 20_000
     assert html_text.main_text(deep) == "text"
