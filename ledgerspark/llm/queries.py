@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerspark.llm import bpe, classifier, html_text, leaks, licenses, line_dedup, pii, quality, simhash, url_data, url_lists
+from ledgerspark.llm import bpe, classifier, html_text, leaks, licenses, line_dedup, pii, prefix_trie, quality, simhash, token_links, url_data, url_lists
 
 # The key of the registered query only; a real run passes a secret of its own.
 SURROGATE_KEY = b"registered query"
@@ -65,6 +65,15 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extracted(_table(spark, sf_dir, "pages"))
 
 
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = vocabulary_file("byte_bpe_50k.json"), vocabulary_file("piece_bpe_32k.model")
+    return token_links.document_measures(_table(spark, sf_dir, "documents"), a, b)
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.rebuilt_trie(_table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -79,6 +88,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_quality_rules,
             op9_pii_surrogates,
             op10_html_extraction,
+            op11_tokenizer_alignment,
+            op12_prefix_trie,
         )
     }
 
