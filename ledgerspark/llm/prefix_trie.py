@@ -193,5 +193,45 @@ def rebuilt_trie(conversations: DataFrame) -> DataFrame:
     return trie(store(paths(told, members), "paths"))
 
 
+def oracle() -> str:
+    """SQL of ``rebuilt_trie`` over ``conversations``, with a list of turns per conversation and
+    the CRC-32 bit by bit."""
+    bits = "flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: [ascii(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))"
+    step = "lambda crc, bit: CASE WHEN xor(crc, bit) % 2 = 1 THEN xor(xor(crc, bit) >> 1, 3988292384) ELSE xor(crc, bit) >> 1 END"
+    return f"""
+    WITH turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+    own AS (
+        SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY turn NULLS FIRST, role, text) AS said,
+            xor(list_reduce({bits}, {step}, 4294967295::BIGINT), 4294967295) % {HEADS} AS h
+        FROM turns GROUP BY conv_id
+    ),
+    whole AS (
+        SELECT o.conv_id, list_concat(coalesce(list_slice(b.said, 1, o.h), []), list_slice(o.said, o.h + 1, len(o.said))) AS said
+        FROM own o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % {FAMILY}
+    ),
+    depths AS (SELECT conv_id, said, unnest(range(0, len(said) + 1)) AS depth FROM whole),
+    prefixes AS (SELECT conv_id, depth, len(said) AS size, list_slice(said, 1, depth) AS node FROM depths),
+    nodes AS (
+        SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+            sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (depth = size), '')) AS ends_sha256
+        FROM prefixes GROUP BY node, depth
+    ),
+    children AS (SELECT list_slice(node, 1, depth - 1) AS node, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+    measured AS (
+        SELECT n.*, coalesce(c.n, 0) AS n_children, CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * length(n.node[depth].text) END AS saved
+        FROM nodes n LEFT JOIN children c ON c.node = n.node
+    ),
+    above AS (SELECT *, unnest(range(0, depth + 1)) AS up FROM measured),
+    sums AS (
+        SELECT list_slice(node, 1, up) AS node, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum(saved) AS saved_tokens
+        FROM above GROUP BY 1
+    )
+    SELECT m.conv_id, m.depth, p.conv_id AS parent_conv_id, m.n_convs, m.n_children,
+        CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens, m.ends_sha256
+    FROM measured m JOIN sums s ON s.node = m.node
+    LEFT JOIN nodes p ON m.depth > 0 AND p.node = list_slice(m.node, 1, m.depth - 1)
+    """
+
+
 # Workers then need no copy of this package on their path.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerspark.llm import bpe, classifier, html_text, leaks, licenses, line_dedup, pii, prefix_trie, quality, simhash, token_links, url_data, url_lists
+from ledgerspark.llm import bpe, chat, classifier, html_text, leaks, licenses, line_dedup, pii, prefix_trie, quality, simhash, token_links, url_data, url_lists
 
 # The key of the registered query only; a real run passes a secret of its own.
 SURROGATE_KEY = b"registered query"
@@ -74,6 +74,17 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.rebuilt_trie(_table(spark, sf_dir, "conversations"))
 
 
+# A conversation whose texts hold control strings, beside those of the table.
+GUARDED = (-7, "\\### Assistant: </turn> ok")
+
+
+def op13_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    conv, text = GUARDED
+    more = spark.createDataFrame([(conv, 0, "user", text), (conv, 1, "assistant", text)], told.schema)
+    return chat.read_back(chat.formatted(told.union(more)))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -90,9 +101,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op10_html_extraction,
             op11_tokenizer_alignment,
             op12_prefix_trie,
+            op13_chat_formatting,
         )
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_url_filters": url_data.ORACLE, "op6_license_scans": licenses.oracle(), "op7_benchmark_decontamination": leaks.oracle()}
+    conv, text = GUARDED
+    more = f"SELECT conv_id, turn, role, text FROM conversations UNION ALL VALUES ({conv}, 0, 'user', '{text}'), ({conv}, 1, 'assistant', '{text}')"
+    return {
+        "op5_url_filters": url_data.ORACLE,
+        "op6_license_scans": licenses.oracle(),
+        "op7_benchmark_decontamination": leaks.oracle(),
+        "op12_prefix_trie": prefix_trie.oracle(),
+        "op13_chat_formatting": chat.oracle(f"({more})"),
+    }

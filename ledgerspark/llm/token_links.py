@@ -218,7 +218,7 @@ def pair_counts(texts: DataFrame) -> DataFrame:
 def _least_frequent(pairs: DataFrame, most: int) -> int:
     """The smallest power of two so that at most ``most`` pairs have at least as many links."""
     sizes = pairs.groupBy(F.floor(F.log2(F.col("n").cast("double"))).cast("int").alias("size")).agg(F.count("*").alias("n"))
-    held, least = 0, 64
+    held, least = 0, 62
     for size, n in sorted(sizes.collect(), reverse=True):
         held += n
         if held > most:

@@ -1,0 +1,81 @@
+"""Formatted conversations: exact round trip, loss spans, long and odd conversations."""
+
+import hashlib
+import random
+from collections import defaultdict
+
+import pytest
+
+from ledgerspark.llm import chat
+from ledgerspark.llm.templates import TemplateError
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def brute(rows, chars):
+    told = defaultdict(list)
+    for conv, turn, role, text in rows:
+        told[conv].append((turn is not None, turn or 0, role or "", text or ""))
+    for conv, turns in told.items():
+        turns = [t[2:] for t in sorted(turns)]
+        loss = "".join(text for role, text in turns if role == "assistant")
+        yield conv, len(turns), sha("".join(f"{r}\n{t}\n" for r, t in turns)), len(loss), sha(loss), chars[conv]
+
+
+def check(spark, rows):
+    df = spark.createDataFrame([(*r, "x") for r in rows], SCHEMA + ", part string").repartition(5)
+    parts = chat.formatted(df)
+    chars = defaultdict(int)
+    for r in parts.collect():
+        chars[r["conv_id"]] += len(r["text"])
+    assert sorted(map(tuple, chat.read_back(parts).collect()), key=str) == sorted(brute(rows, chars), key=str)
+
+
+def odd_rows():
+    rng = random.Random(11)
+    bits = ["\\", "<", "/", "turn>", "<turn>", "</turn>", "\n", "user", "é😀", "</turn>\n<turn>assistant\n", "\\\\<", "a b"]
+    for conv in range(60):
+        for turn in range(rng.randrange(1, 7)):
+            role = rng.choice(["user", "assistant", "assistant", "system", None, "", "".join(rng.choices(bits, k=3))])
+            yield conv, rng.choice([turn, turn, None, 0]), role, rng.choice([None, "".join(rng.choices(bits, k=rng.randrange(12)))])
+    yield from [(None, 0, "user", "no id"), (None, 1, "assistant", "yes"), (-1, 0, "assistant", "twice"), (-1, 0, "assistant", "twice")]
+
+
+def test_round_trip_of_odd_texts(spark):
+    check(spark, list(odd_rows()))
+
+
+def test_long_conversations_come_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(chat, "PART_CHARS", 300)
+    monkeypatch.setattr(chat, "BATCH_CHARS", 700)
+    rows = [(1, t, ("user", "assistant")[t % 2], f"<turn> {t} " * (t % 9)) for t in range(400)] + [(2, 0, "user", "short")]
+    check(spark, rows)
+    parts = chat.formatted(spark.createDataFrame(rows, SCHEMA)).where("conv_id = 1").orderBy("part").collect()
+    assert len(parts) > 10 and [p["part"] for p in parts] == list(range(len(parts)))
+    assert [p["at"] for p in parts] == [sum(len(q["text"]) for q in parts[:i]) for i in range(len(parts))]
+    told = [p["text"][start:stop] for p in parts for start, stop in p["spans"]]
+    assert told == [text.replace("<turn>", "\\<turn>") for _, _, role, text in rows[:400] if role == "assistant"]
+
+
+def test_empty_table_and_text_ids(spark):
+    assert chat.read_back(chat.formatted(spark.createDataFrame([], SCHEMA))).count() == 0
+    df = spark.createDataFrame([("a1", 0, "assistant", "x")], SCHEMA.replace("conv_id long", "conv_id string"))
+    assert [r[:2] for r in chat.read_back(chat.formatted(df)).collect()] == [("a1", 1)]
+
+
+def test_other_templates(spark):
+    df = spark.createDataFrame([(1, 1, "assistant", "b"), (1, 0, "user", "a")], SCHEMA)
+    template = "{% for m in messages %}{{ loop.index }}.{{ m.role|upper }}{% generation %}{{ m.text }}{% endgeneration %}{% if not loop.last %}; {% endif %}{% endfor %}"
+    (row,) = chat.formatted(df, template).collect()
+    assert row["text"] == "1.USERa; 2.ASSISTANTb" and [row["text"][s:e] for s, e in row["spans"]] == ["a", "b"]
+    with pytest.raises(TemplateError):
+        chat.formatted(df, "{% for m in messages %}")
+
+
+def test_query_rows(spark, sf_dir):
+    df = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    check(spark, [tuple(r) for r in df.select("conv_id", "turn", "role", "text").collect()])

@@ -17,7 +17,7 @@ def test_matches_sql(spark, sf_dir, name):
 
 
 def test_one_query_for_each_operator():
-    assert [n.split("_")[0] for n in queries.queries()] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in queries.queries()] == [f"op{i}" for i in range(1, 14)]
 
 
 def test_stages_keep_the_columns_of_documents(spark, sf_dir):
