@@ -17,7 +17,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from ledgerspark.jobs.rebuild import build_facts, write_dimensions  # noqa: E402
+from ledgerspark.jobs.rebuild import Rebuild  # noqa: E402
 from ledgerspark.jobs.store import Store, new_run  # noqa: E402
 from ledgerspark.session import local_session  # noqa: E402
 from verification.ledger_data import LedgerData  # noqa: E402
@@ -61,8 +61,10 @@ def main() -> None:
         version = new_run()
         start = time.perf_counter()
         built = data.warehouse()
-        write_dimensions(store, version, built)
-        build_facts(store, version, data)
+        rebuild = Rebuild(store, version, raw=data)
+        rebuild.dimensions(built)
+        rebuild.facts()
+        rebuild.record()
         times["build_warehouse"] = round(time.perf_counter() - start, 4)
         stored = store.warehouse(version)
         for name, query in OVER_WAREHOUSE.items():

@@ -12,7 +12,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerspark.jobs.load import LoadResult, load_sources
-from ledgerspark.jobs.rebuild import build_facts, write_dimensions, write_rejects
+from ledgerspark.jobs.rebuild import Rebuild
 from ledgerspark.jobs.store import Store, new_run
 from ledgerspark.plans import views
 from ledgerspark.plans.warehouse import Warehouse
@@ -42,9 +42,11 @@ def run_nightly(
     """Run the stages in order; one row per stage with status and detail.
 
     A new warehouse version is published only after all of its tables are written and
-    its reports resolve, so readers never see part of a rebuild.
+    its reports resolve, so readers never see part of a rebuild. Partitions whose inputs
+    are as in the version before are taken over; ``mode="full"`` loads and builds all.
     """
     store, version = Store(spark, root), new_run()
+    rebuild: list[Rebuild] = []
 
     def load() -> str:
         results = load_sources(spark, root, sources, mode, dedup=dedup)
@@ -55,18 +57,23 @@ def run_nightly(
         return f"synced {counts['success']}, skipped {counts['skipped']}, rows {sum(r.rows for r in results)}, repeats left out {repeats}"
 
     def dimensions() -> str:
-        write_dimensions(store, version, Warehouse.from_raw(spark, store.raw, folders, internal_codes))
-        rejected = write_rejects(store, version, store.raw)
+        made = Rebuild(store, version, store.slices(), None if mode == "full" else store.newest_version())
+        made.dimensions(Warehouse.from_raw(spark, made.raw, folders, internal_codes), internal_codes)
+        rejected = made.rejects()
+        rebuild.append(made)
         return f"{version}, rows without a code: " + ", ".join(f"{name} {n}" for name, n in rejected.items())
 
     def facts() -> str:
-        build_facts(store, version, store.raw, match_type)
-        return version
+        (made,) = rebuild
+        made.facts(match_type=match_type)
+        made.record()
+        return f"{version}, partitions written {made.written}, taken over {made.kept}"
 
     def reports() -> str:
         built = store.warehouse(version, folders)
         ready = [view(built).columns for view in REPORTS]
         store.publish(version)
+        store.compact_records()
         return f"{len(ready)} reports"
 
     stages = (("load", load), ("dimensions", dimensions), ("facts", facts), ("reports", reports))

@@ -8,13 +8,18 @@ from tables Spark already holds.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+import logging
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ledgerspark.operators.changes import union_folders
 from ledgerspark.operators.lineage import business_columns
+from ledgerspark.sources.xbase import read_xbase
 from ledgerspark.values import (
     FIELD_MEANINGS,
     FIELD_TYPE_LABELS,
+    FOLDERS,
     JOIN_HINTS,
     SAMPLE_ROWS,
     TABLE_PURPOSES,
@@ -22,6 +27,8 @@ from ledgerspark.values import (
     UNKNOWN_PURPOSE,
 )
 
+log = logging.getLogger(__name__)
+
 
 def _looked_up(values: dict[str, str], key: Column, missing: str | Column) -> Column:
     pairs = [F.lit(text) for pair in values.items() for text in pair]
@@ -136,18 +143,44 @@ def field_dictionary(catalog: DataFrame) -> DataFrame:
     )
 
 
-def sample_rows(raw: DataFrame, rows: int = SAMPLE_ROWS, fields: int | None = None) -> DataFrame:
-    """First rows per folder in source order, as text, NULL as empty; all fields unless
-    ``fields`` asks for the first few.
+def sample_rows(raw: DataFrame, rows: int = SAMPLE_ROWS, fields: int | None = None, folders: Iterable[str] = FOLDERS) -> DataFrame:
+    """First rows of each of the folders in source order, as text, NULL as empty; all fields
+    unless ``fields`` asks for the first few.
 
-    The rank filter becomes a group limit below the shuffle: each task passes on only
-    its own first rows of a folder, whatever the folder's size.
+    A folder's rows are a top-k: each task keeps its ``rows`` first ones and nothing is sorted.
     """
-    order = Window.partitionBy("_source_folder").orderBy("_seq")
     shown = business_columns(raw)[:fields]
-    first = raw.withColumn("row_no", F.row_number().over(order)).filter(F.col("row_no") <= rows)
-    return first.select(
-        F.col("_source_folder").alias("source_folder"),
-        "row_no",
-        *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in shown],
-    )
+    texts = raw.select("_source_folder", "_seq", *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in shown])
+    return _numbered(union_folders([texts.filter(F.col("_source_folder") == f).orderBy("_seq").limit(rows) for f in folders]), shown)
+
+
+def _numbered(first: DataFrame, shown: list[str]) -> DataFrame:
+    """The few picked rows of each folder with their place."""
+    listed = first.groupBy(F.col("_source_folder").alias("source_folder")).agg(F.array_sort(F.collect_list(F.struct("_seq", *shown))).alias("rows"))
+    placed = listed.select("source_folder", F.posexplode("rows").alias("place", "row"))
+    return placed.select("source_folder", (F.col("place") + 1).alias("row_no"), *[F.col(f"row.`{c}`").alias(c) for c in shown])
+
+
+def sample_files(spark: SparkSession, files: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
+    """First live records of each listed xBase file: ``source_folder``, ``table_name``, ``row_no``
+    and ``values``, a map of field names to texts. No file is read further than that."""
+    frames = []
+    for file in files.select("source_folder", "table_name", "path").collect():  # names only: one row per file
+        try:
+            found = read_xbase(spark, [file.path], limit=rows)
+        except ValueError as problem:  # a header without fields has no rows to show
+            log.warning("%s: %s", file.path, problem)
+            continue
+        shown = [c for c in found.columns if c not in ("_source_path", "_seq")]
+        values = F.create_map(*[x for c in shown for x in (F.lit(c), F.coalesce(F.col(c).cast("string"), F.lit("")))])
+        listed = found.agg(F.array_sort(F.collect_list(F.struct("_seq", F.to_json(values).alias("body")))).alias("rows"))
+        placed = listed.select(F.posexplode("rows").alias("place", "row"))
+        frames.append(
+            placed.select(
+                F.lit(file.source_folder).alias("source_folder"),
+                F.lit(file.table_name).alias("table_name"),
+                (F.col("place") + 1).alias("row_no"),
+                F.from_json("row.body", "map<string,string>").alias("values"),
+            )
+        )
+    return union_folders(frames) if frames else spark.createDataFrame([], "source_folder string, table_name string, row_no int, values map<string,string>")

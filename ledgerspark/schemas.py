@@ -151,6 +151,27 @@ FILE_STATE = _schema(
     ("data_path", _TEXT),
 )
 
+# Partitions of each version: the version that wrote them, their rows, a digest of the rows,
+# and of a dimension's keys. ``month`` is NULL for dimensions and undated rows.
+WAREHOUSE_PARTS = _schema(
+    ("version", _TEXT),
+    ("table_name", _TEXT),
+    ("source_folder", _TEXT),
+    ("month", _DATE),
+    ("written_by", _TEXT),
+    ("rows", _LONG),
+    ("digest", _TEXT),
+    ("keys", _TEXT),
+)
+
+# What each folder's part of a table was built from.
+WAREHOUSE_INPUTS = _schema(
+    ("version", _TEXT),
+    ("table_name", _TEXT),
+    ("source_folder", _TEXT),
+    ("signature", _TEXT),
+)
+
 WAREHOUSE_TABLES = {
     "dim_date": DIM_DATE,
     "dim_customer": DIM_CUSTOMER,

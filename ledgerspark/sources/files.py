@@ -10,11 +10,13 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ledgerspark.operators.changes import union_folders
-from ledgerspark.sources.xbase import open_location, read_header
+from ledgerspark.sources.locations import open_location
+from ledgerspark.sources.xbase import read_header
 from ledgerspark.values import SKIPPED_TABLES
 
 FILE_COLUMNS = "source_folder string, table_name string, path string, length bigint, modified timestamp"
 XBASE_GLOB = "{*.DBF,*.dbf}"
+RANGE_BYTES = 64 * 1024 * 1024
 _CHUNK = 1024 * 1024
 
 
@@ -61,31 +63,43 @@ def _spread(files: DataFrame) -> DataFrame:
     return files.repartition(max(2, files.sparkSession.sparkContext.defaultParallelism), "path")
 
 
-def _hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _range_hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        yield batch.assign(file_hash=[_md5(p) for p in batch["path"]])
+        hashes = [_md5(*r) for r in zip(batch["path"], batch["first"], batch["size"])]
+        yield batch[["path", "first"]].assign(digest=hashes)
 
 
-def _md5(path: str) -> str | None:
-    digest = hashlib.md5()
+def _md5(path: str, first: int, size: int) -> str | None:
+    digest, end = hashlib.md5(), first + size
     system, inner = open_location(path)
     try:
-        with system.open_input_stream(inner) as f:
-            while chunk := f.read(_CHUNK):
-                digest.update(chunk)
+        with system.open_input_file(inner) as f:
+            for at in range(first, end, _CHUNK):
+                digest.update(f.read_at(min(_CHUNK, end - at), at))
     except OSError:
         return None
     return digest.hexdigest()
 
 
-def fingerprints(files: DataFrame) -> DataFrame:
-    """Add the MD5 of each file's bytes as ``file_hash``; NULL for an unreadable file.
+def fingerprints(files: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """Add a digest of each file's bytes as ``file_hash``; NULL for an unreadable file.
 
-    Files are streamed in small chunks, so a task needs little memory for any size.
+    A file is cut into ranges that are hashed by tasks of their own. A file of one range has
+    the MD5 of its bytes, a longer one the MD5 of its ranges' digests in order. A file that
+    changes its length after the listing gets another digest with the next listing.
     """
-    spread = _spread(files)
-    schema = T.StructType([*spread.schema.fields, T.StructField("file_hash", T.StringType())])
-    return spread.mapInPandas(_hashes, schema)
+    last = F.greatest(F.expr(f"(length - 1) DIV {range_bytes}"), F.lit(0))
+    cut = files.select("path", "length", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("at"))
+    first = F.col("at") * range_bytes
+    sized = cut.select("path", first.alias("first"), F.least(F.lit(range_bytes), F.col("length") - first).alias("size"))
+    spread = sized.repartition(max(2, files.sparkSession.sparkContext.defaultParallelism), "path", "first")
+    hashed = spread.mapInPandas(_range_hashes, "path string, first bigint, digest string")
+    # One digest per range of a file: a file of 100 GB has about 1,600.
+    whole = hashed.groupBy("path").agg(
+        F.array_sort(F.collect_list(F.struct("first", "digest"))).alias("parts"), F.count_if(F.col("digest").isNull()).alias("unread")
+    )
+    digest = F.when(F.size("parts") == 1, F.col("parts")[0]["digest"]).otherwise(F.md5(F.array_join("parts.digest", "").cast("binary")))
+    return files.join(whole.select("path", F.when(F.col("unread") == 0, digest).alias("file_hash")), "path", "left").select(*files.columns, "file_hash")
 
 
 _CATALOG = """source_folder string, table_name string, full_path string, record_count bigint,

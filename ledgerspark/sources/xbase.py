@@ -23,6 +23,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from ledgerspark.functions.coerce import spark_type, typed
 from ledgerspark.functions.text import clean_text, decode_cp1252, field_name, strip
 from ledgerspark.operators.changes import union_folders
+from ledgerspark.sources.locations import open_location
+from ledgerspark.sources.memos import with_memos
 
 log = logging.getLogger(__name__)
 
@@ -31,19 +33,6 @@ SPLIT_BYTES = 64 * 1024 * 1024
 BATCH_BYTES = 4 * 1024 * 1024
 
 
-# ---- files ---------------------------------------------------------------------
-
-
-def open_location(path: str) -> tuple[fs.FileSystem, str]:
-    """File system and inner path of a local path or a Hadoop-style URI."""
-    if path.startswith("file:/"):
-        path = path.removeprefix("file:")
-        path = "/" + path.lstrip("/")
-    if path.startswith("/"):
-        return fs.LocalFileSystem(), path
-    return fs.FileSystem.from_uri(path)
-
-
 # ---- header --------------------------------------------------------------------
 
 
@@ -72,6 +61,8 @@ class Header:
         return max(0, file_size - self.header_size) // self.record_size if self.record_size else 0
 
 
+# The flag of a live record, and the byte that ends the records.
+_LIVE, _END_MARK = 0x20, 0x1A
 # Bytes that are type codes; any other byte means character.
 _TYPE_BYTES = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ+"
 
@@ -127,7 +118,8 @@ class RecordRange(InputPartition):
 
 
 class XbaseDataSource(DataSource):
-    """``spark.read.format("xbase")`` with ``path`` or a JSON list ``paths``."""
+    """``spark.read.format("xbase")`` with ``path`` or a JSON list ``paths``; ``records`` (JSON list)
+    says how many records count in each, ``limit`` how many live ones are wanted of each."""
 
     @classmethod
     def name(cls) -> str:
@@ -137,9 +129,11 @@ class XbaseDataSource(DataSource):
         return RECORD_SCHEMA
 
     def reader(self, schema) -> DataSourceReader:
-        given = self.options.get("paths")
+        given, counts, limit = (self.options.get(o) for o in ("paths", "records", "limit"))
         paths = json.loads(given) if given else [self.options["path"]]
-        return XbaseReader(paths, int(self.options.get("splitBytes", SPLIT_BYTES)))
+        return XbaseReader(
+            paths, counts and json.loads(counts), int(self.options.get("splitBytes", SPLIT_BYTES)), None if limit is None else int(limit)
+        )
 
 
 def _printable(block: bytes, rows: int, width: int) -> np.ndarray:
@@ -147,41 +141,70 @@ def _printable(block: bytes, rows: int, width: int) -> np.ndarray:
     return (codes.min(axis=1) >= 0x20) & (codes.max(axis=1) < 0x7F)
 
 
-def live_records(system: fs.FileSystem, inner: str, header: Header) -> int:
-    """Records before the end mark 0x1A, or all that the file holds.
+def _held(system: fs.FileSystem, inner: str, header: Header) -> int:
+    return header.records_in(system.get_file_info(inner).size or 0)
 
-    The mark is looked for where the header's count says the records end. Only if it is not
-    there, which is logged, are the flags read one after another.
+
+def record_counts(spark: SparkSession, paths: Sequence[str]) -> list[int]:
+    """Records of each file before the end mark 0x1A, or all that it holds.
+
+    The driver reads headers, and the one byte where a header's count says that the records
+    end. Files without the mark there, which are logged, are searched by a job: each task
+    reports the first mark among the flags of a range of records, and the least one counts.
     """
-    held = header.records_in(system.get_file_info(inner).size or 0)
-    if header.record_count == held or not held:
-        return held
-    width, at = header.record_size, header.header_size
-    with system.open_input_file(inner) as f:
-        if header.record_count < held and f.read_at(1, at + header.record_count * width) == b"\x1a":
-            return header.record_count
+    counts, unsure = {}, []
+    for path in paths:
+        header = read_header(path)
+        system, inner = open_location(path)
+        counts[path] = held = _held(system, inner, header)
+        if header.record_count == held or not held:
+            continue
+        if header.record_count < held:
+            with system.open_input_file(inner) as f:
+                if f.read_at(1, header.header_size + header.record_count * header.record_size) == b"\x1a":
+                    counts[path] = header.record_count
+                    continue
         log.warning("%s: the header says %d records, the file holds %d", inner, header.record_count, held)
-        step = max(1, BATCH_BYTES // width)
-        for first in range(0, held, step):
-            rows = min(step, held - first)
-            flags = np.frombuffer(f.read_at(rows * width, at + first * width), np.uint8)[::width]
-            if (ends := np.flatnonzero(flags == 0x1A)).size:
-                return first + int(ends[0])
-    return held
+        step = max(1, SPLIT_BYTES // header.record_size)
+        unsure += [(path, header.header_size, header.record_size, at, min(step, held - at)) for at in range(0, held, step)]
+    if unsure:
+        ranges = spark.createDataFrame(unsure, "path string, header_size bigint, width bigint, first bigint, count bigint")
+        marks = ranges.repartition(len(unsure)).mapInArrow(_first_marks, "path string, mark bigint").groupBy("path").agg(F.min("mark").alias("mark"))
+        counts |= {r.path: r.mark for r in marks.collect()}  # one row per file with a mark
+    return [counts[p] for p in paths]
+
+
+def _first_marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = []
+        for path, header_size, width, first, count in zip(*(c.to_pylist() for c in batch.columns)):
+            system, inner = open_location(path)
+            step = max(1, BATCH_BYTES // width)
+            with system.open_input_file(inner) as f:
+                for at in range(first, first + count, step):
+                    rows = min(step, first + count - at)
+                    flags = np.frombuffer(f.read_at(rows * width, header_size + at * width), np.uint8)[::width]
+                    if (ends := np.flatnonzero(flags == _END_MARK)).size:
+                        found.append((path, at + int(ends[0])))
+                        break
+        yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in found], pa.string()), pa.array([m for _, m in found], pa.int64())], names=["path", "mark"])
 
 
 class XbaseReader(DataSourceReader):
-    def __init__(self, paths: list[str], split_bytes: int):
-        self.paths, self.split_bytes = paths, split_bytes
+    def __init__(self, paths: list[str], counts: list[int] | None, split_bytes: int, limit: int | None):
+        self.paths, self.counts, self.split_bytes, self.limit = paths, counts, split_bytes, limit
 
     def partitions(self) -> list[RecordRange]:
+        """Ranges of records. With a limit, one for each file, which reads as far as it has to."""
         ranges = []
-        for path in self.paths:
+        for path, records in zip(self.paths, self.counts or [None] * len(self.paths)):
             header = read_header(path)
-            system, inner = open_location(path)
-            records = live_records(system, inner, header)
-            step = max(1, self.split_bytes // max(1, header.record_size))
-            for first in range(0, records, step):
+            if records is None:
+                records = _held(*open_location(path), header)
+                if self.limit is None and records != header.record_count:
+                    raise ValueError(f"{path}: give the number of records, which the header does not say")
+            step = records if self.limit is not None else max(1, self.split_bytes // max(1, header.record_size))
+            for first in range(0, records, max(1, step)):
                 count = min(step, records - first)
                 ranges.append(RecordRange(path, header.header_size, header.record_size, first, count))
         return ranges or [RecordRange("", 0, 1, 0, 0)]
@@ -189,32 +212,59 @@ class XbaseReader(DataSourceReader):
     def read(self, partition: RecordRange) -> Iterator[pa.RecordBatch]:
         if not partition.count:
             return
-        width = partition.record_size
+        width, left = partition.record_size, self.limit
         step = max(1, BATCH_BYTES // width)
+        if left is not None:
+            step = min(step, max(1, 2 * left))
         system, inner = open_location(partition.path)
         with system.open_input_file(inner) as f:
             for first in range(partition.first, partition.first + partition.count, step):
                 wanted = min(step, partition.first + partition.count - first)
                 block = f.read_at(wanted * width, partition.header_size + first * width)
-                rows = len(block) // width
+                rows, ended = len(block) // width, False
                 if rows < wanted:
                     raise OSError(f"{partition.path} became shorter while it was read")
-                ends = pa.array(np.arange(rows + 1, dtype=np.int32) * width)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.repeat(pa.scalar(partition.path), rows),
-                        pa.array(np.arange(first, first + rows, dtype=np.int64)),
-                        pa.BinaryArray.from_buffers(pa.binary(), rows, [None, ends.buffers()[1], pa.py_buffer(block)]),
-                        pa.array(_printable(block, rows, width)),
-                    ],
-                    names=["path", "rec_no", "record", "plain"],
-                )
-
-
-def scan_records(spark: SparkSession, paths: Sequence[str], split_bytes: int = SPLIT_BYTES) -> DataFrame:
+                if left is not None:
+                    rows, left, ended = _first_live(block, rows, width, left)
+                    block = block[: rows * width]
+                if rows:
+                    yield self._batch(partition.path, first, block, rows, width)
+                if ended:
+                    return
+
+    @staticmethod
+    def _batch(path: str, first: int, block: bytes, rows: int, width: int) -> pa.RecordBatch:
+        ends = pa.array(np.arange(rows + 1, dtype=np.int32) * width)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.repeat(pa.scalar(path), rows),
+                pa.array(np.arange(first, first + rows, dtype=np.int64)),
+                pa.BinaryArray.from_buffers(pa.binary(), rows, [None, ends.buffers()[1], pa.py_buffer(block)]),
+                pa.array(_printable(block, rows, width)),
+            ],
+            names=["path", "rec_no", "record", "plain"],
+        )
+
+
+def _first_live(block: bytes, rows: int, width: int, left: int) -> tuple[int, int, bool]:
+    """Rows up to the last wanted live record or the end mark, live records still wanted, and
+    whether reading ends here."""
+    flags = np.frombuffer(block, np.uint8)[: rows * width : width]
+    ends = np.flatnonzero(flags == _END_MARK)
+    held = int(ends[0]) if ends.size else rows
+    live = np.flatnonzero(flags[:held] == _LIVE)
+    if live.size >= left:
+        return int(live[left - 1]) + 1 if left else 0, 0, True
+    return held, left - int(live.size), bool(ends.size)
+
+
+def scan_records(spark: SparkSession, paths: Sequence[str], split_bytes: int = SPLIT_BYTES, limit: int | None = None) -> DataFrame:
+    """Records of files; with ``limit`` the first so many live ones of each, and only them are read."""
     spark.dataSource.register(XbaseDataSource)
-    reader = spark.read.format("xbase").option("paths", json.dumps(list(paths)))
-    return reader.option("splitBytes", str(split_bytes)).load()
+    reader = spark.read.format("xbase").option("paths", json.dumps(list(paths))).option("splitBytes", str(split_bytes))
+    if limit is not None:
+        return reader.option("limit", str(limit)).load()
+    return reader.option("records", json.dumps(record_counts(spark, paths))).load()
 
 
 # ---- records to columns ----------------------------------------------------------
@@ -258,8 +308,16 @@ def _double(raw: Column) -> Column:
     return F.when(exponent < 0x7FF, F.when(top.bitwiseAND(0x8000) != 0, -size).otherwise(size))
 
 
+def _pointer(raw: Column, length: int) -> Column:
+    """Block number of a memo: four little-endian bytes, or digits; NULL if there is none."""
+    number = _little_endian(raw, 1, 4) if length == 4 else F.trim(decode_cp1252(raw)).try_cast("bigint")
+    return F.when(number > 0, number.cast("bigint"))
+
+
 def _value(field: Field) -> Column:
     raw = F.substring("record", field.offset + 1, field.length)
+    if field.code == "M":
+        return _pointer(raw, field.length)
     if (field.code, field.length) in _BINARY:
         return _binary_value(raw, field)
     special = decode_cp1252(raw)
@@ -285,12 +343,13 @@ def decode(records: DataFrame, fields: Sequence[Field]) -> DataFrame:
     return live.select(*kept, *[_value(f).alias(f.column) for f in fields])
 
 
-def read_xbase(spark: SparkSession, paths: Sequence[str], split_bytes: int = SPLIT_BYTES) -> DataFrame:
+def read_xbase(spark: SparkSession, paths: Sequence[str], split_bytes: int = SPLIT_BYTES, limit: int | None = None) -> DataFrame:
     """Live records of files of the same table, with ``_source_path`` and
-    record number ``_seq``.
+    record number ``_seq``; with ``limit`` the first so many of each file.
 
     Files whose headers agree are read by one scan; a file with another layout gets
-    its own, and a field it lacks is NULL.
+    its own, and a field it lacks is NULL. Memo fields hold the texts of the companion file,
+    NULL if there is none.
     """
     layouts: dict[tuple[Field, ...], list[str]] = {}
     for path in paths:
@@ -300,8 +359,9 @@ def read_xbase(spark: SparkSession, paths: Sequence[str], split_bytes: int = SPL
         layouts.setdefault(header.fields, []).append(path)
     frames = []
     for fields, same in layouts.items():
-        records = scan_records(spark, same, split_bytes)
-        frames.append(decode(records.withColumnsRenamed({"path": "_source_path", "rec_no": "_seq"}), fields))
+        records = scan_records(spark, same, split_bytes, limit)
+        rows = decode(records.withColumnsRenamed({"path": "_source_path", "rec_no": "_seq"}), fields)
+        frames.append(with_memos(rows, same, [f.column for f in fields if f.code == "M"]))
     return union_folders(frames)
 
 

@@ -156,8 +156,8 @@ def test_rows_without_a_code_are_written_as_rejects(spark, places):
     write(base / A / "ITEM.DBF", ITEM, [(" ", "", "Nameless", "hw", "PCS", "7318", "FIFO", "15.00", "5.000", "75.00", "F")])
     stages = {s.stage: s.detail for s in nightly.run_nightly(spark, root, sources).collect()}
     assert "dim_customer 0" in stages["dimensions"] and "dim_product 1" in stages["dimensions"]
-    version = stages["facts"]
-    rejected = spark.read.parquet(f"{root}/warehouse/{version}/dim_product_rejects").collect()
+    version = stages["facts"].split(",")[0]
+    rejected = spark.read.parquet(f"{root}/warehouse/dim_product_rejects/_version={version}").collect()
     assert [(r._source_folder, r.desc) for r in rejected] == [(A, "Nameless")]
 
 
