@@ -28,14 +28,6 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: str, distinct_nulls: b
     return marked.filter(F.col("_first").isNull() | (F.col(order) == F.col("_first"))).select(*df.columns)
 
 
-def first_of_key(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
-    """Like :func:`keep_first` for master tables that facts look up: one aggregate, from
-    which the planner knows that a key is unique and drops lookups that nobody reads."""
-    rest = [c for c in df.columns if c not in keys]
-    first = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.col(order)).alias("_first"))
-    return first.select(*[F.col(c) if c in keys else F.col(f"_first.{c}") for c in df.columns])
-
-
 def exact_dedup(df: DataFrame, columns: Sequence[str], order: str | None = None) -> DataFrame:
     """One row per distinct combination of ``columns`` (NULLs equal), with its first ``order``."""
     if order is None:

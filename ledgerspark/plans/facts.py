@@ -20,19 +20,22 @@ from ledgerspark.schemas import (
     conform,
 )
 
+# Rows of one number's join that a task may make; numbers beyond that are dealt into shares.
+HEAVY_ROWS = 1_000_000
+# Heavy numbers handled so at most (the worst; a broadcast), and shares of one number.
+MOST_HEAVY, MOST_SHARES = 10_000, 4_096
+
 
 def _keyed(raw: DataFrame, dim: DataFrame, raw_code: str, dim_code: str, dim_key: str, out: str) -> DataFrame:
     """Add the dimension key of ``raw_code`` as ``out``, NULL where the dimension lacks it.
 
-    Comparing the key as well as its two parts is redundant for the result. It matters
-    when the dimension is still an aggregate by those parts: the aggregate's partitioning
-    then no longer fits the join, which puts a shuffle right below each side, and only
-    such a join can have a hot key split. The parts alone tell the planner that a row
-    matches once, so that a lookup nobody reads is removed.
+    The lookup is an aggregate over the key's parts, of which a dimension has each once. It
+    tells the planner that a row matches once, so that a lookup nobody reads is removed.
+    Comparing the key as well as its parts is redundant for the result: the aggregate's
+    partitioning then no longer fits the join, which puts a shuffle right below each side,
+    and only such a join can have a hot key split.
     """
-    lookup = dim.select(
-        F.col("source_folder").alias("_dim_folder"), F.col(dim_code).alias("_dim_code"), F.col(dim_key).alias(out)
-    )
+    lookup = dim.groupBy(F.col("source_folder").alias("_dim_folder"), F.col(dim_code).alias("_dim_code")).agg(F.min(dim_key).alias(out))
     matches = (
         (F.col("_source_folder") == F.col("_dim_folder"))
         & (F.col(raw_code) == F.col("_dim_code"))
@@ -49,27 +52,65 @@ def _text(name: str) -> Column:
     return F.col(name).cast("string")
 
 
+def _line_keys(match_type: bool) -> dict[str, str]:
+    """Line columns that a header has to match, and the header's columns."""
+    return {"_source_folder": "_source_folder", "invno": "invnoebg"} | ({"invtype": "invtypebg"} if match_type else {})
+
+
+def header_load(lines: DataFrame, headers: DataFrame, match_type: bool = False) -> DataFrame:
+    """Numbers with several headers that lines use: ``_source_folder``, ``invno`` (``invtype``),
+    ``n_headers``, ``n_lines`` and ``n_rows``, the rows that their join makes.
+
+    Two aggregates over keys, and only the lines of such numbers enter the second.
+    """
+    keys = _line_keys(match_type)
+    several = headers.groupBy(*[F.col(h).alias(k) for k, h in keys.items()]).agg(F.count("*").alias("n_headers")).filter("n_headers > 1")
+    used = lines.join(several, list(keys), "left_semi").groupBy(*keys).agg(F.count("*").alias("n_lines"))
+    return used.join(several, list(keys)).select(*keys, "n_headers", "n_lines", (F.col("n_headers") * F.col("n_lines")).alias("n_rows"))
+
+
+def heavy_numbers(lines: DataFrame, headers: DataFrame, match_type: bool = False, rows: int = HEAVY_ROWS, most: int = MOST_HEAVY) -> DataFrame:
+    """The numbers, at most ``most``, whose lines and headers make more than ``rows`` rows, and
+    into how many shares (``shares``) their lines have to be dealt to make about that many each."""
+    load = header_load(lines, headers, match_type).filter(F.col("n_rows") > rows)
+    shares = F.least(F.ceil(F.col("n_rows") / rows), F.col("n_lines"), F.lit(MOST_SHARES)).cast("int")
+    worst = load.orderBy(F.desc("n_rows"), *_line_keys(match_type)).limit(most)
+    return worst.select(*_line_keys(match_type), shares.alias("shares"))
+
+
+def _dealt(lines: DataFrame, header: DataFrame, keys: list[str], heavy: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Lines of heavy numbers dealt into shares, and their headers copied for each share."""
+    heavy = F.broadcast(heavy)  # at most MOST_HEAVY rows
+    share = F.when(F.col("shares").isNull(), 0).otherwise(F.pmod(F.xxhash64(*lines.columns), F.col("shares")))
+    parted = lines.join(heavy, keys, "left").withColumn("_share", share.cast("int")).drop("shares")
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("shares"), F.lit(1)) - 1))
+    named = heavy.select(*[F.col(k).alias(f"_heavy{i}") for i, k in enumerate(keys)], "shares")
+    same = [F.col(f"_head{k}") == F.col(f"_heavy{i}") for i, k in enumerate(keys)]
+    copied = header.join(named, same, "left").withColumn("_head_share", copies).drop("shares", *[f"_heavy{i}" for i in range(len(keys))])
+    return parted, copied
+
+
 def fact_sales(
     lines: DataFrame,
     headers: DataFrame,
     dim_customer: DataFrame,
     dim_product: DataFrame,
     match_type: bool = False,
+    heavy: DataFrame | None = None,
 ) -> DataFrame:
     """One row per invoice line and matching header.
 
     A line matches headers by folder and number alone, so a number used by several
-    headers repeats the line; ``match_type`` also compares the invoice type.
+    headers repeats the line; ``match_type`` also compares the invoice type. ``heavy``, from
+    :func:`heavy_numbers`, spreads numbers with very many lines and headers over tasks: the
+    skew join splits partitions by what they read, not by the rows that they make.
     """
-    header = headers.select(
-        F.col("_source_folder").alias("_head_folder"),
-        F.col("invnoebg").alias("_head_no"),
-        F.col("invtypebg").alias("_head_type"),
-        F.col("invdatebg").alias("_head_date"),
-    )
-    matches = (F.col("_source_folder") == F.col("_head_folder")) & (F.col("invno") == F.col("_head_no"))
-    if match_type:
-        matches = matches & (F.col("invtype") == F.col("_head_type"))
+    keys = _line_keys(match_type)
+    header = headers.select(*[F.col(h).alias(f"_head{k}") for k, h in keys.items()], F.col("invdatebg").alias("_head_date"))
+    matches = [F.col(k) == F.col(f"_head{k}") for k in keys]
+    if heavy is not None:
+        lines, header = _dealt(lines, header, list(keys), heavy)
+        matches.append(F.col("_share") == F.col("_head_share"))
     dated = lines.join(header, matches, "left")
     keyed = _keyed(_with_customer(dated, dim_customer, "cuscode"), dim_product, "itemcode", "item_code", "product_key", "product_key")
     return conform(

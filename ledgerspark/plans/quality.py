@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ledgerspark.operators.changes import union_folders
 from ledgerspark.operators.lineage import business_columns
+from ledgerspark.plans.facts import header_load
 from ledgerspark.plans.queries import checked_limit
 from ledgerspark.plans.warehouse import Warehouse
 
@@ -29,6 +30,14 @@ def revenue_reconciles(raw_lines: DataFrame, wh: Warehouse) -> DataFrame:
     return raw.join(fact, "source_folder", "full").withColumn("difference", gap)
 
 
+def header_multiplicity(raw_lines: DataFrame, raw_headers: DataFrame, match_type: bool = False) -> DataFrame:
+    """Invoice numbers whose lines are repeated because several headers have the number, with
+    the lines, the headers and the rows that the sales fact gets from them."""
+    load = header_load(raw_lines, raw_headers, match_type)
+    names = {"_source_folder": "source_folder", "invno": "invoice_no"} | ({"invtype": "invoice_type"} if match_type else {})
+    return load.withColumnsRenamed(names).withColumn("invoice_no", F.col("invoice_no").cast("string"))
+
+
 def orphan_customers(wh: Warehouse) -> DataFrame:
     """Sales lines whose customer is not in the dimension."""
     return wh.fact_sales.filter(F.col("customer_key").isNull()).agg(F.count("*").alias("orphan_lines"))

@@ -111,13 +111,16 @@ def transactions(
         vouchers = vouchers.filter(F.col("ledger_key").isin([f"{f}|{ledger_code}" for f in scope.folders]))
     ties = [c for c in vouchers.columns if c != "voucher_date"]
     newest = [F.col("voucher_date").desc_nulls_first(), *[F.col(c).asc_nulls_last() for c in ties]]
-    names = scope.dim_customer.select("source_folder", F.col("customer_key").alias("ledger_key"), "customer_name")
     latest = vouchers.orderBy(*newest).limit(rows)
-    # The dimension is cut to the picked rows' ledgers before it meets them: both sides that
-    # are broadcast have at most ``rows`` rows.
-    key = ["source_folder", "ledger_key"]
-    wanted = names.join(F.broadcast(latest.select(*key)), key, "left_semi")
-    return latest.join(F.broadcast(wanted), key, "left").orderBy(*newest).limit(rows)
+    # A voucher's key is NULL exactly if the dimension lacks its ledger, so with a NULL key for
+    # each folder every voucher finds its one name. The few vouchers are what is broadcast, and
+    # they are ranked once; neither the dimension nor the fact is shuffled.
+    names = scope.dim_customer.select("source_folder", F.col("customer_key").alias("ledger_key"), "customer_name")
+    folders = wh.spark.createDataFrame([(f, None, None) for f in scope.folders], names.schema)
+    picked = F.broadcast(latest.withColumnsRenamed({"source_folder": "_folder", "ledger_key": "_key"}))
+    same = (F.col("source_folder") == F.col("_folder")) & F.col("ledger_key").eqNullSafe(F.col("_key"))
+    named = names.union(folders).join(picked, same).select(*vouchers.columns, "customer_name")
+    return named.orderBy(*newest).limit(rows)
 
 
 def inventory_items(

@@ -60,8 +60,10 @@ class Warehouse:
         folders: Iterable[str] = FOLDERS,
         internal_codes: Iterable[str] = INTERNAL_LEDGER_CODES,
         match_type: bool = False,
+        heavy: DataFrame | None = None,
     ) -> Warehouse:
-        """Tables derived from raw ones; ``raw`` maps a raw table name to its DataFrame."""
+        """Tables derived from raw ones; ``raw`` maps a raw table name to its DataFrame.
+        ``heavy``: invoice numbers whose lines are to be dealt into shares."""
         codes = tuple(internal_codes)
 
         def build(name: str) -> DataFrame:
@@ -75,7 +77,7 @@ class Warehouse:
                 case "dim_ledger_group":
                     return spark.createDataFrame([], DIM_LEDGER_GROUP)
                 case "fact_sales":
-                    return facts.fact_sales(raw("SALES2"), raw("SALES1"), wh.dim_customer, wh.dim_product, match_type)
+                    return facts.fact_sales(raw("SALES2"), raw("SALES1"), wh.dim_customer, wh.dim_product, match_type, heavy)
                 case "fact_sales_header":
                     return facts.fact_sales_header(raw("SALES1"), wh.dim_customer)
                 case "fact_finance":

@@ -126,3 +126,65 @@ def test_slow_moving_aggregates_sales_before_the_join(spark, data, tmp_path, no_
 def test_samples_are_a_top_k_of_each_folder(spark, data):
     text = plan(profile.sample_rows(data.trans()))
     assert text.count("TakeOrderedAndProject") == 3 and "Sort [" not in text and "Window" not in text
+
+
+def test_dimensions_sort_no_rows(spark, data):
+    for table in (data.warehouse().dim_customer, data.warehouse().dim_product):
+        text = plan(table)
+        assert "SortAggregate" not in text and "ObjectHashAggregate" not in text
+
+
+def test_transactions_rank_once_and_shuffle_no_dimension(spark, data, tmp_path, no_broadcast):
+    text = plan(queries.transactions(stored(spark, data, tmp_path)))
+    assert text.count("TakeOrderedAndProject") == 2 and "SortMergeJoin" not in text
+    assert len([row for row in text.splitlines() if "FileScan" in row and "voucher_no" in row]) == 1
+    assert "Exchange hashpartitioning" not in text
+
+
+def test_a_lookup_reads_few_rows_of_a_sorted_file(spark, tmp_path):
+    lines = spark.range(300_000).selectExpr("'F' AS f", "CAST((id * 7919) % 300000 AS STRING) AS invoice_no", "id AS v")
+    read = {}
+    for name, sort in (("sorted", ["invoice_no"]), ("as_is", [])):
+        write_table(lines, str(tmp_path / name), ["f"], sort_by=sort)
+        found = spark.read.parquet(str(tmp_path / name)).filter("invoice_no = '77777'")
+        assert found.count() == 1
+        done = found._jdf.queryExecution().executedPlan()
+        found._jdf.collectAsList()
+        metrics = [m for m in _scans(done)]
+        read[name] = sum(metrics)
+    assert read["sorted"] <= 40_000 < 250_000 < read["as_is"]
+
+
+def _scans(node):
+    name = node.nodeName()
+    if name == "AdaptiveSparkPlan":
+        yield from _scans(node.executedPlan())
+    elif name.startswith("Scan parquet"):
+        yield node.metrics().apply("numOutputRows").value()
+    else:
+        children = node.children()
+        for i in range(children.size()):
+            yield from _scans(children.apply(i))
+
+
+def test_a_heavy_number_is_dealt_to_many_tasks(spark, data):
+    """A number with 300 headers and lines, some others with several, one without lines."""
+    headers = spark.range(300).selectExpr("'A' AS F", "7 AS n", "CAST(id AS INT) AS h").union(spark.range(40).selectExpr("'A'", "id % 20", "CAST(id AS INT)"))
+    headers = headers.union(spark.range(3).selectExpr("'B'", "7", "CAST(id AS INT)"))
+    headers = headers.selectExpr("F AS _source_folder", "CAST(n AS DECIMAL(18,0)) AS invnoebg", "'SI' AS invtypebg", "date_add(DATE'2025-01-01', h) AS invdatebg")
+    raw = data.sales2().limit(1).drop("invno", "_source_folder", "amount")
+    numbers = spark.range(300).selectExpr("'A' AS _source_folder", "CAST(7 AS DECIMAL(18,0)) AS invno", "CAST(id AS DECIMAL(18,2)) AS amount")
+    numbers = numbers.union(spark.range(60).selectExpr("'A'", "CAST(id % 30 AS DECIMAL(18,0))", "CAST(id AS DECIMAL(18,2))")).union(spark.range(5).selectExpr("'B'", "CAST(7 AS DECIMAL(18,0))", "CAST(id AS DECIMAL(18,2))"))
+    lines, wh = numbers.crossJoin(raw), data.warehouse()
+    heavy = facts.heavy_numbers(lines, headers, rows=1000)
+    assert [tuple(r) for r in heavy.collect()] == [("A", 7, 92)]
+    load = {(r._source_folder, int(r.invno)): r.n_rows for r in facts.header_load(lines, headers).collect()}
+    assert load["A", 7] == 302 * 302 and load["B", 7] == 15 and ("A", 25) not in load
+    fixed = spark.createDataFrame(heavy.collect(), heavy.schema)
+    plain = facts.fact_sales(lines, headers, wh.dim_customer, wh.dim_product)
+    spread = facts.fact_sales(lines, headers, wh.dim_customer, wh.dim_product, heavy=fixed)
+    pick = ["source_folder", "invoice_no", "invoice_date", "line_amount"]
+    assert plain.schema == spread.schema and plain.count() == spread.count()
+    assert plain.select(*pick).exceptAll(spread.select(*pick)).isEmpty()
+    held = spread.filter("source_folder = 'A' AND invoice_no = '7'").groupBy(F.spark_partition_id()).count().collect()
+    assert len(held) > 1 and max(r["count"] for r in held) < 60_000

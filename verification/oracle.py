@@ -479,10 +479,41 @@ UNION ALL SELECT 'fact_receivables', count(*) FROM fact_receivables""",
     "raw_load_counts": "SELECT folder AS _source_folder, tbl AS _source_table, n AS row_count FROM rawcount",
     "latest_invoice_date": "SELECT max(invoice_date) AS latest_invoice_date FROM fact_sales",
     "all_null_check": """
-SELECT folder AS _source_folder, 'TRANS' AS _source_table, count(*) AS rows,
-       count(*) FILTER (WHERE no % 10 = 3) AS all_null_rows,
-       count(*) FILTER (WHERE no % 10 = 3) / count(*) AS all_null_share
-FROM trans GROUP BY folder""",
+SELECT r.folder AS _source_folder, r.tbl AS _source_table, n AS rows,
+       CASE WHEN r.tbl = 'TRANS' THEN coalesce(e.empty, 0) ELSE 0 END AS all_null_rows,
+       CASE WHEN r.tbl = 'TRANS' THEN coalesce(e.empty, 0) ELSE 0 END / n AS all_null_share
+FROM rawcount r LEFT JOIN (SELECT folder, count(*) AS empty FROM trans WHERE no % 10 = 3 GROUP BY folder) e ON e.folder = r.folder""",
+    "header_multiplicity": """
+SELECT folder AS source_folder, CAST(no AS VARCHAR) AS invoice_no, n_headers, n_lines, n_headers * n_lines AS n_rows
+FROM (SELECT folder, no, count(*) AS n_headers FROM sales1 GROUP BY folder, no HAVING count(*) > 1)
+JOIN (SELECT folder, no, count(*) AS n_lines FROM sales2 GROUP BY folder, no) USING (folder, no)""",
+    "dictionary_json": """
+SELECT 'report' AS section, 'totals' AS name, NULL AS record_count, NULL AS fields, NULL AS tables,
+       count(*) AS total_tables, CAST(sum(n) AS BIGINT) AS total_records
+FROM rawcount
+UNION ALL
+SELECT 'table', r.folder || '/' || r.tbl, any_value(n),
+       string_agg(entry, ',' ORDER BY entry), NULL, NULL, NULL
+FROM rawcount r
+JOIN (SELECT tbl, field_name || ':' || CASE kind WHEN 'text' THEN 'C:0' WHEN 'day' THEN 'D:8' WHEN 'days' THEN 'N:10' ELSE 'N:18' END || ':' ||
+             CASE kind WHEN 'money' THEN 2 WHEN 'rate' THEN 4 WHEN 'quantity' THEN 3 WHEN 'days' THEN 1 ELSE 0 END AS entry
+      FROM fields) f ON f.tbl = r.tbl
+GROUP BY r.folder, r.tbl
+UNION ALL
+SELECT 'relationship', field_name, NULL, NULL, string_agg(folder || '/' || r.tbl, ', ' ORDER BY folder || '/' || r.tbl), NULL, NULL
+FROM rawcount r JOIN fields f ON r.tbl = f.tbl
+GROUP BY field_name HAVING count(*) > 1""",
+    "sample_rows_all": """
+SELECT folder AS source_folder, tbl AS table_name, row_no, a || '|' || b || '|' || c AS shown
+FROM (
+  SELECT *, row_number() OVER (PARTITION BY folder, tbl ORDER BY seq) AS row_no FROM (
+    SELECT folder, 'MASTER' AS tbl, seq, coalesce(code, '') AS a, coalesce(name, '') AS b, coalesce(grp, '') AS c FROM master
+    UNION ALL SELECT folder, 'ITEM', seq, coalesce(code, ''), coalesce(descr, ''), coalesce(grp, '') FROM item
+    UNION ALL SELECT folder, 'SALES1', seq, CAST(no AS VARCHAR), strftime(day, '%Y-%m-%d'), coalesce(type, '') FROM sales1
+    UNION ALL SELECT folder, 'SALES2', no * 8 + disamt, CAST(no AS VARCHAR), type, cust FROM sales2
+    UNION ALL SELECT folder, 'TRANS', no, CAST(no AS VARCHAR), strftime(day, '%Y-%m-%d'), code FROM trans
+    UNION ALL SELECT folder, 'BILLADJ', no, CAST(no AS VARCHAR), strftime(day, '%Y-%m-%d'), cust FROM billadj))
+WHERE row_no <= 5""",
     "table_summary": """
 SELECT folder AS source_folder, tbl AS table_name, n AS record_count,
        CASE tbl WHEN 'MASTER' THEN 10 WHEN 'ITEM' THEN 10 WHEN 'SALES1' THEN 10 WHEN 'SALES2' THEN 11 WHEN 'TRANS' THEN 7 ELSE 7 END AS field_count,

@@ -290,10 +290,42 @@ def _catalog(d: LedgerData) -> DataFrame:
     return profile.catalog_of({name: d(name) for name in RAW_NAMES})
 
 
+def _dictionary(d: LedgerData) -> DataFrame:
+    """The JSON texts read back; the time of the report is left out."""
+    kind = "record_count bigint, fields array<struct<name: string, type: string, length: int, decimals: int>>, tables array<string>, total_tables bigint, total_records bigint"
+    read = dictionary_json(_catalog(d)).withColumn("read", F.from_json("body", kind))
+    field = F.expr("transform(read.fields, f -> concat_ws(':', f.name, f.type, f.length, f.decimals))")
+    return read.select(
+        "section",
+        "name",
+        "read.record_count",
+        F.array_join(F.array_sort(field), ",").alias("fields"),
+        F.array_join("read.tables", ", ").alias("tables"),
+        "read.total_tables",
+        "read.total_records",
+    )
+
+
 def _all_null_check(d: LedgerData) -> DataFrame:
-    rows, empty = d("TRANS"), F.col("_seq") % 10 == 3
-    values = {c: F.when(~empty, F.col(c)) for c in lineage.business_columns(rows)}
-    return quality.all_null_check(rows.withColumns(values))
+    """All raw tables; every tenth voucher is emptied."""
+    vouchers, empty = d("TRANS"), F.col("_seq") % 10 == 3
+    values = {c: F.when(~empty, F.col(c)) for c in lineage.business_columns(vouchers)}
+    tables = [vouchers.withColumns(values) if name == "TRANS" else d(name) for name in RAW_NAMES]
+    return changes.union_folders([quality.all_null_check(t) for t in tables])
+
+
+def _sample_rows_all(d: LedgerData) -> DataFrame:
+    """First rows of all raw tables by their first three fields."""
+
+    def sampled(name: str) -> DataFrame:
+        table = d(name)
+        if "_seq" not in table.columns:
+            table = table.withColumn("_seq", (F.col("invno") * 8 + F.col("disamt")).cast("bigint"))
+        found = profile.sample_rows(table, fields=3)
+        shown = [c for c in found.columns if c not in ("source_folder", "row_no")]
+        return found.select("source_folder", F.lit(name).alias("table_name"), "row_no", F.concat_ws("|", *shown).alias("shown"))
+
+    return changes.union_folders([sampled(name) for name in RAW_NAMES])
 
 
 def _raw_load_counts(d: LedgerData) -> DataFrame:
@@ -341,9 +373,11 @@ OVER_DATA: dict[str, Callable[[LedgerData], DataFrame]] = {
     "field_dictionary": lambda d: profile.field_dictionary(_catalog(d)),
     "find_relationships": lambda d: profile.find_relationships(_catalog(d)),
     "sample_rows": lambda d: profile.sample_rows(d.trans()),
-    "dictionary_json": lambda d: dictionary_json(_catalog(d)),
+    "sample_rows_all": _sample_rows_all,
+    "dictionary_json": _dictionary,
     # checks on raw data and load records
     "check_revenue_reconciles": lambda d: quality.revenue_reconciles(d.sales2(), d.warehouse()),
+    "header_multiplicity": lambda d: quality.header_multiplicity(d.sales2(), d.sales1()),
     "raw_load_counts": _raw_load_counts,
     "sync_history": _sync_history,
     "file_freshness": _file_freshness,
