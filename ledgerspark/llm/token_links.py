@@ -32,6 +32,8 @@ from ledgerspark.llm.shared import store
 
 # Signs of segments kept by a task; the store is emptied when it is full.
 CACHED_CHARS = 4_000_000
+# New segments encoded as one text.
+JOINED = 20_000
 # Signs of texts handled at once.
 BLOCK_CHARS = 1_000_000
 # Pairs that are broadcast at most (of 24 bytes); all rarer ones are joined by a shuffle.
@@ -75,50 +77,56 @@ class Aligner:
         self.starts = np.zeros(1, np.int64)
         self.links = np.zeros(0, np.int64)
 
-    def _encoded(self, raw: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        return [e.ids for e in self.a.encode_batch([" " + s for s in raw], add_special_tokens=False)], self.b.encode(raw, num_threads=1)
+    def _encoded(self, text: str) -> tuple[list[int], list[int]]:
+        return self.a.encode(" " + text, add_special_tokens=False).ids, self.b.encode(text)
 
     def _whole(self, text: str, a: list[int], b: list[int]) -> bool:
         raw = (" " + text).encode()
         return b"".join([self.a_bytes[i] for i in a]) == raw and b"".join([self.b_bytes[i] for i in b]) == raw
 
-    def _aligned(self, a: list[list[int]], b: list[list[int]]) -> tuple[np.ndarray, np.ndarray, list[str]]:
-        """Of segments whose encodings cover the same bytes: numbers of tokens of A and B and of
-        groups; linked pairs (A in the high half) one segment after another; the groups' text."""
-        flat_a, flat_b = (np.fromiter(chain.from_iterable(x), np.int64) for x in (a, b))
+    def _aligned(self, flat_a: np.ndarray, flat_b: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[str]]:
+        """Of segments that end at ``stops`` (bytes), where a token of A and one of B end: numbers
+        of tokens of A and B and of groups; linked pairs (A in the high half) one segment after
+        another; the groups' text."""
         ends_a, ends_b = np.cumsum(self.a_sizes[flat_a]), np.cumsum(self.b_sizes[flat_b])
         ends = np.union1d(ends_a, ends_b)
         links = flat_a[np.searchsorted(ends_a, ends)] << 32 | flat_b[np.searchsorted(ends_b, ends)]
         both = np.intersect1d(ends_a, ends_b, assume_unique=True)
         stops_a, stops_b = np.searchsorted(ends_a, both, "right"), np.searchsorted(ends_b, both, "right")
-        n_a, n_b = np.fromiter(map(len, a), np.int64), np.fromiter(map(len, b), np.int64)
-        groups = np.diff(np.searchsorted(stops_a, np.cumsum(n_a), "right"), prepend=0)
+        sizes = np.stack([np.diff(np.searchsorted(e, stops, "right"), prepend=0) for e in (ends_a, ends_b, both)], axis=1)
         text_a, text_b = list(map(str, flat_a.tolist())), list(map(str, flat_b.tolist()))
         parts, x, y = [], 0, 0
         for i, j in zip(stops_a.tolist(), stops_b.tolist()):
             parts.append((text_a[x] if i - x == 1 else ",".join(text_a[x:i])) + "|" + (text_b[y] if j - y == 1 else ",".join(text_b[y:j])))
             x, y = i, j
         shown, at = [], 0
-        for size in groups.tolist():
+        for size in sizes[:, 2].tolist():
             shown.append(parts[at] if size == 1 else ";".join(parts[at : at + size]))
             at += size
-        return np.stack([n_a, n_b, groups], axis=1), links, shown
+        return sizes, links, shown
 
     def _learn(self, segments: list[str]) -> None:
-        """Encode and align new segments; those that do not give their bytes back get no place."""
-        a, b = self._encoded(segments)
-        good = [i for i, s in enumerate(segments) if self._whole(s, a[i], b[i])]
-        self.place.update(dict.fromkeys(segments, -1))
-        self.chars += sum(map(len, segments))
-        if good:
-            sizes, links, shown = self._aligned([a[i] for i in good], [b[i] for i in good])
-            first = len(self.shown)
-            self.place.update({segments[i]: first + k for k, i in enumerate(good)})
-            self.shown += shown
-            self.sizes = np.concatenate([self.sizes, sizes])
-            n_links = sizes[:, 0] + sizes[:, 1] - sizes[:, 2]
-            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(n_links)])
-            self.links = np.concatenate([self.links, links])
+        """Encode and align new segments. Those without white space at their ends are cut from
+        each other like parts of one text, so they are encoded as one; should that not give the
+        bytes back, its halves are. A single one that does not gets no place."""
+        text = " ".join(segments)
+        a, b = self._encoded(text)
+        if not self._whole(text, a, b):
+            if len(segments) > 1:
+                half = len(segments) // 2
+                self._learn(segments[:half])
+                self._learn(segments[half:])
+            else:
+                self.place[text] = -1
+            return
+        stops = np.cumsum([1 + len(s.encode()) for s in segments])
+        sizes, links, shown = self._aligned(np.array(a), np.array(b), stops)
+        first = len(self.shown)
+        self.place.update(zip(segments, range(first, first + len(segments))))
+        self.shown += shown
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes[:, 0] + sizes[:, 1] - sizes[:, 2])])
+        self.links = np.concatenate([self.links, links])
 
     def measured(self, texts: list[str]) -> Iterator[tuple]:
         """Of each text: numbers of tokens of A and B, groups and links, digest of the groups,
@@ -126,8 +134,13 @@ class Aligner:
         if self.chars > CACHED_CHARS:
             self._clear()
         cut = [_CUT.split(t) for t in texts]
-        if new := list(set(chain.from_iterable(cut)).difference(self.place)):
-            self._learn(new)
+        new = set(chain.from_iterable(cut)).difference(self.place)
+        self.chars += sum(map(len, new))
+        joined = sorted(s for s in new if not s[0].isspace() and not s[-1].isspace())
+        for i in range(0, len(joined), JOINED):
+            self._learn(joined[i : i + JOINED])
+        for single in new.difference(joined):
+            self._learn([single])
         for text, segments in zip(texts, cut):
             at = np.fromiter(map(self.place.__getitem__, segments), np.int64, len(segments))
             if at.min() >= 0:
@@ -137,11 +150,11 @@ class Aligner:
                 links = self.links[np.arange(stops[-1]) + np.repeat(self.starts[at] - stops + sizes, sizes)]
                 shown = ";".join([self.shown[i] for i in at.tolist()])
             else:
-                (a,), (b,) = self._encoded([text])
+                a, b = self._encoded(text)
                 if not self._whole(text, a, b):
                     yield 0, 0, 0, 0, "", _NONE, _NONE
                     continue
-                sizes, links, (shown,) = self._aligned([a], [b])
+                sizes, links, (shown,) = self._aligned(np.array(a), np.array(b), np.array([1 + len(text.encode())]))
                 n_a, n_b, n_groups = sizes[0].tolist()
             pairs, counts = np.unique(links, return_counts=True)
             yield n_a, n_b, n_groups, n_a + n_b - n_groups, hashlib.sha256(shown.encode()).hexdigest(), pairs, counts
