@@ -17,7 +17,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerspark.llm.shared import SPACES, let, words
+from ledgerspark.llm.shared import let, unused, words
 
 BUCKETS = 1 << 14
 TRUSTED = 4096
@@ -25,7 +25,8 @@ PRIOR = float(BUCKETS)
 THRESHOLD = -0.25
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-_SYMBOLS = "#*$%&|<>"
+_SYMBOL = r"[#*$%&|<>]"
+NOT_SPACE = r"[^ \t-\r]"
 _TOKEN = r"[\p{L}\p{M}\p{N}]+|[^\s\p{L}\p{M}\p{N}]+"
 
 
@@ -70,29 +71,38 @@ def score(text: Column, weight: list[float]) -> Column:
 
 def _repeated(found: Column) -> Column:
     """Words in 3-word windows that a text has twice or more, from its words. Windows count
-    as equal if their 64-bit hashes are."""
+    as equal if their 64-bit hashes are. Only a text with a repeated hash sorts them."""
+
+    def again(h: Column) -> Column:
+        return F.when(F.size(F.array_distinct(h)) < F.size(h), let(_sorted(h), covered)).otherwise(F.lit(0))
 
     def covered(s: Column) -> Column:
-        again = F.filter(s, lambda x, k: (x["h"] == F.get(s, k - 1)["h"]) | (x["h"] == F.get(s, k + 1)["h"]))
-        return let(F.sort_array(F.transform(again, lambda x: x["i"])), spread)
+        twice = F.filter(s, lambda x, k: (x["h"] == F.get(s, k - 1)["h"]) | (x["h"] == F.get(s, k + 1)["h"]))
+        return let(F.sort_array(F.transform(twice, lambda x: x["i"])), spread)
 
     def spread(p: Column) -> Column:
         new = F.transform(p, lambda x, k: F.least(F.lit(3), F.get(p, k + 1) - x))
         return F.aggregate(new, F.lit(0), lambda s, x: s + x)
 
-    starts = F.slice(found, 1, F.greatest(F.size(found) - 2, F.lit(0)))
-    windows = F.transform(starts, lambda x, i: F.struct(F.xxhash64(x, F.get(found, i + 1), F.get(found, i + 2)).alias("h"), i.alias("i")))
-    return let(F.sort_array(windows), covered)
+    def windows(w: Column) -> Column:
+        starts = F.slice(w, 1, F.greatest(F.size(w) - 2, F.lit(0)))
+        return F.transform(starts, lambda x, i: F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2)))
+
+    return let(let(F.transform(found, lambda x: F.xxhash64(x)), windows), again)
+
+
+def _sorted(hashes: Column) -> Column:
+    return F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
 
 
 def counts(text: Column) -> list[Column]:
     text = F.coalesce(text, F.lit(""))
-    lines = F.filter(F.split(text, "\n"), lambda x: F.translate(x, SPACES, "") != "")
-    both = let(words(text), lambda w: F.struct(F.size(w).alias("n"), _repeated(w).alias("again")))
+    lines = F.filter(F.split(text, "\n"), lambda x: F.rlike(x, F.lit(NOT_SPACE)))
+    chars = lambda w: F.aggregate(w, F.lit(0), lambda s, x: s + F.length(x))
+    both = let(words(text), lambda w: F.struct(F.size(w).alias("n"), _repeated(w).alias("again"), chars(w).alias("chars")))
     return [
         both.alias("both"),
-        F.length(F.translate(text, SPACES, "")).cast("long").alias("word_chars"),
-        (F.length(text) - F.length(F.translate(text, _SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        F.regexp_count(text, F.lit(_SYMBOL)).cast("long").alias("n_symbols"),
         let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
     ]
 
@@ -105,15 +115,16 @@ def judged(documents: DataFrame, weight: list[float], threshold: float = THRESHO
     """
     text = F.col("text")
     rows = documents.select("doc_id", *counts(text), score(text, weight).alias("score"))
-    n, again = F.col("both.n").cast("long"), F.col("both.again").cast("long")
-    rows = rows.select("doc_id", n.alias("n_words"), "word_chars", "n_symbols", "n_dup_lines", again.alias("n_repeat_words"), "score")
+    n, again, chars = (F.col(f"both.{c}").cast("long") for c in ("n", "again", "chars"))
+    rows = rows.select("doc_id", n.alias("n_words"), chars.alias("word_chars"), "n_symbols", "n_dup_lines", again.alias("n_repeat_words"), "score")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return rows.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
 
 
 def filtered(documents: DataFrame, weight: list[float], threshold: float = THRESHOLD) -> DataFrame:
-    """The documents that are kept, with all their columns."""
-    text, mark = F.col("text"), "__both"
+    """The documents that are kept, with all their columns. Null and empty texts go; repeated
+    rows are judged each; an empty table stays empty."""
+    text, mark = F.col("text"), unused("both", documents.columns)
     rows = documents.withColumn(mark, counts(text)[0])
     long_enough = (F.col(f"{mark}.n") >= MIN_WORDS) & (100 * F.col(f"{mark}.again") <= MAX_REPEAT_PERCENT * F.col(f"{mark}.n"))
     return rows.where(long_enough).drop(mark).where(score(text, weight) >= threshold)

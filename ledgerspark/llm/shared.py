@@ -42,6 +42,14 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """A column name that a table does not have yet, in any case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with ``value`` computed once per row, even if lambdas refer to it."""
     return F.element_at(F.transform(F.array(value), use), 1)
