@@ -184,11 +184,10 @@ def leaked(docs, items):
     for i, text in docs:
         w = leak_words(text)
         for item, passage in items:
-            v = leak_words(passage)
+            v, seen = leak_words(passage), set()
             if len(v) < leaks.LEAST:
                 continue
-            masks = leaks.MASKS if len(v) >= leaks.SPAN else ("1" * len(v),)
-            for mask in masks:
+            for mask in (leaks.MASKS if len(v) > 3 else ("111",)):
                 on = [k for k, bit in enumerate(mask) if bit == "1"]
                 index = {}
                 for p in range(len(v) - len(mask) + 1):
@@ -196,9 +195,12 @@ def leaked(docs, items):
                 for at in range(len(w) - len(mask) + 1):
                     for p in index.get(tuple(w[at + k] for k in on), ()):
                         shift = at - p
-                        span = range(max(p - leaks.AROUND, p - at, 0), min(p + leaks.SPAN + leaks.AROUND, len(v), p - at + len(w)))
-                        same = sum(v[k] == w[k + shift] for k in span)
-                        if same >= min(leaks.ENOUGH, math.ceil(len(v) * leaks.SHARE)):
+                        if (i, item, shift) in seen:
+                            continue
+                        seen.add((i, item, shift))
+                        equal = [v[k] == w[k + shift] for k in range(max(-shift, 0), min(len(v), len(w) - shift))]
+                        same = max(sum(equal[k : k + leaks.AROUND]) for k in range(max(1, len(equal) - leaks.AROUND + 1)))
+                        if same >= (len(v) if len(v) < 5 else min(leaks.ENOUGH, math.ceil(len(v) * leaks.SHARE))):
                             best, first = out.get((i, item), (0, shift))
                             out[i, item] = max(best, same), min(first, shift)
     return sorted((i, item, *found) for (i, item), found in out.items())

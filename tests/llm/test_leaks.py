@@ -1,7 +1,10 @@
 """Spaced seeds against plain Python; the whole table is compared with SQL elsewhere."""
 
+import math
 import random
 
+import pytest
+
 from ledgerspark.llm import leaks
 from tests.llm import brute
 
@@ -22,7 +25,7 @@ def check(spark, docs, items):
 def test_substituted_passages(spark):
     rng = random.Random(4)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(4))
-    items = [(i, " ".join(word() for _ in range(rng.choice([3, 4, 5, 7, 9, 10, 16, 30, 60])))) for i in range(40)]
+    items = [(i, " ".join(word() for _ in range(rng.choice([1, 2, 3, 4, 5, 7, 9, 10, 16, 30, 60])))) for i in range(40)]
     docs = []
     for i in range(120):
         passage = items[i % 40][1].split()
@@ -52,3 +55,32 @@ def test_beyond_the_broadcast_bound(spark, monkeypatch):
     monkeypatch.setattr(leaks, "MOST_SEEDS", 0)
     passage = " ".join(f"w{i}" for i in range(20))
     check(spark, [(1, passage), (2, "clean text")], [(7, passage)])
+
+
+@pytest.mark.parametrize("n", [3, 4, 5, 6, 7, 8, 9, 10, 13, 16, 20, 25, 30, 40, 60])
+def test_recall_does_not_depend_on_the_seeds(spark, n):
+    """Copies with as many random substitutions as the rule accepts, against an alignment
+    without seeds: at least nine in ten are found, exact copies always."""
+    rng = random.Random(n)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    items, docs = [], []
+    enough = n if n < 5 else min(leaks.ENOUGH, math.ceil(n * leaks.SHARE))
+    for i in range(150):
+        passage = [word() for _ in range(n)]
+        items.append((i, " ".join(passage)))
+        copy = list(passage)
+        begin = rng.randrange(max(1, n - 29))
+        same = rng.sample(range(begin, min(n, begin + 30)), enough)
+        for k in set(range(n)).difference(same) if i else ():
+            copy[k] = word()
+        equal = [a == b for a, b in zip(passage, copy)]
+        assert any(sum(equal[k : k + 30]) >= enough for k in range(max(1, n - 29)))
+        docs.append((i, " ".join([word() for _ in range(8)] + copy + [word() for _ in range(8)])))
+    df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    found = {r["doc_id"] for r in leaks.contaminated(df, bench).collect() if r["doc_id"] == r["item_id"]}
+    assert 0 in found and len(found) >= 0.9 * 150
+
+
+def test_columns_of_any_name_stay(spark):
+    df = spark.createDataFrame([(1, "clean", 1, 2)], "doc_id long, text string, row int, _ROW int")
+    assert leaks.clean(df, spark.createDataFrame([(1, "some other words")], "item_id long, text string")).collect() == df.collect()
