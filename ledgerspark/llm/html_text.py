@@ -1,8 +1,11 @@
 """Main text of web pages by composite text density.
 
 A page becomes a tree of elements. Elements that are never article text are left out first,
-with all they contain: by tag, or by a word of their id, class or role if they do not hold
-most of the page's text outside links, or stand beside an article or main. Every other
+with all they contain: by tag (of a header inside an article the headings stay), or by id, class
+or role. Such a name counts if it has a listed word and otherwise only words that say nothing
+(``user-comments``, but not ``share-price``). Reader comments always go; another element of such a
+name stays if it holds most of the page's text outside links, no article stands beside it, and
+its name has other words, too, or it holds the article. Every other
 node has characters C, tags T, link characters LC and link tags LT below it, and the
 density C/T * log_b(C/LC * T/LT) with the base b = ln(C/(C-LC) * LC + LC_body/C_body * C + e),
 so links lower it. A node's density sum is that of its children, its own text counting as a
@@ -33,9 +36,17 @@ DROPPED_TAGS = frozenset(
 DROPPED_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu breadcrumb "
     "breadcrumbs sidebar side aside footer foot header masthead topbar cookie cookies consent gdpr notice notices alert popup modal overlay "
-    "newsletter subscribe subscription signup login search share sharing social related recommended recommendations comment comments "
-    "commentlist disqus reply replies respond reactions pager pagination toolbar widget widgets complementary contentinfo".split()
+    "newsletter subscribe subscription signup login search share sharing social related recommended recommendations pager pagination "
+    "toolbar widget widgets complementary contentinfo".split()
 )
+COMMENT_WORDS = frozenset("comment comments commentlist disqus reply replies respond reactions".split())
+# Words that may stand beside a listed one in a name.
+NEUTRAL_WORDS = frozenset(
+    "area bar blog block bottom box btn button buttons col column container content desktop div fixed form global group home id inner item items js left "
+    "link links list main message middle mobile module my outer page panel policy post posts primary reader readers right row secondary section site sticky "
+    "the thread threads top ui unit user users view web wrap wrapper".split()
+)
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 BLOCK_TAGS = frozenset(
     "address article blockquote body br center dd details div dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 hr html li main ol p pre "
     "section summary table tbody td tfoot th thead tr ul caption".split()
@@ -67,12 +78,21 @@ class Node:
 
 
 def _unwanted(tag: str, attributes: str) -> str:
-    """A mark: ``!`` for an element to drop by its tag, ``?`` for one by its words."""
+    """A mark: ``!`` for an element to drop by its tag or as comments, ``?`` for one by
+    its name, ``+`` if that has listed words only."""
     if tag in DROPPED_TAGS:
         return "!"
-    if not attributes or tag in ("body", "html", "article", "main"):
+    if not attributes or tag in ("body", "html", "main"):
         return ""
-    return "?" if any(part.lower() in DROPPED_WORDS for value in _NAMED.findall(attributes) for part in _PART.findall(value)) else ""
+    found = ""
+    for value in _NAMED.findall(attributes):
+        for name in value.strip("\"'").split():
+            words = {part.lower() for part in _PART.findall(name)}
+            if words & (DROPPED_WORDS | COMMENT_WORDS) and words <= DROPPED_WORDS | COMMENT_WORDS | NEUTRAL_WORDS:
+                if words & COMMENT_WORDS:
+                    return "!"
+                found = "?" if words & NEUTRAL_WORDS and found != "+" else "+"
+    return found
 
 
 def parse(page: str) -> Node:
@@ -106,7 +126,7 @@ def parse(page: str) -> Node:
                 node = new
         elif m[1]:
             tag, up = m[1].lower(), node
-            while up and up.tag.rstrip("!?") != tag:
+            while up and up.tag.rstrip("!?+") != tag:
                 up = up.parent
             if up:
                 node = up.parent
@@ -118,8 +138,8 @@ def parse(page: str) -> Node:
 def _closed(node: Node, kinds: set[str]) -> Node:
     """The node to go on in after an open element of ``kinds`` in the same scope is ended."""
     up = node
-    while up and up.tag.rstrip("!?") not in kinds:
-        if up.tag.rstrip("!?") in _SCOPES:
+    while up and up.tag.rstrip("!?+") not in kinds:
+        if up.tag.rstrip("!?+") in _SCOPES:
             return node
         up = up.parent
     return up.parent if up else node
@@ -128,26 +148,57 @@ def _closed(node: Node, kinds: set[str]) -> Node:
 def _ordered(root: Node) -> list[Node]:
     """All wanted nodes, parents first."""
     nodes = _below(root, "!")
-    if not any(x.tag[-1] == "?" for x in nodes):
+    if not any(x.tag[-1] in "?+" for x in nodes):
         return nodes
     plain: dict[int, int] = {}
+    inside: dict[int, int] = {}
+    above = {id(root): 0}
     for node in reversed(nodes):
-        own = sum(len("".join(x.split())) if isinstance(x, str) else plain[id(x)] for x in node.items)
-        plain[id(node)] = 0 if node.tag.rstrip("?") == "a" else own
-    articles = [_path(x) for x in nodes if x.tag in ("article", "main") and plain[id(x)]]
+        below = [x for x in node.items if isinstance(x, Node)]
+        own = sum(len("".join(x.split())) for x in node.items if isinstance(x, str)) + sum(plain[id(x)] for x in below)
+        plain[id(node)] = 0 if node.tag.rstrip("?+") == "a" else own
+        inside[id(node)] = sum(inside[id(x)] for x in below) + (node.tag in ("article", "main") and own > 0)
+    for node in nodes[1:]:
+        up = node.parent
+        above[id(node)] = above[id(up)] + (up.tag in ("article", "main") and plain[id(up)] > 0)
     for node in nodes:
-        if node.tag[-1] == "?" and 2 * plain[id(node)] > plain[id(root)]:
-            own = _path(node)
-            if all(node in path or path[0] in own for path in articles):
-                node.tag = node.tag[:-1]
+        # No article stands beside a node if all are inside it or around it.
+        alone = inside[id(node)] + above[id(node)] == inside[id(root)]
+        if node.tag[-1] in "?+":
+            kept = 2 * plain[id(node)] > plain[id(root)] and alone and (node.tag[-1] == "?" or inside[id(node)])
+            node.tag = node.tag[:-1] + ("" if kept else "?")
     return _below(root, "?")
 
 
 def _below(root: Node, mark: str) -> list[Node]:
-    found = [root]
+    """Nodes without the marked ones, parents first."""
+    found, articles = [root], {id(root): False}
     for node in found:
-        node.items = [x for x in node.items if not isinstance(x, Node) or x.tag[-1] != mark]
-        found += [x for x in node.items if isinstance(x, Node)]
+        held = articles[id(node)] or node.tag == "article"
+        items: list[Node | str] = []
+        for x in node.items:
+            if not isinstance(x, Node) or x.tag[-1] != mark:
+                items.append(x)
+            elif held and x.tag == "header!":
+                items += _titles(x, node)
+        node.items = items
+        for x in items:
+            if isinstance(x, Node):
+                articles[id(x)] = held
+                found.append(x)
+    return found
+
+
+def _titles(header: Node, up: Node) -> list[Node]:
+    """The headings of a header, which then belong to ``up``."""
+    found, open_nodes = [], [header]
+    while open_nodes:
+        node = open_nodes.pop()
+        if node.tag in _HEADINGS:
+            node.parent = up
+            found.append(node)
+        elif node is header or node.tag[-1] not in "!?+":
+            open_nodes += [x for x in reversed(node.items) if isinstance(x, Node)]
     return found
 
 
@@ -223,6 +274,16 @@ def _chosen(root: Node, nodes: list[Node]) -> list[Node]:
     for node in path:
         if node.tag in ("article", "main"):
             return [_around(node, nodes)]
+    held = {id(best)}
+    tops = []
+    for node in nodes:  # outermost articles inside the best subtree
+        if id(node.parent) in held or node is best:
+            if node.tag in ("article", "main") and 2 * node.link_chars <= node.chars:
+                tops.append(node)
+            else:
+                held.add(id(node))
+    if tops and 2 * sum(x.chars for x in tops) > best.chars:
+        return [_around(tops[0], nodes)]
     threshold = min(node.density for node in path if node.tag not in ("html", "#root")) if best.tag not in ("html", "#root") else 0.0
     before: list[Node] = []
     after: list[Node] = []

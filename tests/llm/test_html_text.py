@@ -74,6 +74,74 @@ def test_all_text_of_pages_without_one_article(page):
     assert len(html_text.main_text(page).split("\n")) == WHOLE[page]
 
 
+TALK = f"<div class='comment'><p>{PROSE}</p><p>{PROSE}</p></div>" * 3
+ONLY = PROSE.strip()
+COMMENTED = {
+    f"<body><div class=post><p>{ONLY}</p></div>{TALK}</body>": ONLY,
+    f"<body><main><p>{ONLY}</p><section id=comments>{TALK}</section></main></body>": ONLY,
+    f"<body><h1>T</h1><p>{ONLY}</p><section id='user-comments'>{TALK}</section></body>": f"T\n{ONLY}",
+    f"<article><header><p>by x</p><h1>Title</h1></header><p>{ONLY}</p><footer>f</footer></article>": f"Title\n{ONLY}",
+    f"<body><header><h1>Site</h1></header><article><p>{ONLY}</p></article></body>": ONLY,
+    f"<body><div>stray</div><article><p>{ONLY}</p></article><article class=related><p>Teaser {ONLY}</p></article></body>": ONLY,
+}
+
+
+@pytest.mark.parametrize("page", COMMENTED)
+def test_comments_go_and_titles_stay(page):
+    assert html_text.main_text(page) == COMMENTED[page]
+
+
+@pytest.mark.parametrize("name", "social-studies side-effects share-price comment-on-law article-notice recommended-reading adverb no-sidebar".split())
+def test_names_that_only_contain_a_listed_word_stay(name):
+    page = f"<article><p>{ONLY}</p><div class='{name}'><p>Inside.</p></div></article>"
+    assert html_text.main_text(page) == f"{ONLY}\nInside."
+
+
+@pytest.mark.parametrize("name", "comments user-comments CommentList site-footer left-sidebar cookie-notice ad share-buttons related-posts mainNav".split())
+def test_names_made_of_listed_words_go(name):
+    page = f"<article><p>{ONLY}</p><div class='x {name}'><p>Inside.</p></div></article>"
+    assert html_text.main_text(page) == ONLY
+
+
+def test_density_alone_finds_the_articles_of_the_table(spark, sf_dir):
+    pages = [r["html"] for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()]
+    for page in pages:
+        plain = re.sub(r"<(/?)article>", r"<\1div>", page)
+        assert html_text.main_text(plain) == template_text(page)
+
+
+def test_the_chosen_subtree_has_the_largest_density_sum(spark, sf_dir):
+    """Against the definitions, computed for each node by walking its whole subtree."""
+
+    def walk(node):
+        yield node
+        for x in node.items:
+            if isinstance(x, html_text.Node):
+                yield from walk(x)
+
+    def size(node):
+        return sum(len("".join(x.split())) for n in walk(node) for x in n.items if isinstance(x, str))
+
+    def density(node, root):
+        chars, tags = size(node), max(1, sum(1 for _ in walk(node)) - 1)
+        tops = [n for n in walk(node) if n.tag == "a"]
+        link_chars, link_tags = sum(map(size, tops)), len(tops)
+        ratio = sum(size(n) for n in walk(root) if n.tag == "a") / max(1, size(root))
+        return html_text._density(chars, tags, link_chars, link_tags, ratio)
+
+    for page in [r["html"] for r in spark.read.parquet(f"{sf_dir}/pages.parquet").limit(15).collect()]:
+        root = html_text.parse(re.sub(r"<(/?)article>", r"<\1div>", page))
+        html_text.measure(root)
+        for node in walk(root):
+            assert node.density == pytest.approx(density(node, root))
+        assert root.best.total == max(n.total for n in walk(root))
+
+
+def test_many_nested_marked_nodes_take_no_square():
+    page = "<div class=sidebar>" * 4000 + f"<article><p>{ONLY}</p></article>" + "</div>" * 4000
+    assert html_text.main_text(page) == ONLY
+
+
 def test_deep_and_long_pages_end():
     deep = "<div>" * 20_000 + "text" + "</div>" * 20_000
     assert html_text.main_text(deep) == "text"
