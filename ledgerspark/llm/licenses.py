@@ -1,8 +1,11 @@
 """License scans: phrases by place, and an exact set-similarity join of text blocks with
 license templates.
 
-Blocks are lines. A template T is found in a block B if B has at least ``CONTAINMENT`` of
-T's distinct words. Words are ordered by how many blocks of the whole corpus have them,
+Blocks are overlapping windows of words, so it does not matter how a notice is wrapped or which
+marks stand before its lines. A template belongs to the smallest power of two that is at least
+its number of words, c; its windows have 2 c words and begin every c words, so one of them
+holds any place of up to c words whole. A template T is found in a block B of its size if B
+has at least ``CONTAINMENT`` of T's distinct words. Words are ordered by how many blocks of the whole corpus have them,
 rarest first; of T only the first |T| - need + 1 and of B the first |B| - need + 1 can hold
 their first common word, which gives prefix, length and positional filters without loss.
 The texts are read once: a pass over documents keeps, per block, the words that any
@@ -93,24 +96,33 @@ def _phrase_places(found: list[bytes], phrases: list[tuple[list[bytes], str]]) -
 
 
 _SCANNED = (
-    "doc_id long, row long, n_words long, n_base long, first_word long, last_word long, base_labels array<string>, blocks array<struct<block: int, terms: array<int>>>"
+    "row long, n_words long, n_base long, first_word long, last_word long, base_labels array<string>, blocks array<struct<size: int, terms: array<int>>>"
 )
 
 
-def scan(documents: DataFrame, vocabulary: list[bytes], least: int, phrases=PHRASES) -> DataFrame:
-    """Per document: word count, phrase places, and the template words of each block that
-    has at least ``least`` of them. A null text counts as empty."""
+def size_of(template: str) -> int:
+    """Half the words of the windows that a template is looked for in."""
+    return 1 << max(0, len(words(template)) - 1).bit_length()
+
+
+def scan(documents: DataFrame, sizes: dict[int, tuple[dict[bytes, int], int]], phrases=PHRASES) -> DataFrame:
+    """Per document: word count, phrase places, and the template words of each block that has
+    enough of them. ``sizes``: numbers of the template words, and the fewest a block needs, by
+    block size. A null text counts as empty."""
     split = [([w.encode() for w in phrase.split()], label) for phrase, label in phrases]
-    number = {w: i for i, w in enumerate(vocabulary)}
-    types = pa.list_(pa.struct([("block", pa.int32()), ("terms", pa.list_(pa.int32()))]))
+    types = pa.list_(pa.struct([("size", pa.int32()), ("terms", pa.list_(pa.int32()))]))
 
     def row(text: bytes | None) -> tuple:
-        found, blocks = [], []
-        for k, line in enumerate((text or b"").split(b"\n")):
-            new = words(line)
-            found += new
-            if len(terms := number.keys() & new) >= least:
-                blocks.append({"block": k, "terms": sorted(number[w] for w in terms)})
+        found, blocks = words(text or b""), []
+        for size, (number, least) in sizes.items():
+            held: dict[int, set[int]] = {}
+            for at, term in enumerate(map(number.get, found)):
+                if term is not None:
+                    block = at // size
+                    held.setdefault(block, set()).add(term)
+                    if block:
+                        held.setdefault(block - 1, set()).add(term)
+            blocks += [{"size": size, "terms": sorted(terms)} for terms in held.values() if len(terms) >= least]
         starts, labels = _phrase_places(found, split)
         return len(found), len(starts), min(starts, default=None), max(starts, default=None), sorted(labels), blocks
 
@@ -124,30 +136,31 @@ def scan(documents: DataFrame, vocabulary: list[bytes], least: int, phrases=PHRA
                 [batch.column(0), batch.column(1), *arrays], names=["doc_id", "row", "n_words", "n_base", "first_word", "last_word", "base_labels", "blocks"]
             )
 
-    ids = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), "text")
-    return ids.mapInArrow(run, _SCANNED)
+    ids = documents.select("doc_id", F.monotonically_increasing_id().alias("row"), "text")
+    return ids.mapInArrow(run, f"doc_id {ids.dtypes[0][1]}, {_SCANNED}")
 
 
-def similarity_join(blocks: DataFrame, templates: list[tuple[str, set[int]]], containment: float = CONTAINMENT) -> DataFrame:
+def similarity_join(blocks: DataFrame, templates: list[tuple[str, int, set[int]]], containment: float = CONTAINMENT) -> DataFrame:
     """``row``, ``label`` and ``containment`` of each block and template that meet the threshold.
 
-    ``blocks``: ``row``, ``block`` and ``terms`` (distinct word numbers).
+    ``blocks``: ``row``, ``size`` and ``terms`` (distinct word numbers); ``templates``: label, block
+    size and word numbers.
     """
     spark = blocks.sparkSession
     counted = {r["term"]: r["count"] for r in blocks.select(F.explode("terms").alias("term")).groupBy("term").count().collect()}
-    terms = sorted(set().union(*(t for _, t in templates)), key=lambda t: (counted.get(t, 0), t))
+    terms = sorted(set().union(*(t for *_, t in templates)), key=lambda t: (counted.get(t, 0), t))
     rank = {t: i for i, t in enumerate(terms)}
     index = []
-    for label, own in templates:
+    for label, size, own in templates:
         ranks, least = sorted(rank[t] for t in own), need(len(own), containment)
-        index += [(r, i, label, least, ranks) for i, r in enumerate(ranks[: len(ranks) - least + 1])]
-    prefixes = F.broadcast(spark.createDataFrame(index, "rank int, place int, label string, least int, ranks array<int>").coalesce(1))
+        index += [(size, r, i, label, least, ranks) for i, r in enumerate(ranks[: len(ranks) - least + 1])]
+    prefixes = F.broadcast(spark.createDataFrame(index, "size int, rank int, place int, label string, least int, ranks array<int>").coalesce(1))
     by_number = F.split(F.lit(",".join(str(rank[t]) for t in sorted(terms))), ",").cast("array<int>")
-    ordered = blocks.select("row", F.sort_array(F.transform("terms", lambda t: F.get(by_number, t))).alias("own"))
-    entries = ordered.select("row", "own", F.posexplode("own").alias("at", "rank"))
-    size, whole = F.size("own"), F.size("ranks")
-    possible = F.least("at", "place") + 1 + F.least(size - 1 - F.col("at"), whole - 1 - F.col("place"))
-    candidates = entries.join(prefixes, "rank").where((size >= F.col("least")) & (F.col("at") <= size - F.col("least")) & (possible >= F.col("least")))
+    ordered = blocks.select("row", "size", F.sort_array(F.transform("terms", lambda t: F.get(by_number, t))).alias("own"))
+    entries = ordered.select("row", "size", "own", F.posexplode("own").alias("at", "rank"))
+    held, whole = F.size("own"), F.size("ranks")
+    possible = F.least("at", "place") + 1 + F.least(held - 1 - F.col("at"), whole - 1 - F.col("place"))
+    candidates = entries.join(prefixes, ["size", "rank"]).where((held >= F.col("least")) & (F.col("at") <= held - F.col("least")) & (possible >= F.col("least")))
     checked = candidates.withColumn("common", F.size(F.array_intersect("own", "ranks"))).where("common >= least")
     return checked.select("row", "label", (F.col("common") / whole).alias("containment"))
 
@@ -163,9 +176,12 @@ def licensed(documents: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLA
         raise ValueError(f"at most {MAX_TEMPLATES} templates")
     vocabulary = sorted({w for _, text in templates for w in words(text)})
     number = {w: i for i, w in enumerate(vocabulary)}
-    sets = [(label, {number[w] for w in words(text)}) for label, text in templates]
-    least = min(need(len(own), containment) for _, own in sets)
-    scanned = store(scan(documents, vocabulary, least), "scanned")
+    sets = [(label, size_of(text), {number[w] for w in words(text)}) for label, text in templates]
+    sizes = {}
+    for size in sorted({size for _, size, _ in sets}):
+        own = [terms for _, s, terms in sets if s == size]
+        sizes[size] = ({vocabulary[t]: t for t in set().union(*own)}, min(need(len(terms), containment) for terms in own))
+    scanned = store(scan(documents, sizes), "scanned")
     blocks = scanned.select("row", F.inline("blocks"))
     found = similarity_join(blocks, sets, containment)
     by_row = store(found.groupBy("row").agg(F.max("containment").alias("best"), F.collect_set("label").alias("more")), "found")
@@ -179,23 +195,23 @@ def licensed(documents: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLA
 
 
 def oracle(templates: Sequence[tuple[str, str]] = TEMPLATES, containment: float = CONTAINMENT) -> str:
-    """``licensed`` over ``documents`` in SQL: every block against every template."""
+    """``licensed`` over ``documents`` in SQL: every block against every template of its size."""
     split = "regexp_extract_all(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
     rows = []
     for no, (label, text) in enumerate(templates):
         own = sorted({w.decode() for w in words(text)})
-        rows += [f"({no}, '{label}', {len(own)}, {need(len(own), containment)}, '{w}')" for w in own]
+        rows += [f"({no}, '{label}', {size_of(text)}, {len(own)}, {need(len(own), containment)}, '{w}')" for w in own]
     places = []
     for phrase, label in PHRASES:
         same = " AND ".join(f"w[k + {i + 1}] = '{word}'" for i, word in enumerate(phrase.split()))
         places.append(f"[{{'at': k, 'label': '{label}'}} FOR k IN range(len(w)) IF {same}]")
     return f"""
-WITH docs AS (SELECT row_number() OVER () AS no, doc_id, coalesce(text, '') AS text, {split.format("coalesce(text, '')")} AS w FROM documents),
+WITH docs AS (SELECT row_number() OVER () AS no, doc_id, {split.format("coalesce(text, '')")} AS w FROM documents),
 places AS (SELECT no, doc_id, len(w) AS n_words, flatten([{", ".join(places)}]) AS p FROM docs),
-templates (template, label, size, need, word) AS (VALUES {", ".join(rows)}),
-blocks AS (SELECT no, block, unnest(list_distinct({split.format("line")})) AS word
-           FROM (SELECT no, unnest(range(len(lines))) AS block, unnest(lines) AS line FROM (SELECT no, string_split(text, chr(10)) AS lines FROM docs))),
-common AS (SELECT no, block, template, label, size, count(*) AS n FROM blocks JOIN templates USING (word) GROUP BY ALL HAVING count(*) >= any_value(need)),
+templates (template, label, width, size, need, word) AS (VALUES {", ".join(rows)}),
+starts AS (SELECT no, w, width, unnest(range(0, len(w), width)) AS block FROM docs CROSS JOIN (SELECT DISTINCT width FROM templates)),
+blocks AS (SELECT no, width, block, unnest(list_distinct(w[block + 1:block + 2 * width])) AS word FROM starts),
+common AS (SELECT no, block, template, label, size, count(*) AS n FROM blocks JOIN templates USING (width, word) GROUP BY ALL HAVING count(*) >= any_value(need)),
 found AS (SELECT no, max(n / size) AS best, list(DISTINCT label) AS more FROM common GROUP BY no)
 SELECT doc_id, n_words, len(p) AS n_base, list_min([x.at FOR x IN p]) AS first_word, list_max([x.at FOR x IN p]) AS last_word,
        array_to_string(list_sort(list_distinct([x.label FOR x IN p])), ',') AS base_labels,

@@ -2,6 +2,7 @@
 
 import math
 import re
+import textwrap
 
 from ledgerspark.llm import licenses
 
@@ -20,10 +21,13 @@ def brute(text, templates=licenses.TEMPLATES, containment=licenses.CONTAINMENT):
         found = [k for k in range(len(words)) if words[k : k + size] == phrase.split()]
         starts += found
         base |= {label} if found else set()
-    for line in text.split("\n"):
-        own = set(re.findall(WORD, line))
-        for label, template in templates:
-            t = set(re.findall(WORD, lower(template)))
+    for label, template in templates:
+        listed = re.findall(WORD, lower(template))
+        t, width = set(listed), 1
+        while width < len(listed):
+            width *= 2
+        for begin in range(0, len(words), width):
+            own = set(words[begin : begin + 2 * width])
             if len(own & t) >= math.ceil(round(containment * len(t), 9)):
                 labels.add(label)
                 best = max(best, len(own & t) / len(t))
@@ -65,3 +69,16 @@ def test_blocks_with_missing_and_added_words(spark):
     check(spark, texts)
     check(spark, texts, containment=0.6)
     check(spark, texts, templates=(("one", "word"), ("two", "all rights"), ("same", "The the THE")))
+
+
+def test_wrapped_notices_behind_comment_marks(spark):
+    """Every template, wrapped at 72 columns behind any mark and anywhere in a text, is found."""
+    docs = []
+    for no, (label, template) in enumerate(licenses.TEMPLATES):
+        for mark in ("", "# ", "// ", " * ", "-- ", "; "):
+            lines = textwrap.wrap(template, 72 - len(mark))
+            around = "\n".join(mark + " ".join(f"word{k}x{j}" for j in range(9)) for k in range(no % 7))
+            docs.append((f"{label}/{no}/{mark}", around + "\n" + "\n".join(mark + line for line in lines) + "\n" + around))
+    df = spark.createDataFrame(docs, "doc_id string, text string")
+    for row in licenses.licensed(df).collect():
+        assert row["doc_id"].split("/")[0] in row["labels"].split(","), row
