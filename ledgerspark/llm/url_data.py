@@ -38,13 +38,14 @@ def entries(pages: DataFrame) -> DataFrame:
 
 ORACLE = """
 WITH captures AS (
-  SELECT page_id, url, nullif(regexp_replace(regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1), '\\.+$', ''), '') AS host,
+  SELECT page_id, url, nullif(regexp_replace(regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?(\\[[^\\]/?#]*\\]|[^/?#:\\[\\]]+)', 1), '\\.+$', ''), '') AS host,
          CAST(DATE '2024-01-01' + CAST(page_id % 366 AS INTEGER) AS DATE) AS fetched_on
   FROM pages),
 suffixes AS (
   SELECT host, array_to_string(labels[i:], '.') AS domain
-  FROM (SELECT host, string_split(host, '.') AS labels, unnest(range(1, greatest(len(string_split(host, '.')), 2))) AS i
-        FROM (SELECT DISTINCT host FROM captures WHERE host IS NOT NULL))),
+  FROM (SELECT host, labels, unnest(range(1, greatest(len(labels), 2))) AS i
+        FROM (SELECT DISTINCT host, CASE WHEN regexp_matches(host, '^([0-9]+\\.){3}[0-9]+$|^\\[') THEN [host] ELSE string_split(host, '.') END AS labels
+              FROM captures WHERE host IS NOT NULL))),
 numbers AS (
   SELECT domain, [CAST('0x' || substr(md5(domain), i, 2) AS INTEGER) FOR i IN [1, 3, 5, 7, 9, 11]] AS d FROM (SELECT DISTINCT domain FROM suffixes)),
 events AS (

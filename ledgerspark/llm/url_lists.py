@@ -16,7 +16,9 @@ from pyspark.sql.window import Window
 
 from ledgerspark.llm.shared import store
 
-_HOST = r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
+_HOST = r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/?#:\[\]]+)"
+# Hosts that are addresses: four numbers, or an address in brackets. They have no parents.
+_ADDRESS = r"^([0-9]+\.){3}[0-9]+$|^\["
 
 
 def host(url: Column) -> Column:
@@ -26,8 +28,9 @@ def host(url: Column) -> Column:
 
 
 def domains(name: Column) -> Column:
-    """A host and its parent domains of two labels or more; the host alone if it has one."""
-    labels = F.split(name, r"\.")
+    """A host and its parent domains of two labels or more; the host alone if it has one or is
+    an address."""
+    labels = F.when(F.rlike(name, F.lit(_ADDRESS)), F.array(name)).otherwise(F.split(name, r"\."))
     count = F.size(labels)
     return F.transform(F.sequence(F.lit(1), F.greatest(count - 1, F.lit(1))), lambda i: F.array_join(F.slice(labels, i, count), "."))
 

@@ -3,6 +3,8 @@
 import random
 from datetime import date, timedelta
 
+from pyspark.sql import functions as F
+
 from ledgerspark.llm import url_lists
 
 ENTRY = "list string, domain string, action string, listed_on date"
@@ -49,3 +51,17 @@ def test_odd_rows(spark):
     check(spark, captures, entries)
     check(spark, captures, [])
     check(spark, [], entries)
+
+
+def test_addresses_are_hosts_of_their_own(spark):
+    urls = ["http://1.2.3.4/a", "http://9.8.3.4:80/", "http://[::1]:8080/x", "https://u:p@[2001:DB8::7]/", "http://a.3.4/", "http://[bad/"]
+    df = spark.createDataFrame([(u,) for u in urls], "url string")
+    got = [tuple(r) for r in df.select(url_lists.host(df.url).alias("h")).select("h", url_lists.domains(F.col("h"))).collect()]
+    assert got == [
+        ("1.2.3.4", ["1.2.3.4"]),
+        ("9.8.3.4", ["9.8.3.4"]),
+        ("[::1]", ["[::1]"]),
+        ("[2001:db8::7]", ["[2001:db8::7]"]),
+        ("a.3.4", ["a.3.4", "3.4"]),
+        (None, [None]),
+    ]
