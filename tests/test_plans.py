@@ -41,7 +41,7 @@ def stored(spark, data, tmp_path):
 
 @pytest.mark.parametrize("name", sorted(queries_by_name()))
 def test_no_query_has_a_cross_join_or_an_unpartitioned_window(spark, sf_dir, name):
-    if name == "read_write_table":  # runs its write when called
+    if name in ("read_write_table", "incremental_rebuild"):  # these write when called
         return
     text = plan(queries_by_name()[name](spark, sf_dir))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text

@@ -544,6 +544,12 @@ FROM rawcount r JOIN fields f ON r.tbl = f.tbl""",
 SELECT folder AS source_folder, row_no, CAST(no AS VARCHAR) AS vounoe, strftime(day, '%Y-%m-%d') AS voudate, code AS codee,
        narration AS naration, coalesce(flag, '') AS drcrate, CAST(amount AS VARCHAR) AS vou_amt, rep AS repcode
 FROM (SELECT *, row_number() OVER (PARTITION BY folder ORDER BY no) AS row_no FROM trans) WHERE row_no <= 5""",
+    "incremental_rebuild": """
+SELECT source_folder, CAST(date_trunc('month', invoice_date) AS DATE) AS month, count(*) AS rows,
+       CAST(sum(line_amount + CASE WHEN changed THEN 1 ELSE 0 END) AS DOUBLE) AS revenue,
+       CASE WHEN bool_or(changed) THEN 'second' ELSE 'first' END AS written_by
+FROM (SELECT *, source_folder = 'ZF2526' AND CAST(invoice_no AS BIGINT) % 7 = 0 AS changed FROM fact_sales)
+GROUP BY ALL""",
     "read_write_table": f"SELECT {_SALES} FROM fact_sales",
 }
 _SELECTS["q_invoice_lines"] = f"""

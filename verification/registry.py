@@ -13,11 +13,14 @@ from ledgerspark.functions import coerce as typed
 from ledgerspark.functions import flags, labels
 from ledgerspark.functions.text import clean_text
 from ledgerspark.jobs.discover import dictionary_json
+from ledgerspark.jobs.rebuild import Rebuild
+from ledgerspark.jobs.store import Store
 from ledgerspark.operators import changes, dedup, evolve, lineage
 from ledgerspark.plans import dims, profile, quality, queries, series, views
 from ledgerspark.plans.warehouse import Warehouse
-from ledgerspark.schemas import FACT_SALES, FILE_STATE, SYNC_LOG, conform
+from ledgerspark.schemas import FACT_SALES, FILE_STATE, SYNC_LOG, WAREHOUSE_PARTS, conform
 from ledgerspark.sources import tables, xbase
+from ledgerspark.values import FOLDERS
 from verification.ledger_data import AS_OF, COPY_STEP, LedgerData
 
 RAW_NAMES = ("MASTER", "ITEM", "SALES1", "SALES2", "TRANS", "BILLADJ")
@@ -213,6 +216,31 @@ def _read_write_table(d: LedgerData) -> DataFrame:
     return tables.read_table(d.spark, path, written.schema).select(*FACT_SALES.fieldNames())
 
 
+def _incremental_rebuild(d: LedgerData) -> DataFrame:
+    """Two warehouse versions over stored raw slices, the second after the lines of one folder
+    have changed: what each month holds, and which version wrote its partition."""
+    store = Store(d.spark, shared_dir(d.spark))
+    for name in RAW_NAMES:
+        d(name).write.partitionBy("_source_folder").parquet(store.path("raw", name))
+    slices = {(f, name): store.path("raw", name, f"_source_folder={f}") for f in FOLDERS for name in RAW_NAMES}
+    lines = d("SALES2").filter(F.col("_source_folder") == "ZF2526").drop("_source_folder")
+    changed = F.when(F.col("invno") % 7 == 0, F.col("amount") + 1).otherwise(F.col("amount")).cast("decimal(18,2)")
+    lines.withColumn("amount", changed).write.parquet(store.path("raw", "changed"))
+    before = None
+    for version, now in (("first", slices), ("second", slices | {("ZF2526", "SALES2"): store.path("raw", "changed")})):
+        rebuild = Rebuild(store, version, now, before)
+        rebuild.dimensions(Warehouse.from_raw(d.spark, rebuild.raw))
+        rebuild.facts()
+        rebuild.record()
+        before = version
+    month = F.trunc("invoice_date", "MM").alias("month")
+    held = store.warehouse("second").fact_sales.groupBy("source_folder", month).agg(F.count("*").alias("rows"), F.sum("line_amount").alias("revenue"))
+    parts = store.records("warehouse_parts", WAREHOUSE_PARTS).filter("version = 'second' AND table_name = 'fact_sales'")
+    parts = parts.select(F.col("source_folder").alias("_folder"), F.col("month").alias("_month"), "written_by")
+    same = (F.col("source_folder") == F.col("_folder")) & F.col("month").eqNullSafe(F.col("_month"))
+    return held.join(parts, same, "full").drop("_folder", "_month")
+
+
 # ---- scalar functions over the derived tables --------------------------------------
 
 
@@ -353,6 +381,7 @@ OVER_DATA: dict[str, Callable[[LedgerData], DataFrame]] = {
     "row_hash": _row_hash,
     "lineage_columns": _lineage_columns,
     "read_write_table": _read_write_table,
+    "incremental_rebuild": _incremental_rebuild,
     "union_folders": _union_folders,
     # scalar functions
     "clean_text": _clean_text,
