@@ -8,8 +8,10 @@ characters of a line (UTF-16 units; the whole line if shorter) are hashed, and u
 of a band are candidates: at a similarity of 0.8 a pair is missed about once in 1,000.
 All shingles are signed, so a long or repetitive line is signed like any other of its set.
 
-In a bucket of at most ``CROWD`` lines all pairs are compared (exact Jaccard similarity of
-whole shingle sets, ``SIMILAR`` or more). A larger one is worked off in rounds: the lines of
+What is compared is the exact Jaccard similarity of whole shingle sets (code points here;
+shingles count as equal if their 64-bit hashes are), ``SIMILAR`` or more. First every line of
+a bucket meets the bucket's line of most copies. Then, in a bucket of at most ``CROWD`` lines,
+all pairs that are not in one component yet are compared. A larger one is worked off in rounds: the lines of
 most copies in each of ``LEADS`` parts lead, all others are compared with them, those that
 are similar leave, and the rest choose the next leads, until fewer than one in ``STOP``
 comparisons of a round is a link. So a crowd of copies and edits costs a few comparisons a
@@ -24,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerspark.llm.shared import components, let, store
+from ledgerspark.llm.shared import components, let, store, unused
 from ledgerspark.llm.similar import across, rarest_first
 
 SHINGLE = 8
@@ -37,13 +39,12 @@ STOP = 20
 MOST_KEYS = 1_000_000
 _MOST_WEIGHT = (1 << 21) - 1
 _SPACES = " \t\x0b\x0c\r"
-_NO_ID = -(1 << 63)
 
 
 def _lines(documents: DataFrame) -> DataFrame:
     """``id`` and ``version`` (hash of the text) of each document with text, ``no`` and
     ``line`` (trimmed) of each of its lines that has a sign, and ``key``."""
-    ident = [F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("id"), F.xxhash64("text").alias("version")]
+    ident = [F.col("doc_id").alias("id"), F.xxhash64("text").alias("version")]
     lines = documents.where("text IS NOT NULL").select(*ident, F.posexplode(F.split("text", "\n")).alias("no", "line"))
     lines = lines.select("id", "version", "no", F.trim("line", F.lit(_SPACES)).alias("line")).where("line <> ''")
     return lines.withColumn("key", F.xxhash64("line"))
@@ -68,9 +69,15 @@ def _masks() -> list[int]:
 
 
 def _shingles(line: str) -> Column:
-    """Shingles of a line, repeats included."""
-    grams = F.regexp_extract_all(line, F.lit(f"(?s)(?=(.{{{SHINGLE}}}))"), F.lit(1))
-    return F.when(F.length(line) >= SHINGLE, grams).otherwise(F.array(F.col(line)))
+    """Hashes of the shingles of a line, repeats included. Four bytes a code point, so that
+    a shingle is cut without reading the line from its start."""
+    wide = 4 * SHINGLE
+
+    def cut(units: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.octet_length(units) - wide + 1, F.lit(1)), F.lit(4))
+        return F.transform(starts, lambda at: F.xxhash64(F.substring(units, at, F.lit(wide))))
+
+    return let(F.encode(line, "UTF-32"), cut)
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -104,12 +111,13 @@ def line_links(lines: DataFrame) -> DataFrame:
     keys = store(shared.select("key").distinct(), "keys")
     texts = store(lines.select("key", "line").join(_small(keys), "key", "left_semi").distinct().withColumn("size", F.size(F.array_distinct(_shingles("line")))), "texts")
 
-    few = buckets.where(F.col("members") <= CROWD).select("bucket")
-    one = shared.join(few, "bucket").select("bucket", "key")
-    pairs = one.join(one.select("bucket", F.col("key").alias("b")), "bucket").where("key < b").select(F.col("key").alias("a"), "b").distinct()
-    links = store(verified(pairs, texts), "links")
+    led = shared.join(buckets.select("bucket", "lead", "members"), "bucket").where("key <> lead")
+    first = store(verified(led.select(F.col("lead").alias("a"), F.col("key").alias("b")).distinct(), texts), "first")
+    links = store(first.union(verified(_few_pairs(shared, buckets, components(first, "a", "b")), texts)), "links")
 
-    crowds = crowded = store(shared.join(buckets.where(F.col("members") > CROWD).select("bucket"), "bucket"), "crowded")
+    crowds = store(shared.join(buckets.where(F.col("members") > CROWD).select("bucket"), "bucket"), "crowds")
+    near = first.select(F.col("a").alias("lead"), F.col("b").alias("key"))
+    crowded = store(led.where(F.col("members") > CROWD).join(near, ["lead", "key"], "left_anti").select("bucket", "key", "weight"), "crowded")
     compared, linked = 0, 0
     while linked * STOP >= compared and not crowded.isEmpty():
         part = F.pmod(F.xxhash64("key", F.lit(compared)), F.lit(LEADS))
@@ -127,15 +135,27 @@ def line_links(lines: DataFrame) -> DataFrame:
     return components(links.union(store(more, "last")), "a", "b")
 
 
+def _few_pairs(shared: DataFrame, buckets: DataFrame, found: DataFrame) -> DataFrame:
+    """All pairs (``a``, ``b``) of lines of different components (``found``) in a bucket of at most ``CROWD``."""
+    few = shared.join(buckets.where(F.col("members") <= CROWD).select("bucket"), "bucket").select("bucket", "key")
+    one = _grouped(few, found)
+    two = one.select("bucket", F.col("key").alias("b"), F.col("component").alias("other"))
+    return one.join(two, "bucket").where("key < b AND component <> other").select(F.col("key").alias("a"), "b").distinct()
+
+
+def _grouped(members: DataFrame, found: DataFrame) -> DataFrame:
+    """``bucket``, ``key`` and the key's ``component``, itself if it has no link; stored."""
+    joined = members.join(found.withColumnRenamed("node", "key"), "key", "left")
+    return store(joined.select("bucket", "key", F.coalesce("component", "key").alias("component")), "grouped")
+
+
 def _unfinished_pairs(crowds: DataFrame, found: DataFrame, texts: DataFrame) -> DataFrame:
     """Candidates (``a``, ``b``) for all similar lines of different components in the crowded
     buckets (``bucket``, ``key``) that hold more than one."""
-    grouped = crowds.join(found.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
-    grouped = store(grouped, "grouped")
+    grouped = _grouped(crowds, found)
     mixed = grouped.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most").select("bucket")
     left = store(grouped.join(mixed, "bucket").select("key", "component").distinct(), "left")
-    grams = F.explode(F.array_distinct(_shingles("line"))).alias("gram")
-    hashes = texts.join(left, "key").select("key", "component", grams).select("key", "component", F.xxhash64("gram").alias("h"))
+    hashes = texts.join(left, "key").select("key", "component", F.explode(F.array_distinct(_shingles("line"))).alias("h"))
     return across(rarest_first(hashes))
 
 
@@ -153,7 +173,7 @@ def dropped_lines(documents: DataFrame) -> DataFrame:
     """
     lines = _lines(documents)
     places = store(lines.drop("line"), "places")
-    place = F.struct((F.col("id") == _NO_ID).alias("unnamed"), "id", "version", "no")
+    place = F.struct(F.col("id").isNull().alias("unnamed"), "id", "version", "no")
     keyed = store(places.groupBy("key").agg(F.min(place).alias("first"), F.max(place).alias("last")), "keyed")
     links = line_links(lines.select("key", "line"))
     linked = store(keyed.join(links.select(F.col("node").alias("key"), "component"), "key").select("key", "first", "component"), "linked")
@@ -165,11 +185,12 @@ def dropped_lines(documents: DataFrame) -> DataFrame:
     return store(gone.groupBy("id", "version").agg(F.array_sort(F.collect_set("no")).alias("drop")), "dropped")
 
 
-def _marked(documents: DataFrame, drops: DataFrame) -> DataFrame:
-    ident = F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)), F.xxhash64("text")
-    rows = documents.withColumns({"__id": ident[0], "__version": ident[1]})
-    named = drops.select(F.col("id").alias("__id"), F.col("version").alias("__version"), F.col("drop").alias("__drop"))
-    return rows.join(named, ["__id", "__version"], "left").drop("__id", "__version")
+def _marked(documents: DataFrame, drops: DataFrame, drop: str) -> DataFrame:
+    """The documents and, as column ``drop``, the numbers of the lines that go (null: none)."""
+    ident, version, own = (unused(name, documents.columns) for name in ("gone_id", "gone_version", "own_version"))
+    named = drops.select(F.col("id").alias(ident), F.col("version").alias(version), F.col("drop").alias(drop))
+    same = F.col("doc_id").eqNullSafe(F.col(ident)) & (F.col(own) == F.col(version))
+    return documents.withColumn(own, F.xxhash64("text")).join(named, same, "left").drop(ident, version, own)
 
 
 def summary(documents: DataFrame) -> DataFrame:
@@ -178,10 +199,11 @@ def summary(documents: DataFrame) -> DataFrame:
 
     A null text has no line, an empty one has one. Other columns are ignored.
     """
-    marked = _marked(documents.select("doc_id", "text"), dropped_lines(documents.select("doc_id", "text")))
+    documents = documents.select("doc_id", "text")
+    marked = _marked(documents, dropped_lines(documents), "drop")
     none = F.array().cast("array<int>")
     lines = F.coalesce(F.size(F.split("text", "\n")), F.lit(0))
-    gone = F.coalesce("__drop", none)
+    gone = F.coalesce("drop", none)
     count = F.when(F.col("text").isNull(), 0).otherwise(lines)
     return marked.select("doc_id", count.cast("long").alias("n_lines"), F.size(gone).cast("long").alias("n_dropped"), gone.alias("dropped"))
 
@@ -189,10 +211,11 @@ def summary(documents: DataFrame) -> DataFrame:
 def deduplicated(documents: DataFrame) -> DataFrame:
     """The documents with the lines that stay, in all their columns; ``n_chars``, if there, is
     counted again. A document that had signs and keeps none goes."""
-    marked = _marked(documents, dropped_lines(documents.select("doc_id", "text")))
-    kept = F.filter(F.split("text", "\n"), lambda line, no: ~F.array_contains("__drop", no))
-    text = F.when(F.col("__drop").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    rows = marked.withColumn("text", text).where(F.col("__drop").isNull() | (F.trim("text", F.lit(" \t\n\x0b\x0c\r")) != "")).drop("__drop")
+    drop = unused("drop", documents.columns)
+    marked = _marked(documents, dropped_lines(documents.select("doc_id", "text")), drop)
+    kept = F.filter(F.split("text", "\n"), lambda line, no: ~F.array_contains(drop, no))
+    text = F.when(F.col(drop).isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+    rows = marked.withColumn("text", text).where(F.col(drop).isNull() | (F.trim("text", F.lit(" \t\n\x0b\x0c\r")) != "")).drop(drop)
     if "n_chars" in documents.columns:
         rows = rows.withColumn("n_chars", F.length("text").cast(documents.schema["n_chars"].dataType))
     return rows.select(*(F.col(f"`{c}`") for c in documents.columns))

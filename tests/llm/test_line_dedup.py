@@ -47,6 +47,14 @@ def test_odd_rows(spark):
     assert drops(spark, []) == set()
 
 
+def test_ids_of_any_type_and_names_that_the_job_uses_itself(spark):
+    rows = [("a2", "same line here\nown", 1, 2, 3), ("a1", "same line here", 4, 5, 6), (None, "same line here\nmore", 7, 8, 9)]
+    df = spark.createDataFrame(rows, "doc_id string, text string, __version int, gone_id int, Own_Version int")
+    out = line_dedup.deduplicated(df)
+    assert out.columns == df.columns
+    assert sorted(map(tuple, out.collect()), key=str) == [("a1", "same line here", 4, 5, 6), ("a2", "own", 1, 2, 3), (None, "more", 7, 8, 9)]
+
+
 def test_repeated_rows_and_clashing_names(spark):
     rows = [(1, "same line here\nown", 5, 9, "k"), (1, "same line here\nown", 5, 9, "k"), (2, "same line here\nother\n", 6, 9, "l"), (3, "same line here", 7, 9, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, key int, n_chars long, drop string")
