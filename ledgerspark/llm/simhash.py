@@ -22,7 +22,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerspark.llm.shared import components, store
+from ledgerspark.llm.shared import components, store, unused
 
 DISTANCE = 2
 SHINGLE = 3
@@ -126,12 +126,14 @@ def classes(documents: DataFrame) -> DataFrame:
 
 def keep_one(documents: DataFrame) -> DataFrame:
     """One row of every component: that of the smallest ``doc_id`` (null last), then the
-    first in reading order. All columns are kept."""
-    rid, mark = "__row", "__fp"
+    first in reading order. All columns are kept, whatever their names.
+
+    Null and empty texts share a fingerprint, so one of them stays; an empty table stays empty."""
+    rid, mark = unused("row", documents.columns), "fp"
     rows = documents.withColumn(rid, F.monotonically_increasing_id())
     held = store(rows, "rows")
     order = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("id"), F.col(rid).alias("row"))
-    marks = store(fingerprints(held.select(order.alias("at"), F.col(rid).alias("row"), F.col("text")), "text").withColumnRenamed("fp", mark), "fingerprints")
+    marks = store(fingerprints(held.select(order.alias("at"), F.col(rid).alias("row"), F.col("text")), "text"), "fingerprints")
     first = near_duplicates(marks, mark, "at")
     kept = first.select(F.col("first.row").alias(rid)).distinct()
     return held.join(kept, rid, "left_semi").drop(rid)

@@ -64,6 +64,9 @@ def test_extra_columns_with_clashing_names(spark):
     assert {tuple(r)[::2] for r in simhash.classes(df).collect()} == {(1, 1), (2, 1)}
     kept = simhash.keep_one(df)
     assert kept.columns == df.columns and [tuple(r) for r in kept.collect()] == [rows[0]]
+    clashing = df.withColumnsRenamed({"fp": "__row", "root": "Row", "component_id": "__fp"})
+    kept = simhash.keep_one(clashing)
+    assert kept.columns == clashing.columns and [tuple(r) for r in kept.collect()] == [rows[0]]
 
 
 @pytest.mark.parametrize("crowd", [0, 2, 1000])
