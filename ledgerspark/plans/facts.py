@@ -44,6 +44,26 @@ def _keyed(raw: DataFrame, dim: DataFrame, raw_code: str, dim_code: str, dim_key
     return raw.join(lookup, matches, "left").drop("_dim_folder", "_dim_code")
 
 
+def _keyed_in_place(raw: DataFrame, lines: DataFrame, dim: DataFrame, raw_code: str, dim_code: str, dim_key: str, out: str) -> DataFrame:
+    """As :func:`_keyed`, for rows that lie by ``invno``: they stay, and codes move.
+
+    What a row needs to know is whether the dimension lacks its code, as the key is made of
+    folder and code. So the rows' numbers and codes alone meet the dimension's, and only codes
+    that it lacks come back to the rows, gathered by number.
+    """
+
+    def pair(folder: str, code: str) -> Column:
+        return F.struct(F.col(folder).alias("folder"), F.col(code).alias("code"))
+
+    used = lines.filter(F.col(raw_code).isNotNull()).select(F.col("invno").alias("_number"), F.col("_source_folder").alias("_used_folder"), F.col(raw_code).alias("_used_code"))
+    known = dim.filter(natural_key("source_folder", dim_code) == F.col(dim_key)).select(F.col("source_folder").alias("_dim_folder"), F.col(dim_code).alias("_dim_code"))
+    lacked = used.join(known, (F.col("_used_folder") == F.col("_dim_folder")) & (F.col("_used_code") == F.col("_dim_code")), "left_anti")
+    absent = lacked.groupBy("_number").agg(F.collect_set(pair("_used_folder", "_used_code")).alias("_absent"))
+    found = raw.join(absent.hint("shuffle_hash"), F.col("invno") == F.col("_number"), "left")
+    lacks = F.coalesce(F.array_contains("_absent", pair("_source_folder", raw_code)), F.lit(False))
+    return found.withColumn(out, F.when(~lacks, natural_key("_source_folder", raw_code))).drop("_absent", "_number")
+
+
 def _with_customer(raw: DataFrame, dim_customer: DataFrame, code: str, out: str = "customer_key") -> DataFrame:
     return _keyed(raw, dim_customer, code, "ledger_code", "customer_key", out)
 
@@ -97,6 +117,8 @@ def fact_sales(
     dim_product: DataFrame,
     match_type: bool = False,
     heavy: DataFrame | None = None,
+    placed: bool = False,
+    whole: bool = False,
 ) -> DataFrame:
     """One row per invoice line and matching header.
 
@@ -104,15 +126,32 @@ def fact_sales(
     headers repeats the line; ``match_type`` also compares the invoice type. ``heavy``, from
     :func:`heavy_numbers`, spreads numbers with very many lines and headers over tasks: the
     skew join splits partitions by what they read, not by the rows that they make.
+
+    ``placed`` says that a shuffled join by ``invno`` alone has made the lines, so none is
+    without a number. The headers are then brought to them, a number's few rows that are
+    hashed, and the lines are not shuffled again; a number's rows have come together before,
+    so there is no skew left to split. With ``whole`` the lookups leave the lines where they
+    are, too. That pays if all columns are read: codes make a second, narrow pass.
     """
     keys = _line_keys(match_type)
     header = headers.select(*[F.col(h).alias(f"_head{k}") for k, h in keys.items()], F.col("invdatebg").alias("_head_date"))
     matches = [F.col(k) == F.col(f"_head{k}") for k in keys]
+    placed = placed and heavy is None
     if heavy is not None:
         lines, header = _dealt(lines, header, list(keys), heavy)
         matches.append(F.col("_share") == F.col("_head_share"))
+    elif placed:
+        # The planner leaves rows where they lie only if the number is the one equality.
+        header = header.repartition("_headinvno").hint("shuffle_hash")
+        matches = [F.col(k) == F.col(f"_head{k}") if k == "invno" else F.col(k).between(F.col(f"_head{k}"), F.col(f"_head{k}")) for k in keys]
     dated = lines.join(header, matches, "left")
-    keyed = _keyed(_with_customer(dated, dim_customer, "cuscode"), dim_product, "itemcode", "item_code", "product_key", "product_key")
+    lookups = [(dim_customer, "cuscode", "ledger_code", "customer_key"), (dim_product, "itemcode", "item_code", "product_key")]
+    keyed = dated
+    for dim, code, dim_code, key in lookups:
+        if placed and whole:
+            keyed = _keyed_in_place(keyed, lines, dim, code, dim_code, key, key)
+        else:
+            keyed = _keyed(keyed, dim, code, dim_code, key, key)
     return conform(
         keyed,
         FACT_SALES,

@@ -61,9 +61,13 @@ class Warehouse:
         internal_codes: Iterable[str] = INTERNAL_LEDGER_CODES,
         match_type: bool = False,
         heavy: DataFrame | None = None,
+        placed: bool = False,
+        whole: bool = False,
     ) -> Warehouse:
         """Tables derived from raw ones; ``raw`` maps a raw table name to its DataFrame.
-        ``heavy``: invoice numbers whose lines are to be dealt into shares."""
+        ``heavy``: invoice numbers whose lines are to be dealt into shares. ``placed``: the
+        lines come from a join by their number; ``whole``: sales are read with all columns
+        (see :func:`facts.fact_sales`)."""
         codes = tuple(internal_codes)
 
         def build(name: str) -> DataFrame:
@@ -77,7 +81,7 @@ class Warehouse:
                 case "dim_ledger_group":
                     return spark.createDataFrame([], DIM_LEDGER_GROUP)
                 case "fact_sales":
-                    return facts.fact_sales(raw("SALES2"), raw("SALES1"), wh.dim_customer, wh.dim_product, match_type, heavy)
+                    return facts.fact_sales(raw("SALES2"), raw("SALES1"), wh.dim_customer, wh.dim_product, match_type, heavy, placed, whole)
                 case "fact_sales_header":
                     return facts.fact_sales_header(raw("SALES1"), wh.dim_customer)
                 case "fact_finance":

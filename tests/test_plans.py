@@ -188,3 +188,51 @@ def test_a_heavy_number_is_dealt_to_many_tasks(spark, data):
     assert plain.select(*pick).exceptAll(spread.select(*pick)).isEmpty()
     held = spread.filter("source_folder = 'A' AND invoice_no = '7'").groupBy(F.spark_partition_id()).count().collect()
     assert len(held) > 1 and max(r["count"] for r in held) < 60_000
+
+
+def _placed_sales(spark, **options):
+    """Lines joined by their number: with and without headers, of other folders and types, with codes that no dimension has or none."""
+    lines = spark.createDataFrame(
+        [(1, "A", "c1", "i1", 10), (1, "A", "c1", "zz", 11), (1, "B", "c1", "i1", 12), (2, "A", None, "i1", 13), (2, "A", "zz", None, 14), (3, "A", "c2", "i2", 15), (9, "A", "c1", "i1", 16), (9, "A", "c1", "i1", 16)],
+        "n bigint, f string, cuscode string, itemcode string, amount int",
+    )
+    amounts = lines.select(F.col("n").cast("decimal(18,0)").alias("invno"), "itemcode", F.col("cuscode").alias("c"), "amount", F.lit("SI").alias("invtype"))
+    owners = lines.select(F.col("n").cast("decimal(18,0)").alias("o"), F.col("f").alias("_source_folder"), F.col("cuscode").alias("cuscode"), F.col("amount").alias("a")).distinct()
+    joined = amounts.join(owners.hint("shuffle_hash"), F.col("invno") == F.col("o")).filter("a = amount").drop("o", "a", "c")
+    headers = spark.createDataFrame(
+        [("A", 1, "SI", "2025-01-01"), ("A", 1, "SI", "2025-01-02"), ("A", 1, "CN", "2025-01-03"), ("B", 2, "SI", "2025-01-04"), ("A", 3, None, "2025-01-05"), ("A", None, "SI", "2025-01-06")],
+        "_source_folder string, n int, invtypebg string, d string",
+    ).select("_source_folder", F.col("n").cast("decimal(18,0)").alias("invnoebg"), "invtypebg", F.col("d").cast("date").alias("invdatebg"))
+    customers = spark.createDataFrame([("A|c1", "A", "c1"), ("A|c2", "A", "c2")], "customer_key string, source_folder string, ledger_code string")
+    items = spark.createDataFrame([("A|i1", "A", "i1"), ("B|i1", "B", "i1"), ("A|i2", "A", "i2")], "product_key string, source_folder string, item_code string")
+    return facts.fact_sales(joined, headers, customers, items, **options)
+
+
+@pytest.mark.parametrize("match_type", [False, True])
+def test_lines_that_stay_in_place_find_the_same(spark, match_type, no_broadcast):
+    """Headers and absent codes that come to the lines give the rows of the plain joins."""
+    plain = _placed_sales(spark, match_type=match_type)
+    rows = sorted(plain.collect(), key=str)
+    assert len(rows) == (10 if match_type else 12)
+    for whole in (False, True):
+        placed = _placed_sales(spark, match_type=match_type, placed=True, whole=whole)
+        assert placed.schema.simpleString() == plain.schema.simpleString()
+        assert sorted(placed.collect(), key=str) == rows
+
+
+def test_whole_sales_are_shuffled_once(spark, sf_dir, no_broadcast):
+    """Above the scan of the lines there is one exchange, that of their first join."""
+    for name in ("fact_sales", "fact_sales_match_type", "folder_filter"):
+        rows = plan(queries_by_name()[name](spark, sf_dir)).splitlines()
+        scan = next(i for i, row in enumerate(rows) if "FileScan" in row and "l_quantity" in row)
+        assert len([row for row in rows[:scan] if "Exchange" in row]) == 1, "\n".join(rows[:scan])
+
+
+def test_narrow_sales_meet_their_headers_in_place(spark, sf_dir, no_broadcast):
+    """The lines are shuffled for their own join and for the products, not for the headers."""
+    rows = plan(queries_by_name()["slow_moving"](spark, sf_dir)).splitlines()
+    scan = next(i for i, row in enumerate(rows) if "FileScan" in row and "l_partkey" in row)
+    joins = [row for row in rows[:scan] if "Join [invno" in row]
+    assert len(joins) == 2 and all("ShuffledHashJoin" in row for row in joins)
+    below = rows[next(i for i, row in enumerate(rows) if "Join [invno" in row) : scan]
+    assert len([row for row in below if "Exchange" in row]) == 1

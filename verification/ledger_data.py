@@ -48,7 +48,7 @@ class LedgerData:
         return getattr(self, name.lower())().withColumn("_source_table", F.lit(name))
 
     def warehouse(self, **options) -> Warehouse:
-        return Warehouse.from_raw(self.spark, self, **options)
+        return Warehouse.from_raw(self.spark, self, placed=True, **options)
 
     def master(self) -> DataFrame:
         key, balance = F.col("c_custkey"), _money("c_acctbal")
@@ -122,25 +122,34 @@ class LedgerData:
         )
 
     def sales2(self) -> DataFrame:
-        orders = self.table("orders").select("o_orderkey", "o_custkey")
+        # Casts stand below the join, where they make what is shuffled smaller, and the join is
+        # by the number, so that the lines lie where their headers are looked up.
         part = F.col("l_partkey")
-        return (
-            self.table("lineitem")
-            .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-            .select(
-                _folder("o_custkey").alias("_source_folder"),
-                _number(F.col("l_orderkey")).alias("invno"),
-                F.lit("SI").alias("invtype"),
-                _code("o_custkey").alias("cuscode"),
-                F.when(part % 97 == 0, part + 1).otherwise(part).cast("string").alias("itemcode"),
-                F.col("l_suppkey").cast("string").alias("repcode"),
-                F.col("l_quantity").cast("decimal(18,3)").alias("qty"),
-                (_money(part % 900 + 100) + (part % 10000).cast("decimal(6,0)") * F.lit("0.0001").cast("decimal(5,4)")).cast("decimal(18,4)").alias("itemrate"),
-                _money("l_discount").alias("discount"),
-                _money("l_linenumber").alias("disamt"),
-                _money("l_extendedprice").alias("amount"),
-                F.concat("l_returnflag", "l_linestatus").alias("batchno"),
-            )
+        number, order = _number(F.col("l_orderkey")).alias("invno"), _number(F.col("o_orderkey")).alias("_order")
+        lines = self.table("lineitem").select(
+            number,
+            part,
+            "l_suppkey",
+            F.col("l_quantity").cast("decimal(18,3)").alias("qty"),
+            _money("l_discount").alias("discount"),
+            _money("l_linenumber").alias("disamt"),
+            _money("l_extendedprice").alias("amount"),
+            F.concat("l_returnflag", "l_linestatus").alias("batchno"),
+        )
+        orders = self.table("orders").select(order, "o_custkey").hint("shuffle_hash")
+        return lines.join(orders, F.col("invno") == F.col("_order")).select(
+            _folder("o_custkey").alias("_source_folder"),
+            "invno",
+            F.lit("SI").alias("invtype"),
+            _code("o_custkey").alias("cuscode"),
+            F.when(part % 97 == 0, part + 1).otherwise(part).cast("string").alias("itemcode"),
+            F.col("l_suppkey").cast("string").alias("repcode"),
+            "qty",
+            (_money(part % 900 + 100) + (part % 10000).cast("decimal(6,0)") * F.lit("0.0001").cast("decimal(5,4)")).cast("decimal(18,4)").alias("itemrate"),
+            "discount",
+            "disamt",
+            "amount",
+            "batchno",
         )
 
     def trans(self) -> DataFrame:

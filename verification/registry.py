@@ -211,7 +211,7 @@ def _union_folders(d: LedgerData) -> DataFrame:
 
 def _read_write_table(d: LedgerData) -> DataFrame:
     path = shared_dir(d.spark)
-    written = d.warehouse().fact_sales
+    written = d.warehouse(whole=True).fact_sales
     tables.write_table(written, path, ["source_folder"])
     return tables.read_table(d.spark, path, written.schema).select(*FACT_SALES.fieldNames())
 
@@ -411,17 +411,19 @@ OVER_DATA: dict[str, Callable[[LedgerData], DataFrame]] = {
     "sync_history": _sync_history,
     "file_freshness": _file_freshness,
     "all_null_check": _all_null_check,
-    "fact_sales_match_type": lambda d: d.warehouse(match_type=True).fact_sales,
+    # sales read with all columns
+    "fact_sales_match_type": lambda d: d.warehouse(match_type=True, whole=True).fact_sales,
+    "fact_sales": lambda d: d.warehouse(whole=True).fact_sales,
+    "folder_filter": lambda d: d.warehouse(whole=True).scoped("zfn2526").fact_sales,
+    "q_invoice_lines": lambda d: queries.invoice_lines(d.warehouse(whole=True), "83"),
 }
 
 OVER_WAREHOUSE = {
     "dim_customer": lambda w: w.dim_customer,
     "dim_product": lambda w: w.dim_product,
-    "fact_sales": lambda w: w.fact_sales,
     "fact_sales_header": lambda w: w.fact_sales_header,
     "fact_finance": lambda w: w.fact_finance,
     "fact_receivables": lambda w: w.fact_receivables,
-    "folder_filter": lambda w: w.scoped("zfn2526").fact_sales,
     # views
     "sales_summary": views.sales_summary,
     "today_sales": lambda w: views.today_sales(w, AS_OF),
@@ -452,7 +454,6 @@ OVER_WAREHOUSE = {
     "q_transactions_ledger": lambda w: queries.transactions(w, ledger_code="7", limit=25),
     "q_inventory_items": lambda w: queries.inventory_items(w, item_group="Brand#2"),
     "q_invoice_header": lambda w: queries.invoice_header(w, "83"),
-    "q_invoice_lines": lambda w: queries.invoice_lines(w, "83"),
     # series
     "kpi_totals": lambda w: series.kpi_totals(w, as_of=AS_OF),
     "monthly_trend_series": series.monthly_trend,
