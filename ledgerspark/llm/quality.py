@@ -30,15 +30,20 @@ NOT_SPACE = r"[^ \t-\r]"
 _TOKEN = r"[\p{L}\p{M}\p{N}]+|[^\s\p{L}\p{M}\p{N}]+"
 
 
-def buckets(text: Column) -> Column:
-    """Buckets of all unigrams and bigrams of a text, repeats included."""
+def hashes(text: Column) -> Column:
+    """Hashes of all unigrams and bigrams of a text, repeats included."""
     tokens = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(_TOKEN), F.lit(0))
 
     def grams(h: Column) -> Column:
         rest = F.greatest(F.size(h) - 1, F.lit(0))
         return F.concat(h, F.zip_with(F.slice(h, 1, rest), F.slice(h, 2, rest), lambda a, b: F.xxhash64(a, b)))
 
-    return F.transform(let(F.transform(tokens, lambda t: F.xxhash64(t)), grams), lambda h: F.pmod(h, F.lit(BUCKETS)).cast("int"))
+    return let(F.transform(tokens, lambda t: F.xxhash64(t)), grams)
+
+
+def _bucket(h: Column) -> Column:
+    """A hash modulo ``BUCKETS``, a power of two."""
+    return h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
 
 
 def trusted_ids(labels: DataFrame, most: int = TRUSTED) -> DataFrame:
@@ -47,13 +52,23 @@ def trusted_ids(labels: DataFrame, most: int = TRUSTED) -> DataFrame:
     return sure.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
 
 
+def bucket_counts(documents: DataFrame, trusted: DataFrame) -> DataFrame:
+    """``bucket``, ``raw`` and ``target``: its n-grams in all documents and in the trusted ones.
+
+    The hashes are a column before an outer explode takes them apart: an explode of lambdas
+    runs row by row, and one that is not outer gets a filter that computes the array again.
+    """
+    mark = F.broadcast(trusted.select("doc_id").distinct().withColumn("trusted", F.lit(1)))
+    marked = documents.select("doc_id", "text").join(mark, "doc_id", "left")
+    grams = marked.select("trusted", hashes(F.col("text")).alias("grams"))
+    single = grams.select("trusted", F.explode_outer("grams").alias("h")).where("h IS NOT NULL")
+    return single.groupBy(_bucket(F.col("h")).alias("bucket")).agg(F.count("*").alias("raw"), F.count("trusted").alias("target"))
+
+
 def weights(documents: DataFrame, trusted: DataFrame) -> list[float]:
     """Log-likelihood ratio of each bucket, from all documents. ``trusted``: ``doc_id``, at
     most ``TRUSTED`` rows, so it is broadcast; what comes back is one row per bucket."""
-    mark = F.broadcast(trusted.select("doc_id").distinct().withColumn("trusted", F.lit(1)))
-    marked = documents.select("doc_id", "text").join(mark, "doc_id", "left")
-    counted = marked.select("trusted", F.explode(buckets(F.col("text"))).alias("bucket")).groupBy("bucket")
-    rows = counted.agg(F.count("*").alias("raw"), F.count("trusted").alias("target")).collect()
+    rows = bucket_counts(documents, trusted).collect()
     raw, target = sum(r["raw"] for r in rows), sum(r["target"] for r in rows)
     found = [0.0] * BUCKETS
     for r in rows:
@@ -65,8 +80,8 @@ def weights(documents: DataFrame, trusted: DataFrame) -> list[float]:
 def score(text: Column, weight: list[float]) -> Column:
     """Mean weight of a text's n-grams; 0 if it has none."""
     table = F.split(F.lit(",".join(map(str, weight))), ",").cast("array<double>")
-    total = lambda found: F.aggregate(found, F.lit(0.0), lambda s, b: s + F.get(table, b))
-    return let(buckets(text), lambda found: F.coalesce(F.try_divide(total(found), F.size(found)), F.lit(0.0)))
+    total = lambda found: F.aggregate(found, F.lit(0.0), lambda s, h: s + F.get(table, _bucket(h)))
+    return let(hashes(text), lambda found: F.coalesce(F.try_divide(total(found), F.size(found)), F.lit(0.0)))
 
 
 def _repeated(found: Column) -> Column:
@@ -98,8 +113,7 @@ def _sorted(hashes: Column) -> Column:
 def counts(text: Column) -> list[Column]:
     text = F.coalesce(text, F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: F.rlike(x, F.lit(NOT_SPACE)))
-    chars = lambda w: F.aggregate(w, F.lit(0), lambda s, x: s + F.length(x))
-    both = let(words(text), lambda w: F.struct(F.size(w).alias("n"), _repeated(w).alias("again"), chars(w).alias("chars")))
+    both = let(words(text), lambda w: F.struct(F.size(w).alias("n"), _repeated(w).alias("again"), F.length(F.array_join(w, "")).alias("chars")))
     return [
         both.alias("both"),
         F.regexp_count(text, F.lit(_SYMBOL)).cast("long").alias("n_symbols"),

@@ -44,3 +44,14 @@ def test_junk_goes_and_prose_stays(spark):
     documents, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
     rows = quality.judged(documents, quality.weights(documents, quality.trusted_ids(labels))).join(labels, "doc_id").where("NOT base_failed").collect()
     assert {(r["quality"] == 1) == r["kept"] for r in rows} == {True}
+
+
+def test_hashes_are_computed_once_and_before_they_are_taken_apart(spark, capsys):
+    df = spark.createDataFrame([(1, "a b a"), (2, None), (3, "")], "doc_id long, text string")
+    found = quality.bucket_counts(df, df.where("doc_id = 1"))
+    found.explain()
+    plan = capsys.readouterr().out
+    assert plan.count("regexp_extract_all") == 1
+    assert not any("lambda" in line for line in plan.splitlines() if "Generate" in line)
+    counts = [(r["raw"], r["target"]) for r in found.collect()]
+    assert sum(raw for raw, _ in counts) == 5 and all(raw == target for raw, target in counts)
