@@ -36,6 +36,7 @@ SIMILAR = 0.8
 CROWD = 16
 LEADS = 4
 STOP = 20
+BLOCK = 8
 MOST_KEYS = 1_000_000
 _MOST_WEIGHT = (1 << 21) - 1
 _SPACES = " \t\x0b\x0c\r"
@@ -50,15 +51,28 @@ def _lines(documents: DataFrame) -> DataFrame:
     return lines.withColumn("key", F.xxhash64("line"))
 
 
+def _blocks(lines: DataFrame) -> DataFrame:
+    """``key``, hashes ``h0``, ``h1``, ... of ``BLOCK`` shingles side by side, and their number
+    ``n``: the last block of a line repeats the line's last shingle."""
+    wide = 2 * SHINGLE
+    units = lines.select("key", F.encode("line", "UTF-16BE").alias("units"))
+    units = units.withColumn("last", F.greatest(F.octet_length("units") - wide + 1, F.lit(1)))
+    placed = units.select("key", "units", "last", F.explode(F.sequence(F.lit(1), F.col("last"), F.lit(2 * BLOCK))).alias("start"))
+
+    def hashed(j: int) -> Column:
+        at = F.least(F.col("start") + 2 * j, F.col("last"))
+        return F.shiftright(F.xxhash64(F.substring("units", at, F.lit(wide))), 32).cast("int")
+
+    n = F.least(F.expr("(last - start) DIV 2 + 1"), F.lit(BLOCK))
+    return placed.select("key", n.alias("n"), *(hashed(j).alias(f"h{j}") for j in range(BLOCK)))
+
+
 def signatures(lines: DataFrame) -> DataFrame:
     """``key``, ``bands`` and ``weight`` of the signatures of each different line (``key``,
     ``line``). The weight is the number of signed shingles, so it grows with the copies."""
-    units = lines.select("key", F.encode("line", "UTF-16BE").alias("units"))
-    starts = F.sequence(F.lit(1), F.greatest(F.octet_length("units") - 2 * SHINGLE + 1, F.lit(1)), F.lit(2))
-    placed = units.select("key", "units", F.explode(starts).alias("start"))
-    hashed = placed.select("key", F.shiftright(F.xxhash64(F.substring("units", F.col("start"), F.lit(2 * SHINGLE))), 32).cast("int").alias("h"))
-    smallest = [F.min(F.col("h").bitwiseXOR(F.lit(mask))).alias(f"m{i}") for i, mask in enumerate(_masks())]
-    signed = hashed.groupBy("key").agg(*smallest, F.count("*").alias("rows"))
+    least = [F.least(*(F.col(f"h{j}").bitwiseXOR(F.lit(mask)) for j in range(BLOCK))) for mask in _masks()]
+    smallest = [F.min(x).alias(f"m{i}") for i, x in enumerate(least)]
+    signed = _blocks(lines).groupBy("key").agg(*smallest, F.sum("n").alias("rows"))
     bands = [F.xxhash64(F.lit(b), *(f"m{b * ROWS + r}" for r in range(ROWS))) for b in range(BANDS)]
     return signed.select("key", F.least("rows", F.lit(_MOST_WEIGHT)).cast("int").alias("weight"), F.array(*bands).alias("bands"))
 
@@ -155,8 +169,9 @@ def _unfinished_pairs(crowds: DataFrame, found: DataFrame, texts: DataFrame) ->
     grouped = _grouped(crowds, found)
     mixed = grouped.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most").select("bucket")
     left = store(grouped.join(mixed, "bucket").select("key", "component").distinct(), "left")
-    hashes = texts.join(left, "key").select("key", "component", F.explode(F.array_distinct(_shingles("line"))).alias("h"))
-    return across(rarest_first(hashes))
+    own = texts.join(left, "key").select("key", "component", F.array_distinct(_shingles("line")).alias("own"))
+    # Outer, as a plain explode would get a filter on the array's size that computes it again; none is empty.
+    return across(rarest_first(own.select("key", "component", F.explode_outer("own").alias("h"))))
 
 
 def _rank() -> Column:

@@ -80,3 +80,21 @@ def test_repetitive_lines_of_any_length_meet(spark):
         phrase = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(49)) + "."
         docs += [(i, phrase * 12), (i + 1, phrase * 200)]
     assert {i for i, _, dropped in drops(spark, docs) if dropped} == {1, 2, *range(4, 21, 2)}
+
+
+def test_shingles_are_signed_in_blocks(spark):
+    """A row holds eight shingles, so 93 of them take 12 rows, whose minima are those of all."""
+    lines = [(1, "".join(chr(97 + i * i % 26) for i in range(100))), (2, "short"), (3, "ninesigns"), (3, "ninesigns")]
+    df = spark.createDataFrame(lines, "key long, line string")
+    blocks = line_dedup._blocks(df).collect()
+    assert sorted((r["key"], r["n"]) for r in blocks) == [(1, 5), *[(1, 8)] * 11, (2, 1), (3, 2), (3, 2)]
+    assert {r["key"]: r["weight"] for r in line_dedup.signatures(df).collect()} == {1: 93, 2: 1, 3: 4}
+    shingles = {1: [lines[0][1][i : i + 8] for i in range(93)], 2: ["short"], 3: ["ninesign", "inesigns"]}
+    single = spark.createDataFrame([(k, x) for k, found in shingles.items() for x in found], "key long, line string")
+    signed = {k: {r[f"h{j}"] for r in blocks if r["key"] == k for j in range(line_dedup.BLOCK)} for k in (2, 3)}
+    alone = {}
+    for r in line_dedup._blocks(single).collect():
+        assert len({r[f"h{j}"] for j in range(line_dedup.BLOCK)}) == 1
+        alone.setdefault(r["key"], set()).add(r["h0"])
+    assert signed == {k: alone[k] for k in (2, 3)}
+    assert alone[1] == {r[f"h{j}"] for r in blocks if r["key"] == 1 for j in range(line_dedup.BLOCK)}
