@@ -11,7 +11,9 @@ All shingles are signed, so a long or repetitive line is signed like any other o
 What is compared is the exact Jaccard similarity of whole shingle sets (code points here;
 shingles count as equal if their 64-bit hashes are), ``SIMILAR`` or more. First every line of
 a bucket meets the bucket's line of most copies. Then, in a bucket of at most ``CROWD`` lines,
-all pairs that are not in one component yet are compared. A larger one is worked off in rounds: the lines of
+all other pairs that are not in one component yet are compared. There sizes and ``WORDS``
+64-bit words of shingle bits rule pairs out without loss before shingles are compared: a bit
+that only one line has stands for a shingle that only one has. A larger bucket is worked off in rounds: the lines of
 most copies in each of ``LEADS`` parts lead, all others are compared with them, those that
 are similar leave, and the rest choose the next leads, until fewer than one in ``STOP``
 comparisons of a round is a link. So a crowd of copies and edits costs a few comparisons a
@@ -23,6 +25,8 @@ are picked by broadcasts if they are at most ``MOST_KEYS``, else by shuffles.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,10 +37,12 @@ SHINGLE = 8
 BANDS = 10
 ROWS = 3
 SIMILAR = 0.8
-CROWD = 16
+CROWD = 256
 LEADS = 4
 STOP = 20
 BLOCK = 8
+WIDE_BLOCK = 32
+WORDS = 16
 MOST_KEYS = 1_000_000
 _MOST_WEIGHT = (1 << 21) - 1
 _SPACES = " \t\x0b\x0c\r"
@@ -47,32 +53,39 @@ def _lines(documents: DataFrame) -> DataFrame:
     ``line`` (trimmed) of each of its lines that has a sign, and ``key``."""
     ident = [F.col("doc_id").alias("id"), F.xxhash64("text").alias("version")]
     lines = documents.where("text IS NOT NULL").select(*ident, F.posexplode(F.split("text", "\n")).alias("no", "line"))
-    lines = lines.select("id", "version", "no", F.trim("line", F.lit(_SPACES)).alias("line")).where("line <> ''")
+    lines = lines.select("id", "version", "no", _trimmed("line").alias("line")).where("line <> ''")
     return lines.withColumn("key", F.xxhash64("line"))
 
 
-def _blocks(lines: DataFrame) -> DataFrame:
-    """``key``, hashes ``h0``, ``h1``, ... of ``BLOCK`` shingles side by side, and their number
-    ``n``: the last block of a line repeats the line's last shingle."""
-    wide = 2 * SHINGLE
-    units = lines.select("key", F.encode("line", "UTF-16BE").alias("units"))
+def _trimmed(line: str) -> Column:
+    """The line without outer spaces; trimming reads a whole line, so only those that have some are."""
+    outer = [F.startswith(line, F.lit(x)) | F.endswith(line, F.lit(x)) for x in _SPACES]
+    return F.when(reduce(Column.__or__, outer), F.trim(line, F.lit(_SPACES))).otherwise(F.col(line))
+
+
+def _blocks(lines: DataFrame, block: int = BLOCK, unit: int = 2) -> DataFrame:
+    """``key``, hashes ``h0``, ``h1``, ... of ``block`` shingles side by side, and their number
+    ``n``: the last block of a line repeats the line's last shingle. A shingle is cut from
+    UTF-16 units, or from code points if a ``unit`` has four bytes."""
+    wide = unit * SHINGLE
+    units = lines.select("key", F.encode("line", "UTF-16BE" if unit == 2 else "UTF-32").alias("units"))
     units = units.withColumn("last", F.greatest(F.octet_length("units") - wide + 1, F.lit(1)))
-    placed = units.select("key", "units", "last", F.explode(F.sequence(F.lit(1), F.col("last"), F.lit(2 * BLOCK))).alias("start"))
+    placed = units.select("key", "units", "last", F.explode(F.sequence(F.lit(1), F.col("last"), F.lit(unit * block))).alias("start"))
 
     def hashed(j: int) -> Column:
-        at = F.least(F.col("start") + 2 * j, F.col("last"))
+        at = F.least(F.col("start") + unit * j, F.col("last"))
         return F.shiftright(F.xxhash64(F.substring("units", at, F.lit(wide))), 32).cast("int")
 
-    n = F.least(F.expr("(last - start) DIV 2 + 1"), F.lit(BLOCK))
-    return placed.select("key", n.alias("n"), *(hashed(j).alias(f"h{j}") for j in range(BLOCK)))
+    n = F.least(F.expr(f"(last - start) DIV {unit} + 1"), F.lit(block))
+    return placed.select("key", n.alias("n"), *(hashed(j).alias(f"h{j}") for j in range(block)))
 
 
 def signatures(lines: DataFrame) -> DataFrame:
     """``key``, ``bands`` and ``weight`` of the signatures of each different line (``key``,
     ``line``). The weight is the number of signed shingles, so it grows with the copies."""
-    least = [F.least(*(F.col(f"h{j}").bitwiseXOR(F.lit(mask)) for j in range(BLOCK))) for mask in _masks()]
+    least = [F.least(*(F.col(f"h{j}").bitwiseXOR(F.lit(mask)) for j in range(WIDE_BLOCK))) for mask in _masks()]
     smallest = [F.min(x).alias(f"m{i}") for i, x in enumerate(least)]
-    signed = _blocks(lines).groupBy("key").agg(*smallest, F.sum("n").alias("rows"))
+    signed = _blocks(lines, WIDE_BLOCK).groupBy("key").agg(*smallest, F.sum("n").alias("rows"))
     bands = [F.xxhash64(F.lit(b), *(f"m{b * ROWS + r}" for r in range(ROWS))) for b in range(BANDS)]
     return signed.select("key", F.least("rows", F.lit(_MOST_WEIGHT)).cast("int").alias("weight"), F.array(*bands).alias("bands"))
 
@@ -82,6 +95,26 @@ def _masks() -> list[int]:
     return [((i + 1) * 0x9E3779B1 & 0xFFFFFFFF) - (1 << 31) for i in range(BANDS * ROWS)]
 
 
+def shingle_bits(lines: DataFrame) -> DataFrame:
+    """``key`` and ``bits`` of each line (``key``, ``line``): a bit is set for the hash of every
+    shingle of code points, in ``WORDS`` words."""
+
+    def word(i: int) -> Column:
+        return F.expr(" | ".join(f"if((h{j} & {WORDS - 1}) = {i}, shiftleft(1L, shiftright(h{j}, 16)), 0L)" for j in range(BLOCK)))
+
+    words = _blocks(lines, unit=4).groupBy("key").agg(*(F.bit_or(word(i)).alias(f"w{i}") for i in range(WORDS)))
+    return words.select("key", F.array(*(f"w{i}" for i in range(WORDS))).alias("bits"))
+
+
+def _likely(a: str, b: str) -> Column:
+    """Sizes and bits allow ``SIMILAR``: sets of n and m shingles that share c have n + m - 2c
+    shingles of their own, at most a ninth of n + m at 0.8, and no fewer than bits of their own."""
+    size_a, size_b = F.col(f"{a}size"), F.col(f"{b}size")
+    close = F.least(size_a, size_b) >= SIMILAR * F.greatest(size_a, size_b)
+    own = F.expr(" + ".join(f"bit_count({a}bits[{i}] ^ {b}bits[{i}])" for i in range(WORDS)))
+    return close & (own * (1 + SIMILAR) <= (1 - SIMILAR) * (size_a + size_b) + 1e-6)
+
+
 def _shingles(line: str) -> Column:
     """Hashes of the shingles of a line, repeats included. Four bytes a code point, so that
     a shingle is cut without reading the line from its start."""
@@ -119,17 +152,20 @@ def line_links(lines: DataFrame) -> DataFrame:
     signed = store(signatures(lines), "signatures")
     entries = signed.select("key", "weight", F.explode("bands").alias("bucket"))
     least, most = F.min("key").alias("least"), F.max("key").alias("most")
-    found = entries.groupBy("bucket").agg(F.max_by("key", _rank()).alias("lead"), F.count("*").alias("members"), least, most)
-    buckets = store(found.where("least <> most").select("bucket", "lead", "members"), "buckets")
-    shared = store(entries.join(_small(buckets.select("bucket")), "bucket").distinct(), "shared")
+    several = store(entries.groupBy("bucket").agg(least, most).where("least <> most").select("bucket"), "several")
+    shared = store(entries.join(_small(several), "bucket").distinct(), "shared")
+    buckets = store(shared.groupBy("bucket").agg(F.max_by("key", _rank()).alias("lead"), F.count("*").alias("members")), "buckets")
     keys = store(shared.select("key").distinct(), "keys")
     texts = store(lines.select("key", "line").join(_small(keys), "key", "left_semi").distinct().withColumn("size", F.size(F.array_distinct(_shingles("line")))), "texts")
 
-    led = shared.join(buckets.select("bucket", "lead", "members"), "bucket").where("key <> lead")
+    led = shared.join(buckets, "bucket").where("key <> lead")
     first = store(verified(led.select(F.col("lead").alias("a"), F.col("key").alias("b")).distinct(), texts), "first")
-    links = store(first.union(verified(_few_pairs(shared, buckets, components(first, "a", "b")), texts)), "links")
+    few = led.where(F.col("members").between(3, CROWD)).select("bucket", "key")
+    links = store(first.union(verified(_few_pairs(few, components(first, "a", "b"), texts), texts)), "links")
 
     crowds = store(shared.join(buckets.where(F.col("members") > CROWD).select("bucket"), "bucket"), "crowds")
+    if crowds.isEmpty():
+        return components(links, "a", "b")
     near = first.select(F.col("a").alias("lead"), F.col("b").alias("key"))
     crowded = store(led.where(F.col("members") > CROWD).join(near, ["lead", "key"], "left_anti").select("bucket", "key", "weight"), "crowded")
     compared, linked = 0, 0
@@ -149,12 +185,23 @@ def line_links(lines: DataFrame) -> DataFrame:
     return components(links.union(store(more, "last")), "a", "b")
 
 
-def _few_pairs(shared: DataFrame, buckets: DataFrame, found: DataFrame) -> DataFrame:
-    """All pairs (``a``, ``b``) of lines of different components (``found``) in a bucket of at most ``CROWD``."""
-    few = shared.join(buckets.where(F.col("members") <= CROWD).select("bucket"), "bucket").select("bucket", "key")
-    one = _grouped(few, found)
-    two = one.select("bucket", F.col("key").alias("b"), F.col("component").alias("other"))
-    return one.join(two, "bucket").where("key < b AND component <> other").select(F.col("key").alias("a"), "b").distinct()
+def _few_pairs(few: DataFrame, found: DataFrame, texts: DataFrame) -> DataFrame:
+    """All pairs (``a``, ``b``) of lines of different components (``found``) in a bucket (``bucket``,
+    ``key``) that sizes and bits allow."""
+    mixed = store(_mixed(_grouped(few, found)), "mixed")
+    left = store(texts.join(mixed.select("key"), "key", "left_semi"), "left")
+    bits = store(left.select("key", "size").join(shingle_bits(left), "key"), "bits")
+    sides = mixed.join(bits, "key")
+    one = sides.select("bucket", *(F.col(c).alias(f"a_{c}") for c in ("key", "component", "size", "bits")))
+    two = sides.select("bucket", *(F.col(c).alias(f"b_{c}") for c in ("key", "component", "size", "bits")))
+    allowed = (F.col("a_key") < F.col("b_key")) & (F.col("a_component") != F.col("b_component")) & _likely("a_", "b_")
+    return one.join(two, "bucket").where(allowed).select(F.col("a_key").alias("a"), F.col("b_key").alias("b")).distinct()
+
+
+def _mixed(grouped: DataFrame) -> DataFrame:
+    """The rows of buckets that hold more than one component."""
+    several = grouped.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most"))
+    return grouped.join(several.where("least <> most").select("bucket"), "bucket")
 
 
 def _grouped(members: DataFrame, found: DataFrame) -> DataFrame:
@@ -166,9 +213,7 @@ def _grouped(members: DataFrame, found: DataFrame) -> DataFrame:
 def _unfinished_pairs(crowds: DataFrame, found: DataFrame, texts: DataFrame) -> DataFrame:
     """Candidates (``a``, ``b``) for all similar lines of different components in the crowded
     buckets (``bucket``, ``key``) that hold more than one."""
-    grouped = _grouped(crowds, found)
-    mixed = grouped.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most").select("bucket")
-    left = store(grouped.join(mixed, "bucket").select("key", "component").distinct(), "left")
+    left = store(_mixed(_grouped(crowds, found)).select("key", "component").distinct(), "left")
     own = texts.join(left, "key").select("key", "component", F.array_distinct(_shingles("line")).alias("own"))
     # Outer, as a plain explode would get a filter on the array's size that computes it again; none is empty.
     return across(rarest_first(own.select("key", "component", F.explode_outer("own").alias("h"))))

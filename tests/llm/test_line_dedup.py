@@ -98,3 +98,30 @@ def test_shingles_are_signed_in_blocks(spark):
         alone.setdefault(r["key"], set()).add(r["h0"])
     assert signed == {k: alone[k] for k in (2, 3)}
     assert alone[1] == {r[f"h{j}"] for r in blocks if r["key"] == 1 for j in range(line_dedup.BLOCK)}
+
+
+def test_a_small_crowd_needs_no_exact_join(spark, monkeypatch):
+    """120 lines of one template, each similar to its partner only, are compared in their buckets."""
+    monkeypatch.setattr(line_dedup, "_unfinished_pairs", None)
+    rng = random.Random(8)
+    base = "a template of fifty one signs, the same everywhere:"
+    tail = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(5))
+    docs = [(i, base + chr(0x4E00 + i // 2) + tail()) for i in range(120)]
+    assert {i for i, _, dropped in drops(spark, docs) if dropped} == {i for i in range(120) if i % 2}
+
+
+def test_shingle_bits_lose_no_similar_pair(spark):
+    rng = random.Random(4)
+    texts = ["=" * 40, "=" * 400, "short"]
+    for n in (1, 3, 10, 40, 150, 600):
+        for _ in range(3):
+            line = "".join(rng.choice("abcdé日😀 ") for _ in range(8 * n))
+            texts += [line, line + "x" * max(1, n // 2), line[: max(1, 6 * n)], line.replace("a", "b", max(1, n // 12))]
+    lines = spark.createDataFrame(list(enumerate(texts)), "key int, line string")
+    sized = lines.selectExpr("key", "line").withColumn("size", line_dedup.F.size(line_dedup.F.array_distinct(line_dedup._shingles("line"))))
+    sized = sized.join(line_dedup.shingle_bits(lines), "key").select("key", "size", "bits")
+    one, two = (sized.toDF(f"{x}_key", f"{x}_size", f"{x}_bits") for x in "ab")
+    got = {tuple(r) for r in one.join(two, line_dedup._likely("a_", "b_")).select("a_key", "b_key").collect()}
+    sets = [brute._shingles(x) for x in texts]
+    similar = {(i, j) for i, x in enumerate(sets) for j, y in enumerate(sets) if len(x & y) >= line_dedup.SIMILAR * len(x | y)}
+    assert len(similar) > len(texts) and similar <= got and len(got) < len(texts) ** 2 / 2
