@@ -3,9 +3,8 @@ trusted-target and the raw-corpus multinomial. DataFrame functions only.
 
 Tokens are runs of letters and digits or runs of other signs; their unigrams and bigrams
 are hashed to ``BUCKETS`` buckets. The raw multinomial counts every n-gram of all
-documents, the target those of at most ``TRUSTED`` labelled documents (the ids of smallest
-hash, so the choice does not depend on order). The target is smoothed towards the raw
-corpus with ``PRIOR`` pseudo counts: a bucket that the target never has weighs
+documents, the target those of all documents whose labels say quality 1. The target is
+smoothed towards the raw corpus with ``PRIOR`` pseudo counts: a bucket that the target never has weighs
 log(PRIOR / (target + PRIOR)), and without any trusted text every weight is zero. A
 document passes if the mean weight of its n-grams is at least ``THRESHOLD``.
 """
@@ -17,12 +16,13 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerspark.llm.shared import let, unused, words
+from ledgerspark.llm.shared import let, store, unused, words
 
 BUCKETS = 1 << 14
-TRUSTED = 4096
 PRIOR = float(BUCKETS)
 THRESHOLD = -0.25
+# Trusted ids that are broadcast to the documents; more of them shuffle both sides.
+MOST_BROADCAST = 1_000_000
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 _SYMBOL = r"[#*$%&|<>]"
@@ -46,10 +46,10 @@ def _bucket(h: Column) -> Column:
     return h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
 
 
-def trusted_ids(labels: DataFrame, most: int = TRUSTED) -> DataFrame:
-    """At most ``most`` ids whose labels all say quality 1; null ids and labels do not count."""
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """All ids whose labels all say quality 1; null ids and labels do not count."""
     sure = labels.groupBy("doc_id").agg(F.min("quality").alias("worst")).where("worst = 1 AND doc_id IS NOT NULL")
-    return sure.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    return sure.select("doc_id")
 
 
 def bucket_counts(documents: DataFrame, trusted: DataFrame) -> DataFrame:
@@ -58,16 +58,16 @@ def bucket_counts(documents: DataFrame, trusted: DataFrame) -> DataFrame:
     The hashes are a column before an outer explode takes them apart: an explode of lambdas
     runs row by row, and one that is not outer gets a filter that computes the array again.
     """
-    mark = F.broadcast(trusted.select("doc_id").distinct().withColumn("trusted", F.lit(1)))
-    marked = documents.select("doc_id", "text").join(mark, "doc_id", "left")
+    mark = store(trusted.select("doc_id").distinct().withColumn("trusted", F.lit(1)), "trusted")
+    marked = documents.select("doc_id", "text").join(F.broadcast(mark) if mark.count() <= MOST_BROADCAST else mark, "doc_id", "left")
     grams = marked.select("trusted", hashes(F.col("text")).alias("grams"))
     single = grams.select("trusted", F.explode_outer("grams").alias("h")).where("h IS NOT NULL")
     return single.groupBy(_bucket(F.col("h")).alias("bucket")).agg(F.count("*").alias("raw"), F.count("trusted").alias("target"))
 
 
 def weights(documents: DataFrame, trusted: DataFrame) -> list[float]:
-    """Log-likelihood ratio of each bucket, from all documents. ``trusted``: ``doc_id``, at
-    most ``TRUSTED`` rows, so it is broadcast; what comes back is one row per bucket."""
+    """Log-likelihood ratio of each bucket, from all documents. ``trusted``: ``doc_id``, of
+    any number; what comes back is one row per bucket."""
     rows = bucket_counts(documents, trusted).collect()
     raw, target = sum(r["raw"] for r in rows), sum(r["target"] for r in rows)
     found = [0.0] * BUCKETS

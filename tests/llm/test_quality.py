@@ -1,6 +1,7 @@
 """Counts and log-likelihood ratios against plain Python."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerspark.llm import quality
 from tests.llm import brute
@@ -55,3 +56,36 @@ def test_hashes_are_computed_once_and_before_they_are_taken_apart(spark, capsys)
     assert not any("lambda" in line for line in plan.splitlines() if "Generate" in line)
     counts = [(r["raw"], r["target"]) for r in found.collect()]
     assert sum(raw for raw, _ in counts) == 5 and all(raw == target for raw, target in counts)
+
+
+def many(spark):
+    """6,000 trusted documents with a word of their own, and 3,000 others."""
+    row = F.when(F.col("id") < 6000, F.concat(F.lit("w"), F.col("id"))).otherwise("junk")
+    documents = spark.range(9000).select(F.col("id").alias("doc_id"), row.alias("text"))
+    labels = spark.range(9000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 6000, 1).otherwise(0).alias("quality"))
+    return documents, labels
+
+
+def test_all_trusted_documents_count(spark):
+    documents, labels = many(spark)
+    trusted = quality.trusted_ids(labels)
+    assert sorted(r["doc_id"] for r in trusted.collect()) == list(range(6000))
+    (found,) = quality.bucket_counts(documents, trusted).agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).collect()
+    assert (found["raw"], found["target"]) == (9000, 6000)
+
+
+def test_trusted_ids_too_many_for_a_broadcast_are_shuffled(spark, monkeypatch, capsys):
+    documents, labels = many(spark)
+    documents = documents.union(documents.where("doc_id < 2")).union(documents.where("doc_id = 0").selectExpr("CAST(NULL AS BIGINT)", "text"))
+    want = sorted(map(tuple, quality.bucket_counts(documents, quality.trusted_ids(labels)).collect()))
+    assert sum(t for _, _, t in want) == 6002 and sum(r for _, r, _ in want) == 9003
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    monkeypatch.setattr(quality, "MOST_BROADCAST", 100)
+    try:
+        found = quality.bucket_counts(documents, quality.trusted_ids(labels))
+        found.explain()
+        assert "Broadcast" not in capsys.readouterr().out
+        assert sorted(map(tuple, found.collect())) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
